@@ -2,26 +2,46 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sharding, simhash
+from . import mixing, packing, sharding, simhash, spans
 from .common import table
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("weight", 6).alias("weight"), F.round("probability", 6).alias("probability"), "kept")
+
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_of("fp").alias("fingerprint"), "component_id")
 
 
+def op6_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = spans.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", F.col("_text").alias("text"), F.col("_removed").alias("removed"), F.col("_n_removed").alias("n_removed"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
     return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 QUERIES = {
+    "op2_mixing": op2_mixing,
+    "op6_spans": op6_spans,
+    "op7_packing": op7_packing,
     "op5_simhash": op5_simhash,
     "op10_sharding": op10_sharding,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_mixing": mixing.oracle()}
