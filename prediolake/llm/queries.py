@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, sharding, simhash, spans, toxicity
+from . import html_text, mixing, packing, sharding, simhash, spans, toxicity
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -35,6 +35,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
     return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -46,6 +50,7 @@ QUERIES = {
     "op6_spans": op6_spans,
     "op7_packing": op7_packing,
     "op5_simhash": op5_simhash,
+    "op8_html_text": op8_html_text,
     "op10_sharding": op10_sharding,
 }
 
