@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, mixing, packing, sharding, simhash, spans, toxicity
+from . import html_text, lattice, mixing, packing, sharding, simhash, spans, toxicity
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
+VOCABULARY = "piece_bpe_32k.model"
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +40,10 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op9_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
     return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -51,6 +56,7 @@ QUERIES = {
     "op7_packing": op7_packing,
     "op5_simhash": op5_simhash,
     "op8_html_text": op8_html_text,
+    "op9_lattice": op9_lattice,
     "op10_sharding": op10_sharding,
 }
 
