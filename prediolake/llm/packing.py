@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import partial
@@ -11,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from .common import number_rows, salts_for, save
 
@@ -33,42 +34,46 @@ class WordTokenizer:
     """Token ids of whole texts, as little-endian unsigned 32-bit ids, by a tokenizer that never joins across white space.
 
     Words recur, so each is encoded once and kept; the memory of words is emptied beyond ``most`` entries, which
-    changes the speed alone. New plain words are encoded together, as one text with blanks between: each word's
-    last token bears the end-of-word mark, which tells where the next begins.
+    changes the speed alone.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 500_000):
         self.tokenizer = Tokenizer.from_file(path)
-        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
-        for piece, k in self.tokenizer.get_vocab().items():
-            self.ends[k] = piece.endswith("</w>")
+        self.model = self.tokenizer.model
+        self.letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.most = most
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _word(self, word: str) -> bytes:
+        """A plain lower-case word's ids, straight from the tokenizer's model: its normalizer and splitter leave such a word whole."""
+        letters = word if word.isascii() else self.letters.pre_tokenize_str(word)[0][0]
+        ids = self.words[word] = struct.pack(f"<{len(found)}I", *found) if (found := [t.id for t in self.model.tokenize(letters)]) else b""
+        return ids
+
     def _learn(self, new: set[str]) -> None:
-        split = {c: m.groups() for c in new if (m := _PLAIN.fullmatch(c))}
-        todo = sorted({w.lower() for w, _ in split.values()} - self.words.keys())
-        if todo:
-            ids = np.array(self.tokenizer.encode(" ".join(todo), add_special_tokens=False).ids, dtype="<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(todo):
-                whole, stops = ids.tobytes(), (cuts * 4).tolist()
-                self.words.update(zip(todo, (whole[a:b] for a, b in zip([0, *stops], stops, strict=False)), strict=True))
-            else:
-                self.words.update((w, self._ids(w)) for w in todo)
+        words, chunks = self.words, self.chunks
         for c in new:
-            if c in split:
-                w, signs = split[c]
-                tail = self.words.get(signs)
-                if tail is None:
-                    tail = self.words[signs] = self._ids(signs) if signs else b""
-                self.chunks[c] = self.words[w.lower()] + tail
+            if c.isascii() and c.isalpha():
+                word, signs = c.lower(), ""
+            elif m := _PLAIN.fullmatch(c):
+                word, signs = m[1].lower(), m[2]
             else:
-                self.chunks[c] = self._ids(c)
+                chunks[c] = self._ids(c)
+                continue
+            ids = words.get(word)
+            if ids is None:
+                ids = self._word(word)
+            if signs:
+                tail = self.signs.get(signs)
+                if tail is None:
+                    tail = self.signs[signs] = self._ids(signs)
+                ids += tail
+            chunks[c] = ids
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [_chunks(x) for x in texts]
@@ -76,6 +81,8 @@ class WordTokenizer:
             self.chunks.clear()
         if len(self.words) > 2 * self.most:
             self.words.clear()
+        if len(self.signs) > self.most:
+            self.signs.clear()
         new = set().union(*split).difference(self.chunks)
         if new:
             self._learn(new)
