@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, lattice, mixing, packing, sharding, simhash, spans, toxicity
+from . import ann, html_text, lattice, mixing, packing, sharding, simhash, spans, toxicity
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -22,6 +22,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("weight", 6).alias("weight"), F.round("probability", 6).alias("probability"), "kept")
 
 
+def op4_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(ann.build_index(vectors), vectors.filter(F.pmod("vec_id", F.lit(20)) == 0))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_of("fp").alias("fingerprint"), "component_id")
@@ -54,6 +59,7 @@ QUERIES = {
     "op2_mixing": op2_mixing,
     "op6_spans": op6_spans,
     "op7_packing": op7_packing,
+    "op4_hnsw": op4_hnsw,
     "op5_simhash": op5_simhash,
     "op8_html_text": op8_html_text,
     "op9_lattice": op9_lattice,
