@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, html_text, lattice, mixing, packing, sharding, simhash, spans, toxicity
-from .common import table
+from . import ann, chroma, html_text, lattice, mixing, packing, sharding, simhash, spans, toxicity
+from .common import save, table
 
 TOKENIZER = "word_bpe_49k.json"
 VOCABULARY = "piece_bpe_32k.model"
@@ -22,6 +22,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("weight", 6).alias("weight"), F.round("probability", 6).alias("probability"), "kept")
 
 
+def op3_chroma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = chroma.fingerprints(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", chroma.tones)
+    return chroma.align(save(prints, "chroma-prints"))
+
+
 def op4_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return ann.nearest(ann.build_index(vectors), vectors.filter(F.pmod("vec_id", F.lit(20)) == 0))
@@ -59,6 +64,7 @@ QUERIES = {
     "op2_mixing": op2_mixing,
     "op6_spans": op6_spans,
     "op7_packing": op7_packing,
+    "op3_chroma": op3_chroma,
     "op4_hnsw": op4_hnsw,
     "op5_simhash": op5_simhash,
     "op8_html_text": op8_html_text,
