@@ -97,4 +97,5 @@ def sanitized(c: str, numeric: bool) -> Column:
     if not numeric:
         return F.when(marker, "").otherwise(text(value))
     number = F.when(marker, None).otherwise(strip(text(value)))
-    return F.coalesce(F.when(number.rlike(r"^[+-]?[0-9]+$"), number.try_cast("bigint")), F.lit(0).cast("bigint"))
+    fraction = F.typeof(value).rlike("^(double|float|decimal)")
+    return F.coalesce(F.when(number.rlike(r"^[+-]?[0-9]+$"), number.try_cast("bigint")).when(fraction, number.try_cast("double").try_cast("bigint")), F.lit(0).cast("bigint"))

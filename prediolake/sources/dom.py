@@ -8,6 +8,7 @@ from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
@@ -114,6 +115,6 @@ def visible_text(html: str | None) -> str:
     return re.sub(r"\n\s*\n", "\n", "".join(out)).strip()
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def visible_text_udf(html: pd.Series) -> pd.Series:
     return html.map(visible_text)
