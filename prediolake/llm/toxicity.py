@@ -25,9 +25,9 @@ def words_of(text: str | None) -> list[str]:
 
 @lru_cache(200_000)
 def features(word: str) -> list[str]:
-    """What the field sees of a token: the word, its beginnings of 3 to 6 letters and its ends of 2 and 3."""
+    """What the field sees of a token: the word, its beginnings of 4 to 6 letters and its ends of 2 and 3."""
     out = ["w=" + word]
-    out += ["p=" + word[:k] for k in range(3, min(7, len(word)))]
+    out += ["p=" + word[:k] for k in range(4, min(7, len(word)))]
     out += ["s=" + word[-k:] for k in (2, 3) if len(word) > k]
     return out
 
@@ -111,9 +111,9 @@ def _tail(n: int, k: int, p: float) -> float:
 def label_tokens(docs: Sequence[tuple[list[str], int]], purity: float = 0.9) -> dict[str, bool]:
     """Features that mark toxic tokens: in toxic documents far beyond chance (over all features, chance 0.05) and at least ``purity`` of the time, at even odds of the labels.
 
-    docs: (words, label). Only documents are labelled; this gives the tokens' labels. Copies of one document say the
-    same thing once: a feature's toxic documents count no more than the different (word before, word after) that it
-    stands between in them.
+    docs: (words, label). Only documents are labelled; this gives the tokens' labels. Chance is judged by documents,
+    or by the different (word before, word after) that a feature of three toxic documents or more stands between.
+    Copies of one document say the same thing once: their places are the same, and no more documents count than places.
     """
     toxic = sum(y for _, y in docs)
     clean = len(docs) - toxic
@@ -123,20 +123,27 @@ def label_tokens(docs: Sequence[tuple[list[str], int]], purity: float = 0.9) ->
     for words, y in docs:
         for f in {f for w in set(words) for f in features(w) if f[0] != "s"}:
             seen[f][y] += 1
-    base = toxic / len(docs)
     least = math.log(0.05 / max(1, len(seen)))
 
-    def marks(n0: int, n1: int) -> bool:
-        return n1 >= 3 and n1 / toxic / (n1 / toxic + (n0 + 0.5) / clean) >= purity and _tail(n0 + n1, n1, base) <= least
+    def pure(n0: int, n1: int, all0: int, all1: int) -> bool:
+        return n1 / all1 / (n1 / all1 + (n0 + 0.5) / all0) >= purity
 
-    between: dict[str, set] = {f: set() for f, n in seen.items() if marks(*n)}
+    between: dict[str, tuple[set, set]] = {f: (set(), set()) for f, (n0, n1) in seen.items() if n1 >= 3 and pure(n0, n1, clean, toxic)}
+    places = [0, 0]
     for words, y in docs:
-        if y:
-            for k, w in enumerate(words):
-                for f in features(w):
-                    if f in between:
-                        between[f].add((words[k - 1] if k else "", words[k + 1] if k + 1 < len(words) else ""))
-    return {f: True for f, places in between.items() if marks(seen[f][0], min(seen[f][1], len(places)))}
+        places[y] += len(words)
+        for k, w in enumerate(words):
+            for f in features(w):
+                if f in between:
+                    between[f][y].add((words[k - 1] if k else "", words[k + 1] if k + 1 < len(words) else ""))
+    out = {}
+    for f, (p0, p1) in between.items():
+        n0, n1 = seen[f][0], min(seen[f][1], len(p1))
+        by_document = n1 >= 3 and _tail(n0 + n1, n1, toxic / len(docs)) <= least and pure(n0, n1, clean, toxic)
+        by_place = n1 >= 3 and pure(len(p0), len(p1), *places) and _tail(len(p0) + len(p1), len(p1), places[1] / sum(places)) <= least
+        if by_document or by_place:
+            out[f] = True
+    return out
 
 
 def _windows(words: list[str], marks: list[int], toxic: int, rng: np.random.Generator) -> Iterator[tuple[int, int]]:
