@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import extraction, listings, scalars
+from . import detection, extraction, listings, scalars
 
-QUERIES = {**listings.QUERIES, **scalars.QUERIES, **extraction.QUERIES}
-ORACLES = {**listings.ORACLES, **scalars.ORACLES, **extraction.ORACLES}
+QUERIES = {**listings.QUERIES, **scalars.QUERIES, **extraction.QUERIES, **detection.QUERIES}
+ORACLES = {**listings.ORACLES, **scalars.ORACLES, **extraction.ORACLES, **detection.ORACLES}
