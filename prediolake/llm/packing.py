@@ -37,7 +37,7 @@ class WordTokenizer:
     changes the speed alone.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 300_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache, partial
+from sys import intern
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-@lru_cache(200_000)
+@lru_cache(20_000)
 def features(word: str) -> list[str]:
     """What the field sees of a token: the word, its beginnings of 4 to 6 letters and its ends of 2 and 3."""
     out = ["w=" + word]
@@ -146,7 +147,7 @@ def label_tokens(docs: Sequence[tuple[list[str], int]], purity: float = 0.9) ->
     return out
 
 
-def _windows(words: list[str], marks: list[int], toxic: int, rng: np.random.Generator) -> Iterator[tuple[int, int]]:
+def _windows(words: list[str], marks: Sequence[int], toxic: int, rng: np.random.Generator) -> Iterator[tuple[int, int]]:
     """Stretches of a document to fit the field to: around each marked token, and some at random."""
     n, last = len(words), 0
     for k, m in enumerate(marks):
@@ -167,7 +168,7 @@ def fit(docs: Iterable[tuple[str | None, int]], rounds: int = 40, ridge: float =
     random, then twice more with the clean tokens that it took for toxic. The marginals of the same documents give
     the logistic weights of the document's score. Without documents of both labels, every text scores low.
     """
-    held = [(words_of(x), y) for x, y in docs]
+    held = [([intern(w) for w in words_of(x)], y) for x, y in docs]
     marks = label_tokens(held)
     if not marks:
         return Field()
@@ -179,8 +180,8 @@ def fit(docs: Iterable[tuple[str | None, int]], rounds: int = 40, ridge: float =
         return known[w]
 
     rng = np.random.default_rng(seed)
-    tags = [[int(y and mark(w)) for w in words] for words, y in held]
-    chains: list[tuple[list[str], list[int]]] = []
+    tags = [bytes(int(y and mark(w)) for w in words) for words, y in held]
+    chains: list[tuple[list[str], Sequence[int]]] = []
     for (words, y), t in zip(held, tags, strict=True):
         chains += [(words[a:b], t[a:b]) for a, b in _windows(words, t, y, rng)]
     model = _ascend(chains, marks, rounds, ridge)
@@ -201,7 +202,7 @@ def fit(docs: Iterable[tuple[str | None, int]], rounds: int = 40, ridge: float =
     return model
 
 
-def _ascend(chains: list[tuple[list[str], list[int]]], marks: dict[str, bool], rounds: int, ridge: float) -> Field:
+def _ascend(chains: list[tuple[list[str], Sequence[int]]], marks: dict[str, bool], rounds: int, ridge: float) -> Field:
     """The field of largest ridge likelihood of (words, labels) sequences, approached by gradient steps whose size is adapted to each weight."""
     names: dict[str, int] = {}
     seen = Counter(f for w in {w for words, _ in chains for w in words} for f in features(w))
@@ -217,7 +218,7 @@ def _ascend(chains: list[tuple[list[str], list[int]]], marks: dict[str, bool], r
     grid, tag, real = (np.zeros((longest, len(chains)), dtype=t) for t in (np.int64, np.int64, bool))
     for col, (words, tags) in enumerate(chains):
         grid[: len(words), col] = [ids[w] for w in words]
-        tag[: len(words), col] = tags
+        tag[: len(words), col] = list(tags)
         real[: len(words), col] = True
     weights, bias, trans = np.zeros(len(names)), -3.0, np.zeros((2, 2))
     squares = [np.full(len(names), 1e-8), 1e-8, np.full((2, 2), 1e-8)]
@@ -290,7 +291,7 @@ class _Cache(dict):
         self.model = model
 
     def __missing__(self, word: str) -> float:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         s = self[word] = self.model.score(word)
         return s
