@@ -206,7 +206,7 @@ def _find(key: tuple, queries: pd.DataFrame, index: pd.DataFrame, k: int, m: int
     return pd.DataFrame(out, columns=["query_id", "near"])
 
 
-def nearest(index: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20, m: int = 16, ef: int = 120, block: int = 4096) -> DataFrame:
+def nearest(index: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20, m: int = 16, ef: int = 48, block: int = 4096) -> DataFrame:
     """(query_id, rank, vec_id, score) of each query's ``k`` nearest found in all shards, nearest first, ties to the smaller id.
 
     score: the inner product in double precision of the original vectors; the query's own id is left out. Each shard
