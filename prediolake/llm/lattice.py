@@ -155,6 +155,19 @@ def _read(batches: Iterator[pa.RecordBatch], frequent: Broadcast) -> Iterator[pa
         yield pack()
 
 
+def _frequent(words: DataFrame, most: int) -> DataFrame:
+    """The words seen at least so often that they are at most ``most``: by a histogram of counts in sixteenths of an octave, so no task sorts them all."""
+    level = F.when(F.col("n") > 0, F.floor(F.log2("n") * 16).cast("int")).otherwise(-1)
+    levels = {r["level"]: r["words"] for r in words.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words")).collect()}
+    total, least = 0, max(levels, default=-1) + 1
+    for at in sorted(levels, reverse=True):
+        total += levels[at]
+        if total > most:
+            break
+        least = at
+    return words.filter(level >= least)
+
+
 def score_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, fold: int = 2, most_frequent: int = 250_000) -> DataFrame:
     """Log10 probabilities of whole texts under a subword lattice, and under word counts with one added.
 
@@ -167,8 +180,8 @@ def score_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id
     texts are empty: the end alone. Repeated rows count and are scored each; other columns are left aside. An empty
     table gives no rows.
 
-    Words are counted over all texts. The ``most_frequent`` words, a fixed bound, go to all tasks; the other words
-    of each text are joined with the table of words by key and summed by text.
+    Words are counted over all texts. The most frequent words, at most ``most_frequent``, go to all tasks; the other
+    words of each text are joined with the table of words by key and summed by text.
     """
     spark = docs.sparkSession
     out = F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(folds)) == fold, F.lit(False))
@@ -182,7 +195,7 @@ def score_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id
     pieces = {r["piece"]: float(r["n"]) for r in found}
     weigh = partial(_weighed, path=vocabulary_path, pieces=pieces, stops=pieces.pop(-1, 0.0), tokens=tokens, types=types, new=new)
     words = save(counted.mapInArrow(weigh, "word string, n long, base double, score double"), "lm-words")
-    top = words.orderBy(F.desc("n"), "word").limit(most_frequent).toArrow()
+    top = _frequent(words, most_frequent).toArrow()
     frequent = spark.sparkContext.broadcast((top["word"].cast(pa.binary()).to_pylist(), ((top["n"].to_numpy() > 0).astype(np.int64), top["base"].to_numpy(), top["score"].to_numpy())))
     read = save(rows.mapInArrow(partial(_read, frequent=frequent), "row long, doc_id long, held_out boolean, word string, times long, known long, base double, score double"), "lm-read")
     own = read.filter("word IS NULL")
