@@ -1,4 +1,4 @@
-"""Substring dedup over sliding sentence spans."""
+"""Substring dedup over sliding sentence spans, and over windows of 51 words."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import save
@@ -17,6 +17,9 @@ from .common import save
 #: A sentence: up to closing marks and the white space after them, or to the end of a line.
 _SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+(?!\s|$)[^.!?\n]*)*(?:[.!?]+\s*|\n\s*|$)")
 _LONG, _CUT = 40, 12
+#: Words of a window, and of the grams whose least hash in a window is its anchor.
+PASSAGE, GRAM = 51, 12
+_BASE = 0x9E3779B97F4A7C15
 
 
 def sentences(text: str | None) -> list[tuple[int, int]]:
@@ -75,48 +78,127 @@ def _spans(batches: Iterator[pa.RecordBatch], run: int, least_words: int) -> Ite
             yield pack(docs, parts, poss, digests)
 
 
-def covered_sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = 2, least_words: int = 12) -> DataFrame:
-    """(doc_id, part, positions): the sentences that a repeated span covers, but for its first place.
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def windows(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """(anchor, hash) of each window of PASSAGE words of the text, by its first word. White space and case make no difference.
+
+    The anchor is the least hash of the window's grams of GRAM words: equal windows have equal anchors, and
+    neighbouring ones mostly share theirs, so a text has an anchor for about every 20 words.
+    """
+    words = (text or "").lower().split()
+    n = len(words)
+    if n < PASSAGE:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=n)
+    powers = np.full(n, _BASE, dtype=np.uint64)
+    powers[0] = 1
+    back = np.full(n, pow(_BASE, -1, 2**64), dtype=np.uint64)
+    back[0] = 1
+    sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(hashes * np.cumprod(powers), dtype=np.uint64)])
+    back = np.cumprod(back)
+    grams = _mixed((sums[GRAM:] - sums[:-GRAM]) * back[: n - GRAM + 1])
+    least, width, most = grams, 1, PASSAGE - GRAM + 1
+    while width < most:
+        step = min(width, most - width)
+        least = np.minimum(least[:-step], least[step:])
+        width += step
+    return least.view(np.int64), _mixed((sums[PASSAGE:] - sums[:-PASSAGE]) * back[: n - PASSAGE + 1]).view(np.int64)
+
+
+def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        found = [np.unique(windows(x)[0]) for x in b.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "part", "hashes"])
+
+
+def _windowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        found = []
+        for text, hot in zip(b.column(1).to_pylist(), b.column(3).to_pylist(), strict=True):
+            anchors, hashes = windows(text)
+            found.append(np.unique(hashes[np.isin(anchors, np.array(hot, dtype=np.int64))]))
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "part", "hashes"])
+
+
+def _shared(listed: DataFrame) -> DataFrame:
+    """From (doc_id, part, hashes): (doc_id, part, h, first) of the hashes that two documents or more have; first is the least of these."""
+    place, same = F.struct("doc_id", "part"), Window.partitionBy("h")
+    rows = listed.select("doc_id", "part", F.explode("hashes").alias("h"))
+    return rows.select("doc_id", "part", "h", F.min(place).over(same).alias("first"), F.max(place).over(same).alias("last")).filter("first <> last").drop("last")
+
+
+def covered_passages(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """From (doc_id, text, part): (doc_id, part, h), the hashes of windows that stand in an earlier document too, and (doc_id, part) of the texts of PASSAGE words or more that are those of an earlier document.
+
+    No repeated window is missed: an anchor that two texts have is found first, and only windows with such an anchor
+    are then compared. Each text takes part once.
+    """
+    anchors = save(rows.mapInArrow(_anchored, "doc_id long, part long, hashes array<long>"), "span-anchors").filter(F.size("hashes") > 0)
+    texts = anchors.groupBy("part").agg(F.min("doc_id").alias("doc_id"), F.first("hashes").alias("hashes"))
+    copies = anchors.select("doc_id", "part").join(anchors.groupBy("part").agg(F.min("doc_id").alias("least")), "part").filter("doc_id > least").select("doc_id", "part")
+    hot = _shared(texts).groupBy(F.col("doc_id").alias("_of"), F.col("part").alias("_part")).agg(F.collect_set("h").alias("hot"))
+    asked = rows.join(hot, (rows["doc_id"] == hot["_of"]) & (rows["part"] == hot["_part"])).select("doc_id", "text", "part", "hot")
+    found = save(asked.mapInArrow(_windowed, "doc_id long, part long, hashes array<long>"), "span-windows")
+    return _shared(found).filter(F.struct("doc_id", "part") != F.col("first")).select("doc_id", "part", "h"), copies
+
+
+def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = 2, least_words: int = 12) -> DataFrame:
+    """(doc_id, part, positions, windows, whole): the sentences that a repeated span covers, but for its first place; the hashes of the windows that an earlier document has; whether an earlier document has the same text.
 
     part is the text's hash: with doc_id it names a document even where a doc_id bears several texts. The first place
-    of a span is the one with the smallest doc_id, part and position. The spans' hashes are
-    counted with partial sums, so a passage in very many documents is a few rows to each task; only repeated spans
-    are joined back, each place to its span. A document's positions are gathered at the end, at most its own sentences.
+    of a span is the one with the smallest doc_id, part and position. A document's positions are gathered at the end,
+    at most its own sentences and words.
     """
     rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("part", F.xxhash64("text"))
     spans = save(rows.mapInArrow(partial(_spans, run=run, least_words=least_words), "doc_id long, part long, pos int, h1 long, h2 long"), "spans")
     place = F.struct("doc_id", "part", "pos")
-    # the place counts once however often the same row is repeated: least and largest place tell whether there are two
-    repeated = spans.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last")
-    again = spans.join(repeated.select("h1", "h2", "first"), ["h1", "h2"]).filter(place != F.col("first"))
-    return again.groupBy("doc_id", "part").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.sequence("pos", F.col("pos") + (run - 1)))))).alias("positions"))
+    first = F.min(place).over(Window.partitionBy("h1", "h2"))
+    again = spans.withColumn("first", first).filter(place != F.col("first"))
+    repeated, copies = covered_passages(rows)
+    none = F.lit(None)
+    found = again.select("doc_id", "part", F.sequence("pos", F.col("pos") + (run - 1)).alias("run"), none.cast("long").alias("h"), F.lit(False).alias("whole"))
+    found = found.union(repeated.select("doc_id", "part", none.cast("array<int>"), "h", F.lit(False))).union(copies.select("doc_id", "part", none.cast("array<int>"), none.cast("long"), F.lit(True)))
+    return found.groupBy("doc_id", "part").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("run")))).alias("positions"), F.collect_set("h").alias("windows"), F.max("whole").alias("whole"))
 
 
-def _cut(text: str | None, positions: list[int] | None) -> tuple[str | None, list[tuple[int, int]], int]:
-    """The text without the sentences at the positions, the removed (start, end) with neighbours joined, and how many sentences there were."""
+def _cut(text: str, positions: list[int], found: list[int], whole: bool) -> tuple[str, list[tuple[int, int]], int]:
+    """The text without the sentences at the positions and the windows found, the removed (start, end) with neighbours joined, and how many sentences they touch."""
     parts = sentences(text)
-    gone = set(positions or ())
-    kept = "".join(text[a:b] for k, (a, b) in enumerate(parts) if k not in gone) if parts else text
+    gone = [(0, len(text))] if whole else [parts[k] for k in positions]
+    if found and not whole:
+        starts = [m.start() for m in re.finditer(r"\S+", text)] + [len(text)]
+        at = np.flatnonzero(np.isin(windows(text)[1], np.array(found, dtype=np.int64))).tolist()
+        gone += [(starts[k], starts[k + PASSAGE]) for k in at]
     removed: list[tuple[int, int]] = []
-    for k in sorted(gone):
-        a, b = parts[k]
-        if removed and removed[-1][1] == a:
-            removed[-1] = (removed[-1][0], b)
+    for a, b in sorted(gone):
+        if removed and a <= removed[-1][1]:
+            removed[-1] = (removed[-1][0], max(b, removed[-1][1]))
         else:
             removed.append((a, b))
-    return kept, removed, len(parts)
+    edges = [0, *(x for pair in removed for x in pair), len(text)]
+    kept = "".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+    touched, k = 0, 0
+    for a, b in parts:
+        while k < len(removed) and removed[k][1] <= a:
+            k += 1
+        touched += k < len(removed) and removed[k][0] < b
+    return kept, removed, touched
 
 
 def _cleaned(batches: Iterator[pa.RecordBatch], text_at: str) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        t, p = b.schema.get_field_index(text_at), b.schema.get_field_index("_positions")
+        t, *found = (b.schema.get_field_index(c) for c in (text_at, "_positions", "_windows", "_whole"))
         texts, removed, n = [], [], []
-        for text, positions in zip(b.column(t).to_pylist(), b.column(p).to_pylist(), strict=True):
-            kept, spans, _ = _cut(text, positions) if positions else (text, [], 0)
+        for text, positions, hashes, whole in zip(*(b.column(k).to_pylist() for k in (t, *found)), strict=True):
+            kept, spans, count = _cut(text, positions, hashes, whole) if positions or hashes or whole else (text, [], 0)
             texts.append(kept)
             removed.append([{"start": x, "end": y} for x, y in spans])
-            n.append(len(positions or ()))
-        others = [k for k in range(b.num_columns) if k not in (t, p)]
+            n.append(count)
+        others = [k for k in range(b.num_columns) if k not in (t, *found)]
         yield pa.RecordBatch.from_arrays(
             [*(b.column(k) for k in others), pa.array(texts, pa.string()), pa.array(removed, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array(n, pa.int32())],
             [*(b.schema.names[k] for k in others), "_text", "_removed", "_n_removed"],
@@ -124,12 +206,14 @@ def _cleaned(batches: Iterator[pa.RecordBatch], text_at: str) -> Iterator[pa.Rec
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = 2, least_words: int = 12) -> DataFrame:
-    """All rows and columns of docs, with _text (without the sentences that a repeated span covers, but for its first place), _removed (their (start, end) in the old text, in code points) and _n_removed (sentences).
+    """All rows and columns of docs, with _text (without the sentences that a repeated span covers, but for its first place, and without every window of 51 words that an earlier document has), _removed (their (start, end) in the old text, in code points) and _n_removed (sentences, whole or in part).
 
+    The windows slide word by word, so a passage of over 50 words goes from its first word to its last, whatever its
+    sentences are. Repeats within one document go by sentences only.
     Null texts and rows without an id stay as they are. Rows with the same doc_id and text count as one document, so
     they get the same result; a text all of whose sentences go is left empty. An empty table gives no rows.
     """
-    covered = covered_sentences(docs, id_col, text_col, run, least_words).select(F.col("doc_id").alias("_of"), F.col("part").alias("_part"), F.col("positions").alias("_positions"))
-    joined = docs.join(covered, (docs[id_col].cast("long") == covered["_of"]) & (F.xxhash64(docs[text_col]) == covered["_part"]), "left").drop("_of", "_part")
+    gone = covered(docs, id_col, text_col, run, least_words).select(F.col("doc_id").alias("_of"), F.col("part").alias("_part"), *(F.col(c).alias(f"_{c}") for c in ("positions", "windows", "whole")))
+    joined = docs.join(gone, (docs[id_col].cast("long") == gone["_of"]) & (F.xxhash64(docs[text_col]) == gone["_part"]), "left").drop("_of", "_part")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text_col]
     return joined.mapInArrow(partial(_cleaned, text_at=text_col), ", ".join([*fields, "_text string, _removed array<struct<start:int,end:int>>, _n_removed int"]))

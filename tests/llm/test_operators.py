@@ -292,6 +292,20 @@ def test_sentences_are_the_whole_text():
     assert len(cut(long) & cut("other words before " + long)) >= len(cut(long)) - 2
 
 
+def numbered(tag, n):
+    return " ".join(f"{tag}{k}" for k in range(n))
+
+
+def test_passages_inside_sentences_go_whole(spark):
+    passage = numbered("p", 51)
+    rows = [(1, f"{numbered('a', 9)} {passage} {numbered('b', 9)}."), (2, f"{numbered('c', 30)} {passage.upper()} {numbered('d', 30)}."), (3, numbered("e", 50)), (4, numbered("g", 60)), (5, numbered("g", 60))]
+    got = {r.doc_id: r for r in spans.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1]._n_removed == got[3]._n_removed == got[4]._n_removed == 0
+    assert got[2]._text == f"{numbered('c', 30)} {numbered('d', 30)}." and got[5]._text == ""
+    (cut,) = got[2]._removed
+    assert rows[1][1][cut.start : cut.end].split() == passage.upper().split()
+
+
 # --- 7: packing ---
 
 
