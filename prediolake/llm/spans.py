@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import partial
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -48,34 +49,44 @@ def sentences(text: str | None) -> list[tuple[int, int]]:
     return out
 
 
-def span_hashes(text: str | None, run: int, least_words: int) -> list[tuple[int, bytes]]:
-    """(position of its first sentence, 128-bit hash) of every run of ``run`` consecutive sentences with ``least_words`` words or more. White space and case make no difference."""
+def span_hashes(text: str | None, run: int, least_words: int) -> list[tuple[int, int, bytes]]:
+    """(position of its first sentence, sentences, 128-bit hash) of every run of consecutive sentences: ``run``, or as many more as it takes to reach ``least_words`` words. White space and case make no difference."""
     words = [text[a:b].lower().split() for a, b in sentences(text)]
-    sizes = [len(w) for w in words]
     marked = [" ".join(w) for w in words]
-    return [(k, xxhash.xxh3_128_digest("\n".join(marked[k : k + run]))) for k in range(len(words) - run + 1) if sum(sizes[k : k + run]) >= least_words]
+    ends = [0, *accumulate(map(len, words))]
+    out = []
+    stop = 0
+    for k in range(len(words) - run + 1):
+        stop = max(stop, k + run)
+        while stop < len(words) and ends[stop] - ends[k] < least_words:
+            stop += 1
+        if ends[stop] - ends[k] < least_words:
+            break
+        out.append((k, stop - k, xxhash.xxh3_128_digest("\n".join(marked[k:stop]))))
+    return out
 
 
 def _spans(batches: Iterator[pa.RecordBatch], run: int, least_words: int) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "part", "pos", "h1", "h2"]
+    names = ["doc_id", "part", "pos", "n", "h1", "h2"]
 
-    def pack(docs: list, parts: list, poss: list, digests: list) -> pa.RecordBatch:
+    def pack(docs: list, parts: list, poss: list, ns: list, digests: list) -> pa.RecordBatch:
         halves = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(parts, pa.int64()), pa.array(poss, pa.int32()), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy())], names)
+        return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(parts, pa.int64()), pa.array(poss, pa.int32()), pa.array(ns, pa.int32()), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy())], names)
 
     for b in batches:
-        docs, parts, poss, digests = [], [], [], []
+        docs, parts, poss, ns, digests = [], [], [], [], []
         for doc, text, part in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
-            for k, h in span_hashes(text, run, least_words):
+            for k, n, h in span_hashes(text, run, least_words):
                 docs.append(doc)
                 parts.append(part)
                 poss.append(k)
+                ns.append(n)
                 digests.append(h)
             if len(docs) >= 50_000:
-                yield pack(docs, parts, poss, digests)
-                docs, parts, poss, digests = [], [], [], []
+                yield pack(docs, parts, poss, ns, digests)
+                docs, parts, poss, ns, digests = [], [], [], [], []
         if docs:
-            yield pack(docs, parts, poss, digests)
+            yield pack(docs, parts, poss, ns, digests)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -154,13 +165,13 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run
     at most its own sentences and words.
     """
     rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("part", F.xxhash64("text"))
-    spans = save(rows.mapInArrow(partial(_spans, run=run, least_words=least_words), "doc_id long, part long, pos int, h1 long, h2 long"), "spans")
+    spans = save(rows.mapInArrow(partial(_spans, run=run, least_words=least_words), "doc_id long, part long, pos int, n int, h1 long, h2 long"), "spans")
     place = F.struct("doc_id", "part", "pos")
     first = F.min(place).over(Window.partitionBy("h1", "h2"))
     again = spans.withColumn("first", first).filter(place != F.col("first"))
     repeated, copies = covered_passages(rows)
     none = F.lit(None)
-    found = again.select("doc_id", "part", F.sequence("pos", F.col("pos") + (run - 1)).alias("run"), none.cast("long").alias("h"), F.lit(False).alias("whole"))
+    found = again.select("doc_id", "part", F.sequence("pos", F.col("pos") + F.col("n") - 1).alias("run"), none.cast("long").alias("h"), F.lit(False).alias("whole"))
     found = found.union(repeated.select("doc_id", "part", none.cast("array<int>"), "h", F.lit(False))).union(copies.select("doc_id", "part", none.cast("array<int>"), none.cast("long"), F.lit(True)))
     return found.groupBy("doc_id", "part").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("run")))).alias("positions"), F.collect_set("h").alias("windows"), F.max("whole").alias("whole"))
 

@@ -306,6 +306,14 @@ def test_passages_inside_sentences_go_whole(spark):
     assert rows[1][1][cut.start : cut.end].split() == passage.upper().split()
 
 
+def test_passages_of_short_lines_go(spark):
+    verse = "\n".join(numbered(f"v{k}x", 5) for k in range(9))
+    rows = [(1, f"{numbered('a', 14)}.\n{verse}\n{numbered('b', 14)}."), (2, f"{numbered('c', 14)}.\n{verse}\n{numbered('d', 14)}.")]
+    got = {r.doc_id: r for r in spans.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1]._text == rows[0][1] and got[2]._n_removed == 9
+    assert got[2]._text == f"{numbered('c', 14)}.\n{numbered('d', 14)}."
+
+
 # --- 7: packing ---
 
 
