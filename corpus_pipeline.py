@@ -24,7 +24,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component: that with the smallest doc_id."""
+    """One document of each component over near SimHashes and over 5-word shingle sets of similarity 0.8 or more: that with the smallest doc_id."""
     return simhash.one_of_each(docs)
 
 

@@ -33,7 +33,7 @@ def op4_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = simhash.simhash_components(table(spark, sf_dir, "documents"))
+    found = simhash.simhash_components(table(spark, sf_dir, "documents"), similar=None)
     return found.select("doc_id", simhash.hex_of("fp").alias("fingerprint"), "component_id")
 
 

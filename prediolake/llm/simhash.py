@@ -1,4 +1,4 @@
-"""SimHash near-duplicates: fingerprints, pivot distance tables, and components of what is linked."""
+"""SimHash near-duplicates: fingerprints, pivot distance tables, shingle similarity, and components of what is linked."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, save
@@ -18,6 +18,11 @@ BITS = 64
 #: Reference fingerprints: 16 fixed words, mixed from odd multiples of two 64-bit constants.
 PIVOTS = tuple((0x9E3779B97F4A7C15 * (2 * k + 1) ^ (0xD1B54A32D192ED03 * (k + 7) >> 3)) & (2**64 - 1) for k in range(16))
 
+#: A text's least hashes under 128 functions, four to a band: two texts of similarity 0.8 agree on one of the 32 bands but for 1 pair in 20 million.
+BANDS, DEPTH = 32, 4
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_RANDOM = np.random.default_rng(42).integers(0, 2**64, size=(2, BANDS * DEPTH), dtype=np.uint64)
+
 
 def fingerprint(text: bytes | None, shingle: int = 3) -> int:
     """The SimHash of a UTF-8 text: A-Z lower-cased, words split at ASCII white space, ``shingle`` words a shingle (fewer words: the whole sequence), XXH64 with seed 42; a bit is set if it is in over half of the hashes. No words or null: 0."""
@@ -157,17 +162,106 @@ def near_links(prints: DataFrame, most: int = 3, tasks: int | None = None) -> Da
     return dealt.mapInArrow(partial(_links, most=most), "a long, b long").distinct()
 
 
-def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, most: int = 3) -> DataFrame:
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def shingles(text: str | None, words: int = 5) -> np.ndarray:
+    """The distinct 64-bit hashes of a text's runs of ``words`` words (fewer words: the whole sequence). White space and case make no difference."""
+    split = (text or "").lower().split()
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, split), dtype=np.uint64, count=len(split))
+    width = min(words, len(split))
+    out = np.zeros(len(split) - width + 1 if split else 0, dtype=np.uint64)
+    for k in range(width):
+        out = out * _FACTOR + hashes[k : k + len(out)]
+    return np.unique(_mixed(out))
+
+
+def bands(found: np.ndarray) -> np.ndarray:
+    """BANDS hashes, each of DEPTH of the least hashes of the shingles found; none for a wordless text."""
+    if not len(found):
+        return np.zeros(0, dtype=np.int64)
+    odd, more = _RANDOM[0] | np.uint64(1), _RANDOM[1]
+    least = np.full(BANDS * DEPTH, 2**64 - 1, dtype=np.uint64)
+    for at in range(0, len(found), 1024):
+        np.minimum(least, (odd[:, None] * found[None, at : at + 1024] + more[:, None]).min(axis=1), out=least)
+    keys = np.arange(BANDS, dtype=np.uint64)
+    for k in range(DEPTH):
+        keys = _mixed(keys * _FACTOR + least[k::DEPTH])
+    return keys.view(np.int64)
+
+
+def _sketches(batches: Iterator[pa.RecordBatch], shingle: int, words: int) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        texts = b.column(1).to_pylist()
+        prints = np.array([fingerprint(x and x.encode(), shingle) for x in texts], dtype="<u8")
+        found = [shingles(x, words) for x in texts]
+        more = [pa.array([len(x) for x in found], pa.int32()), pa.array([bands(x) for x in found], pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints.view(np.int64)), b.column(2), *more], ["doc_id", "fp", "part", "n", "bands"])
+
+
+def _shingled(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        found = [shingles(x, words).view(np.int64) for x in b.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int64()))], ["part", "found"])
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
+    """From pairs (p, q, a, b) of texts p, q with fingerprints a, b: the links (a, b) of those whose shingle sets are so similar."""
+    both = pairs.join(sets.select(F.col("part").alias("p"), F.col("found").alias("x")), "p").join(sets.select(F.col("part").alias("q"), F.col("found").alias("y")), "q")
+    common = F.size(F.array_intersect("x", "y"))
+    return both.filter(common >= similar * (F.size("x") + F.size("y") - common)).select("a", "b")
+
+
+def similar_links(texts: DataFrame, sketches: DataFrame, links: DataFrame, similar: float = 0.8, words: int = 5) -> DataFrame:
+    """links, and further links (a, b) of fingerprints, that join all texts whose ``words``-word shingle sets have a Jaccard similarity of ``similar`` or more, directly or through others.
+
+    texts: (part, text), where part names a text; sketches: (part, fp, n, bands); links: saved links (a, b) of
+    fingerprints. Candidates are texts with a band in common, verified by their sets. First each text is compared with
+    one text of each of its bands; then, within a band, all pairs that aren't joined yet. So a large group of near
+    copies isn't expanded to pairs.
+    """
+    def near(x: str, y: str) -> Column:
+        return F.least(x, y) >= similar * F.greatest(x, y)
+
+    filed = sketches.groupBy("part").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("bands").alias("bands")).select("part", "fp", "n", F.explode("bands").alias("band"))
+    same = Window.partitionBy("band")
+    ends = filed.withColumn("least", F.min(F.struct("part", "fp", "n")).over(same)).withColumn("last", F.max("part").over(same)).filter("least.part <> last")
+    filed = save(ends.drop("last"), "similar-bands")
+    asked = filed.select(F.col("part").alias("_asked")).distinct()
+    wanted = texts.join(asked, texts["part"] == asked["_asked"], "left_semi").select("part", "text")
+    sets = save(wanted.mapInArrow(partial(_shingled, words=words), "part long, found array<long>").dropDuplicates(["part"]), "similar-sets")
+    pairs = filed.filter((F.col("fp") != F.col("least.fp")) & near("n", "least.n")).select(F.col("least.part").alias("p"), F.col("part").alias("q"), F.col("least.fp").alias("a"), F.col("fp").alias("b")).distinct()
+    links = save(links.select("a", "b").union(_verified(pairs, sets, similar)), "similar-links")
+    roots = components(links, "similar")
+    named = save(filed.join(roots, filed["fp"] == roots["node"], "left").select("part", "fp", "n", "band", F.coalesce("root", "fp").alias("root")), "similar-named")
+    split = named.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("band")
+    rest = named.join(split, "band", "left_semi")
+    left, right = (rest.select("band", *(F.col(c).alias(f"{c}{k}") for c in ("part", "fp", "n", "root"))) for k in (1, 2))
+    others = left.join(right, "band").filter((F.col("part1") < F.col("part2")) & (F.col("root1") != F.col("root2")) & near("n1", "n2"))
+    return links.union(_verified(others.select(F.col("part1").alias("p"), F.col("part2").alias("q"), F.col("fp1").alias("a"), F.col("fp2").alias("b")).distinct(), sets, similar))
+
+
+def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, most: int = 3, similar: float | None = 0.8, words: int = 5) -> DataFrame:
     """(doc_id, fp, component_id) for each row of docs.
 
     component_id is the smallest doc_id reachable over fingerprints that differ in at most ``most`` bits, the row's
-    own included. Null and wordless texts have fingerprint 0 and are linked like any other. A null doc_id counts for
-    no component's name; a component of null ids only has null. Repeated rows give repeated rows; other columns are
-    left aside, whatever their names. An empty table gives no rows.
+    own included, and over texts whose ``words``-word shingle sets have a Jaccard similarity of ``similar`` or more;
+    ``similar`` None: over fingerprints alone. Null and wordless texts have fingerprint 0 and are linked like any
+    other. A null doc_id counts for no component's name; a component of null ids only has null. Repeated rows give
+    repeated rows; other columns are left aside, whatever their names. An empty table gives no rows.
     """
-    prints = save(fingerprints(docs, id_col, text_col, shingle), "simhash-prints")
+    if similar is None:
+        prints = save(fingerprints(docs, id_col, text_col, shingle), "simhash-prints")
+    else:
+        texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("part", F.xxhash64("text"))
+        prints = save(texts.mapInArrow(partial(_sketches, shingle=shingle, words=words), "doc_id long, fp long, part long, n int, bands array<long>"), "simhash-prints")
     classes = save(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
-    roots = components(near_links(classes.select("fp"), most), "simhash")
+    links = near_links(classes.select("fp"), most)
+    if similar is not None:
+        links = similar_links(texts, prints, save(links, "simhash-links"), similar, words)
+    roots = components(links, "simhash")
     linked = classes.join(roots, classes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     names = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     linked = save(linked.join(names, "root").select("fp", "component_id"), "simhash-linked")
@@ -180,7 +274,7 @@ def hex_of(col: str) -> Column:
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without near-duplicates: of each component the row with the smallest doc_id stays, once. Rows whose doc_id is null can't be told apart and stay. All columns are kept."""
+    """docs without near-duplicates, by fingerprint or by similarity of 0.8 or more of 5-word shingles: of each component the row with the smallest doc_id stays, once. Rows whose doc_id is null can't be told apart and stay. All columns are kept."""
     found = simhash_components(docs, id_col, text_col)
     keep = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_keep")).distinct()
     named = docs.filter(F.col(id_col).isNotNull())

@@ -248,6 +248,27 @@ def test_pivots_never_drop_a_near_pair():
         assert max(abs((x ^ p).bit_count() - (y ^ p).bit_count()) for p in simhash.PIVOTS) <= 3
 
 
+def test_near_copies_by_shingles(spark):
+    # of 200 words: one changed in four places shares 176 of 216 shingles (0.81), one changed in five 171 of 221 (0.77)
+    r = random.Random(12)
+    rows, want = [], {}
+    for k in range(0, 60, 3):
+        words = [f"{r.choice(WORDS)}{r.randrange(1000)}" for _ in range(200)]
+        for j, changed in enumerate((0, 4, 5)):
+            other = list(words)
+            for at in range(changed):
+                other[20 + 30 * at + 7 * j] = f"other{j}x{at}"
+            rows.append((k + j, " ".join(other)))
+        want |= {k: k, k + 1: k, k + 2: k + 2}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: x for x in simhash.simhash_components(docs).collect()}
+    prints = {k: x.fp for k, x in got.items()}
+    far = [k for k in range(0, 60, 3) if min(((prints[a] ^ prints[b]) % 2**64).bit_count() for a in (k, k + 1) for b in (k + 1, k + 2) if a != b) > 3 and ((prints[k] ^ prints[k + 2]) % 2**64).bit_count() > 3]
+    assert len(far) > 10 and all(got[k + j].component_id == want[k + j] for k in far for j in range(3))
+    assert {x.doc_id for x in simhash.one_of_each(docs).collect()} >= {k for k in far} and not {x.doc_id for x in simhash.one_of_each(docs).collect()} & {k + 1 for k in far}
+    assert {x.component_id for x in simhash.simhash_components(docs, similar=None).collect()} >= {k + 1 for k in far}
+
+
 # --- 6: spans ---
 
 
