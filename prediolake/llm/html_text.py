@@ -45,34 +45,34 @@ def _side(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
     return False, tag in _MAIN or role in ("main", "article") or names.get("itemprop", "").lower() == "articlebody" or (tag in ("div", "section", "td") and bool(_MAIN_NAME.search(words)))
 
 
-def lines_of(html: str) -> list[tuple[str, int, bool]]:
-    """The page without markup, as (text of a block, its characters outside links, whether it stands in a main element), in page order.
+def lines_of(html: str) -> list[tuple[str, int, bool, tuple[int, ...]]]:
+    """The page without markup, as (text of a block, its characters outside links, whether it stands in a main element, the numbers of its element and of that one's parent), in page order.
 
     An element that is left out gives as many empty lines as a window has, so the text on its two sides never shares
-    a window.
+    a window. They bear the number of the element's parent, 0 for body and what is around it.
     """
-    out: list[tuple[str, int, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []
+    out: list[tuple[str, int, bool, tuple[int, ...]]] = []
+    stack: list[tuple[str, bool, bool, int]] = []
     parts: list[str] = []
     linked: list[str] = []
-    dropped = main = links = 0
+    dropped = main = links = made = 0
 
     def close() -> None:
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
                 over = " ".join(unescape("".join(linked)).split())
-                out.append((text, max(0, len(text) - len(over)), main > 0))
+                out.append((text, max(0, len(text) - len(over)), main > 0, tuple(x[3] for x in stack[-2:])))
             parts.clear()
             linked.clear()
 
     def pop() -> None:
         nonlocal dropped, main
-        _, gone, chief = stack.pop()
+        _, gone, chief, _ = stack.pop()
         dropped -= gone
         main -= chief
         if gone and not dropped:
-            out.extend([("", 0, False)] * WINDOW)
+            out.extend([("", 0, False, (stack[-1][3] if stack else 0,))] * WINDOW)
 
     at = 0
     for m in _TOKEN.finditer(html):
@@ -91,7 +91,7 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
         elif m[2]:
             if tag in _BLOCKS:
                 close()
-            if any(tag == t for t, _, _ in stack):
+            if any(tag == x[0] for x in stack):
                 while True:
                     last = stack[-1][0]
                     pop()
@@ -109,7 +109,8 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
             if block or gone:
                 if gone and not dropped:
                     close()
-                stack.append((tag, gone, chief))
+                made += 1
+                stack.append((tag, gone, chief, 0 if tag in ("html", "body") else made))
                 dropped += gone
                 main += chief
     if at < len(html) and not dropped:
@@ -118,20 +119,27 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
     return out
 
 
+def _parted(lines: list[tuple[str, int, bool, tuple[int, ...]]], a: int, b: int) -> bool:
+    """Whether the lines at a and b are parted only by left out elements of one parent that is theirs too."""
+    (parent, *others) = {line[3] if not line[0] else () for line in lines[a + 1 : b]} or {()}
+    return not others and parent not in ((), (0,)) and parent[0] in lines[a][3] and parent[0] in lines[b][3]
+
+
 def main_text(html: str | None) -> str:
     """The main text: the blocks between surges and dives of the text in sliding windows of lines, joined by line ends.
 
     Links don't count as text, so menus stay flat. A stretch begins where a window first holds text and ends where a
     window is empty; it is kept if its fullest window surges to 80 characters, or to a quarter of the page's fullest
-    window where that is less. Where the page names a main element (article, main, or a name like content), only its
+    window where that is less. Stretches that are parted only by elements left out of their own parent (not of
+    body) are judged as one. Where the page names a main element (article, main, or a name like content), only its
     lines count and any text in it is a surge. Null and empty pages: an empty text.
     """
     lines = lines_of(html or "")
-    named = any(chief for text, _, chief in lines if text)
-    sizes = [(len(text) if chief else 0) if named else free for text, free, chief in lines]
+    named = any(chief for text, _, chief, _ in lines if text)
+    sizes = [(len(text) if chief else 0) if named else free for text, free, chief, _ in lines]
     windows = [sum(sizes[k : k + WINDOW]) for k in range(len(sizes))]
     surge = 1 if named else min(SURGE, max(windows, default=0) / 4)
-    kept: list[str] = []
+    stretches: list[tuple[int, list[tuple[int, int]]]] = []
     k, n = 0, len(lines)
     while k < n:
         if not windows[k]:
@@ -140,12 +148,16 @@ def main_text(html: str | None) -> str:
         stop = k
         while stop < n and windows[stop]:
             stop += 1
-        if max(windows[k:stop]) >= max(1, surge):
-            stretch = [i for i in range(k, stop) if sizes[i]]
-            if stretch:
-                kept += [lines[i][0] for i in range(stretch[0], stretch[-1] + 1) if lines[i][0] and (lines[i][2] or not named)]
+        full = [i for i in range(k, stop) if sizes[i]]
+        if full:
+            peak, before = max(windows[k:stop]), stretches[-1][1] if stretches else []
+            if before and _parted(lines, before[-1][1], full[0]):
+                stretches[-1] = (max(peak, stretches[-1][0]), before + [(full[0], full[-1])])
+            else:
+                stretches.append((peak, [(full[0], full[-1])]))
         k = stop
-    return "\n".join(kept)
+    chosen = [i for peak, runs in stretches if peak >= max(1, surge) for a, b in runs for i in range(a, b + 1)]
+    return "\n".join(lines[i][0] for i in chosen if lines[i][0] and (lines[i][2] or not named))
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -400,6 +400,14 @@ def test_main_text():
     assert len(html_text.main_text("<article>" + "<p>x y</p>" * 20000)) == 4 * 20000 - 1
 
 
+def test_text_after_an_inline_advert_stays():
+    long = "x" * 200
+    ad = "<div class='ad'>Buy</div>"
+    assert html_text.main_text(f"<div><p>{long}</p>{ad}<p>It ends here.</p></div>") == f"{long}\nIt ends here."
+    assert html_text.main_text(f"<body><div>{long}{ad}{ad}Then.{ad}<p>End.</p></div>{ad}<div>(c) x</div>") == f"{long}\nThen.\nEnd."
+    assert html_text.main_text(f"<body><div>{long}</div>{ad}<div>(c) x</div>") == long
+
+
 def test_extract_pages(spark):
     pages = spark.createDataFrame([(1, "u", "<main>a<br>b</main>", 5), (1, "u", "<main>a<br>b</main>", 5), (2, None, None, None)], "page_id long, url string, html string, n_chars int")
     assert sorted((r.page_id, r.text, r.n_chars) for r in html_text.extract_text(pages).collect()) == [(1, "a b", 3), (1, "a b", 3), (2, "", 0)]
