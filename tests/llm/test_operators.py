@@ -1,5 +1,6 @@
 """Each operator against a plain version of itself, and over nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import inspect
 import math
 import random
 import zlib
@@ -184,6 +185,16 @@ def test_flat_arrays_hold_the_graph():
     assert all(graph.nearest(q, 60)[:5] == again.nearest(q, 60)[:5] for q in x[:20])
 
 
+def test_default_beam_finds_nearly_all():
+    x = np.random.default_rng(3).normal(size=(2048, 32)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    graph = ann.Graph(x)
+    graph.build(list(range(len(x))))
+    beam = inspect.signature(ann.nearest).parameters["ef"].default
+    hits = sum(len(set(graph.nearest(q, beam)[:20]) & set(np.argsort(-(x @ q))[:20].tolist())) for q in x[::8])
+    assert hits >= 0.999 * 20 * len(x[::8])
+
+
 # --- 5: SimHash ---
 
 
