@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import save
+from .common import save, through_arrow
 
 RATE, FRAME, HOP = 5512, 2048, 689
 CLASSES = 12
@@ -135,7 +135,7 @@ def fingerprints(recordings: DataFrame, id_col: str = "rec_id", audio_col: str =
     other columns are left aside; an empty table gives no rows.
     """
     rows = recordings.select(F.col(id_col).cast("long").alias("rec_id"), F.col(audio_col).alias("audio"))
-    return rows.mapInArrow(partial(_prints, samples=samples), "rec_id long, digest long, prints array<int>")
+    return through_arrow(rows, partial(_prints, samples=samples), "rec_id long, digest long, prints array<int>")
 
 
 def _aligned(batches: Iterator[pa.RecordBatch], most_errors: float, least_overlap: int) -> Iterator[pa.RecordBatch]:
@@ -173,7 +173,7 @@ def align(prints: DataFrame, every: int = 50, least_votes: int = 3, most_errors:
     counted = found.groupBy("q", "c", (F.col("pos") - F.col("at")).alias("offset")).agg(F.count(F.lit(1)).alias("votes")).filter(F.col("votes") >= least_votes)
     best = counted.groupBy("q", "c").agg(F.max(F.struct("votes", (-F.col("offset")).alias("o"))).alias("b")).select("q", "c", (-F.col("b.o")).cast("int").alias("offset"), F.col("b.votes").alias("votes"))
     sides = best.join(classes.select(F.col("class_id").alias("q"), F.col("prints").alias("x")), "q").join(classes.select(F.col("class_id").alias("c"), F.col("prints").alias("y")), "c")
-    verified = sides.select("q", "c", "offset", "votes", "x", "y").mapInArrow(partial(_aligned, most_errors=most_errors, least_overlap=least_overlap), "q long, c long, offset int, votes long, overlap int, bit_error_rate double")
+    verified = through_arrow(sides.select("q", "c", "offset", "votes", "x", "y"), partial(_aligned, most_errors=most_errors, least_overlap=least_overlap), "q long, c long, offset int, votes long, overlap int, bit_error_rate double")
     asking = members.filter(F.pmod("rec_id", F.lit(every)) == 0).select("rec_id", F.col("class_id").alias("q"))
     matches = asking.join(verified, "q").select(F.lit("match").alias("kind"), "rec_id", F.col("c").alias("class_id"), "offset", "votes", "overlap", "bit_error_rate")
     nothing = {"offset": "int", "votes": "long", "overlap": "int", "bit_error_rate": "double"}

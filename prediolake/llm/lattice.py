@@ -15,7 +15,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import save
+from .common import save, through_arrow
 
 LOG10 = math.log(10)
 _START = "▁"
@@ -186,18 +186,18 @@ def score_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id
     spark = docs.sparkSession
     out = F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(folds)) == fold, F.lit(False))
     rows = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.col(id_col).cast("long").alias("doc_id"), out.alias("held_out"))
-    counted = save(rows.select("text", "held_out").mapInArrow(_counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
+    counted = save(through_arrow(rows.select("text", "held_out"), _counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
     ends = rows.filter(~F.col("held_out")).count()
     sums = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0), F.count_if(F.col("n") == 1)).first()
     tokens, types = sums[0] + ends, sums[1] + (ends > 0)
     new = min(0.5, max(1e-6, sums[2] / tokens)) if tokens else 0.5
-    found = counted.filter("n > 0").select("word").mapInArrow(partial(_pieces, path=vocabulary_path), "piece int, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()
+    found = through_arrow(counted.filter("n > 0").select("word"), partial(_pieces, path=vocabulary_path), "piece int, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()
     pieces = {r["piece"]: float(r["n"]) for r in found}
     weigh = partial(_weighed, path=vocabulary_path, pieces=pieces, stops=pieces.pop(-1, 0.0), tokens=tokens, types=types, new=new)
-    words = save(counted.mapInArrow(weigh, "word string, n long, base double, score double"), "lm-words")
+    words = save(through_arrow(counted, weigh, "word string, n long, base double, score double"), "lm-words")
     top = _frequent(words, most_frequent).toArrow()
     frequent = spark.sparkContext.broadcast((top["word"].cast(pa.binary()).to_pylist(), ((top["n"].to_numpy() > 0).astype(np.int64), top["base"].to_numpy(), top["score"].to_numpy())))
-    read = save(rows.mapInArrow(partial(_read, frequent=frequent), "row long, doc_id long, held_out boolean, word string, times long, known long, base double, score double"), "lm-read")
+    read = save(through_arrow(rows, partial(_read, frequent=frequent), "row long, doc_id long, held_out boolean, word string, times long, known long, base double, score double"), "lm-read")
     own = read.filter("word IS NULL")
     rest = read.filter("word IS NOT NULL").select("row", "word", "times").join(words, "word")
     times = F.col("times")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -20,23 +21,31 @@ def tokens(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def _signs(text: Column, signs: str) -> Column:
+    """How many of a text's signs are among those given."""
+    return F.length(text) - F.length(F.translate(text, signs, ""))
+
+
 def form_topic(text: Column, n_tokens: Column) -> Column:
     """A topic by the text's form, for tables that bear none: empty; symbols (a sign of #$%&* for each two words or more); shouting (more A-Z than a-z); brief (under 100 words); long (1000 words or more); prose."""
-    signs, capitals, small = (F.regexp_count(text, F.lit(x)) for x in ("[#$%&*]", "[A-Z]", "[a-z]"))
+    signs, capitals, small = (_signs(text, x) for x in ("#$%&*", ascii_uppercase, ascii_lowercase))
     return (
         F.when(text.isNull() | (n_tokens == 0), "empty").when(2 * signs >= n_tokens, "symbols").when(capitals > small, "shouting")
         .when(n_tokens < 100, "brief").when(n_tokens >= 1000, "long").otherwise("prose")
     )
 
 
+def _measures(docs: DataFrame, text_col: str, source_col: str, lang_col: str, topic_col: str | None) -> list[Column]:
+    """source, lang, topic and n_tokens of a row of docs; a null source, language or topic is the level (none)."""
+    text = docs[f"`{text_col}`"].cast("string")
+    n = tokens(text)
+    levels = (docs[f"`{source_col}`"], docs[f"`{lang_col}`"], docs[f"`{topic_col}`"] if topic_col else form_topic(text, n))
+    return [*(F.coalesce(x.cast("string"), F.lit(NONE)).alias(c) for c, x in zip(DIMENSIONS, levels, strict=True)), n.alias("n_tokens")]
+
+
 def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topic_col: str | None = None) -> DataFrame:
     """(doc_id, source, lang, topic, n_tokens) for each row; a null source, language or topic is the level (none)."""
-    text = F.col(text_col).cast("string")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(lang_col).alias("lang"), *([F.col(topic_col).alias("topic")] if topic_col else []), text.alias("_t"))
-    rows = rows.withColumn("n_tokens", tokens(F.col("_t")))
-    if not topic_col:
-        rows = rows.withColumn("topic", form_topic(F.col("_t"), F.col("n_tokens")))
-    return rows.select("doc_id", *(F.coalesce(F.col(c).cast("string"), F.lit(NONE)).alias(c) for c in DIMENSIONS), "n_tokens")
+    return docs.select(docs[f"`{id_col}`"].alias("doc_id"), *_measures(docs, text_col, source_col, lang_col, topic_col))
 
 
 def _targets(sums: dict[str, float], given: Mapping[str, float] | None, temper: float, total: float) -> dict[str, float]:
@@ -98,6 +107,18 @@ def draw(id_col: Column, seed: str = "mix") -> Column:
     return F.conv(F.substring(F.md5(F.concat(id_col.cast("string"), F.lit(seed)).cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
+def _chances(cells: DataFrame, fraction: float, temper: float, rounds: int, targets: Mapping[str, Mapping[str, float]] | None, most_cells: int) -> tuple[DataFrame, bool]:
+    """(source, lang, topic, _p) of each cell (a saved table with n_tokens), and whether they are few enough to be sent to all tasks."""
+    spark = cells.sparkSession
+    few = cells.limit(most_cells + 1).count() <= most_cells
+    if few:
+        held = [(r["source"], r["lang"], r["topic"], r["n_tokens"]) for r in cells.orderBy(*DIMENSIONS).collect()]
+        raked = spark.createDataFrame([(*c, y) for c, y in zip(held, rake_cells(held, fraction, temper, rounds, targets), strict=True)], "source string, lang string, topic string, n_tokens long, y double")
+    else:
+        raked = _rake_frame(cells, fraction, temper, rounds, targets)
+    return raked.select(*DIMENSIONS, F.when(F.col("n_tokens") > 0, F.col("y") / F.col("n_tokens")).alias("_p")), few
+
+
 def calibrate(rows: DataFrame, fraction: float = 0.5, temper: float = 0.7, rounds: int = 20, targets: Mapping[str, Mapping[str, float]] | None = None, most_cells: int = 100_000) -> DataFrame:
     """Add weight and probability to measured rows (a saved table): what keeps ``fraction`` of all tokens at the target shares.
 
@@ -106,19 +127,26 @@ def calibrate(rows: DataFrame, fraction: float = 0.5, temper: float = 0.7, round
     ``fraction``. Up to ``most_cells`` cells are raked on the driver and sent to all tasks; more of them, by
     DataFrame operations with the same result, joined by key (Spark splits a hot source's join).
     """
-    spark = rows.sparkSession
     cells = save(rows.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("n_tokens")), "mix-sums")
-    few = cells.limit(most_cells + 1).count() <= most_cells
-    if few:
-        held = [(r["source"], r["lang"], r["topic"], r["n_tokens"]) for r in cells.orderBy(*DIMENSIONS).collect()]
-        raked = spark.createDataFrame([(*c, y) for c, y in zip(held, rake_cells(held, fraction, temper, rounds, targets), strict=True)], "source string, lang string, topic string, n_tokens long, y double")
-    else:
-        raked = _rake_frame(cells, fraction, temper, rounds, targets)
-    chance = raked.select(*DIMENSIONS, F.when(F.col("n_tokens") > 0, F.col("y") / F.col("n_tokens")).alias("_p"))
+    chance, few = _chances(cells, fraction, temper, rounds, targets, most_cells)
     out = rows.join(F.broadcast(chance) if few else chance, list(DIMENSIONS), "left")
     return out.withColumn("weight", F.coalesce(F.col("_p") / F.lit(fraction), F.lit(0.0))).withColumn("probability", F.coalesce("_p", F.lit(fraction))).drop("_p")
 
 
+def sample(docs: DataFrame, fraction: float = 0.5, temper: float = 0.7, rounds: int = 20, targets: Mapping[str, Mapping[str, float]] | None = None, seed: str = "mix", most_cells: int = 100_000, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topic_col: str | None = None) -> DataFrame:
+    """The rows of docs, all columns, that mix() keeps.
+
+    The texts are read twice, to count the cells and to draw, and not shuffled: a row's cell and draw depend on the
+    row alone, and the cells' chances are sent to all tasks (beyond ``most_cells`` cells they are joined by key).
+    """
+    columns = (text_col, source_col, lang_col, topic_col)
+    cells = save(docs.select(*_measures(docs, *columns)).groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("n_tokens")), "mix-sums")
+    chance, few = _chances(cells, fraction, temper, rounds, targets, most_cells)
+    rows = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), docs[f"`{id_col}`"].alias("doc_id"), *_measures(docs, *columns)[:-1])
+    drawn = rows.join(F.broadcast(chance) if few else chance, list(DIMENSIONS), "left").filter(draw(F.col("doc_id"), seed) < F.coalesce("_p", F.lit(fraction)))
+    return drawn.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
+
+
 def mix(docs: DataFrame, fraction: float = 0.5, temper: float = 0.7, rounds: int = 20, targets: Mapping[str, Mapping[str, float]] | None = None, seed: str = "mix", **columns: str | None) -> DataFrame:
     """doc_id, source, lang, topic, n_tokens, weight, probability, draw and kept (draw < probability) for each row of docs.
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
-from .common import number_rows, salts_for, save
+from .common import number_rows, salts_for, save, through_arrow
 
 #: A word of Latin letters and the ASCII signs after it: the tokenizer splits it there and nowhere else.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
@@ -122,7 +122,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
-    return rows.mapInArrow(partial(_pieces, path=tokenizer_path, capacity=capacity, end_id=end_id, with_ids=with_ids), schema)
+    return through_arrow(rows, partial(_pieces, path=tokenizer_path, capacity=capacity, end_id=end_id, with_ids=with_ids), schema)
 
 
 def fullest(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -220,7 +220,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     places = _places(slack_plan(histogram, capacity))
     ranked = number_rows(pieces, ["length"], ["doc_id", "piece", "ids_crc32"], "_rank", salts_for(max(histogram.values(), default=0), 1))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema] + ["sequence_id long", "offset long"]
-    return ranked.select(*pieces.columns, "_rank").mapInArrow(partial(_placed, places=places), ", ".join(fields))
+    return through_arrow(ranked.select(*pieces.columns, "_rank"), partial(_placed, places=places), ", ".join(fields))
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048, end_id: int = 0) -> DataFrame:

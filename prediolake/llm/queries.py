@@ -39,7 +39,7 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = spans.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return cleaned.select("doc_id", F.col("_text").alias("text"), F.col("_removed").alias("removed"), F.col("_n_removed").alias("n_removed"))
+    return cleaned.select("doc_id", "text", F.col("repeats.removed").alias("removed"), F.col("repeats.n").alias("n_removed"))
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, save
+from .common import components, save, through_arrow
 
 BITS = 64
 #: Reference fingerprints: 16 fixed words, mixed from odd multiples of two 64-bit constants.
@@ -47,7 +47,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[p
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """(doc_id, fp) for each row; fp is the unsigned fingerprint held in a signed long."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(partial(_fingerprints, shingle=shingle), "doc_id long, fp long")
+    return through_arrow(rows, partial(_fingerprints, shingle=shingle), "doc_id long, fp long")
 
 
 def pivot_table(prints: DataFrame) -> DataFrame:
@@ -69,97 +69,95 @@ def _block_masks(most: int) -> list[int]:
     return [sum(c) for c in combinations(blocks, most)]
 
 
-def _forest(prints: np.ndarray, coords: np.ndarray, most: int, side: int = 2048) -> list[tuple[int, int]]:
-    """Links (position, smaller position) that join what is within ``most`` bits.
+def _forest(prints: np.ndarray, coords: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Links (position, position) that join what is within ``most`` bits.
 
     prints: distinct words, coords: their distances to the pivots. A pair whose coordinates differ by more than
-    ``most`` anywhere can't be that near (triangle inequality), so it is dropped before its words are compared.
-    Blocks of side x side pairs bound the memory; at most len - 1 links come out.
+    ``most`` anywhere can't be that near (triangle inequality). So a word is only compared with the words that the
+    table leaves: a stretch of those sorted by the first pivot, then less by each further one; the survivors are
+    verified. A word that is linked isn't compared as a candidate again, so a dense group costs a few passes, and at
+    most len - 1 links come out.
     """
-    n = len(prints)
-    parent = list(range(n))
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
     order = np.argsort(coords[:, 0], kind="stable")
-    first, signed = coords[order, 0].astype(np.int16), coords[order].astype(np.int16)
-    words = prints[order]
-    for a in range(0, n, side):
-        stop = int(np.searchsorted(first, first[min(a + side, n) - 1] + most, side="right"))
-        for b in range(a, stop, side):
-            left, right = slice(a, min(a + side, n)), slice(b, min(b + side, n))
-            near = np.ones((left.stop - a, right.stop - b), dtype=bool)
-            for k in range(signed.shape[1]):
-                near &= np.abs(signed[left, k, None] - signed[None, right, k]) <= most
-            i, j = np.nonzero(near)
-            i, j = i + a, j + b
-            ahead = i < j
-            i, j = i[ahead], j[ahead]
-            close = np.bitwise_count(words[i] ^ words[j]) <= most
-            for x, y in zip(order[i[close]].tolist(), order[j[close]].tolist(), strict=True):
-                x, y = find(x), find(y)
-                if x != y:
-                    parent[max(x, y)] = min(x, y)
-    return [(x, r) for x in range(n) if (r := find(x)) != x]
+    words, table = prints[order], coords[order].astype(np.int16)
+    alone = np.arange(len(order))
+    out: list[tuple[int, int]] = []
+    while len(alone) > 1:
+        ahead, alone = [int(alone[0])], alone[1:]
+        while ahead and len(alone):
+            x = ahead.pop()
+            first = table[alone, 0]
+            lo, hi = np.searchsorted(first, table[x, 0] - most), np.searchsorted(first, table[x, 0] + most, side="right")
+            near = alone[lo:hi]
+            for k in range(1, table.shape[1]):
+                if not len(near):
+                    break
+                near = near[np.abs(table[near, k] - table[x, k]) <= most]
+            near = near[np.bitwise_count(words[near] ^ words[x]) <= most]
+            if len(near):
+                out += [(int(order[y]), int(order[x])) for y in near]
+                ahead += near.tolist()
+                alone = np.setdiff1d(alone, near, assume_unique=True)
+    return out
 
 
 def _links(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """From rows (table, key, fp, d0, d1) sorted by table and key: the links within each run of equal keys."""
-    names = ("a", "b")
-
+    """From rows (table, key, block, fp, d0, d1) sorted by the first three: the links within each run of equal ones."""
     def pack(found: list[tuple[int, int]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], list(names))
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
 
-    def done(cols: list[np.ndarray], cut: int, found: list) -> None:
-        table, key, fp, d0, d1 = (c[:cut] for c in cols)
-        starts = np.flatnonzero(np.r_[True, (table[1:] != table[:-1]) | (key[1:] != key[:-1])])
-        ends = np.r_[starts[1:], cut]
+    def done(cols: list[np.ndarray]) -> list[tuple[int, int]]:
+        *keys, fp, d0, d1 = cols
+        found: list[tuple[int, int]] = []
+        starts = np.flatnonzero(np.r_[True, np.any([k[1:] != k[:-1] for k in keys], axis=0)])
+        ends = np.r_[starts[1:], len(fp)]
         for s, e in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist(), strict=True):
             run = fp[s:e].view(np.uint64)
             coords = np.stack([d0[s:e], d1[s:e]], axis=1).astype("<i8").view(np.uint8).reshape(e - s, 16)
             found += [(int(fp[s + x]), int(fp[s + y])) for x, y in _forest(run, coords, most)]
+        return found
 
-    held: list[np.ndarray] | None = None
+    held: list[list[np.ndarray]] = []  # of the last run, which may go on in the next batch
     for b in batches:
-        cols = [b.column(k).to_numpy(zero_copy_only=False) for k in range(5)]
-        if not len(cols[0]):
+        cols = [b.column(k).to_numpy(zero_copy_only=False) for k in range(6)]
+        if not b.num_rows:
             continue
-        cols = cols if held is None else [np.concatenate([h, c]) for h, c in zip(held, cols, strict=True)]
-        same = (cols[0] == cols[0][-1]) & (cols[1] == cols[1][-1])
-        cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
-        found: list[tuple[int, int]] = []
-        if cut:
-            done(cols, cut, found)
-        held = [c[cut:] for c in cols]
-        if found:
-            yield pack(found)
-    if held is not None and len(held[0]):
-        found = []
-        done(held, len(held[0]), found)
+        others = np.flatnonzero(np.any([c != c[-1] for c in cols[:3]], axis=0))
+        if not len(others) and (not held or all(h[0] == c[0] for h, c in zip(held[-1][:3], cols, strict=False))):
+            held.append(cols)
+            continue
+        cut = int(others[-1]) + 1 if len(others) else 0
+        found = done([np.concatenate(x) for x in zip(*held, [c[:cut] for c in cols], strict=True)])
+        held = [[c[cut:] for c in cols]]
         if found:
             yield pack(found)
+    if held and (found := done([np.concatenate(x) for x in zip(*held, strict=True)])):
+        yield pack(found)
 
 
-def near_links(prints: DataFrame, most: int = 3, tasks: int | None = None) -> DataFrame:
+def near_links(prints: DataFrame, most: int = 3, tasks: int | None = None, side: int = 20_000) -> DataFrame:
     """Links (a, b) of distinct fingerprints that connect all that are within ``most`` bits, directly or through others.
 
     prints: distinct fp. Each is filed under the C(2 most, most) half-words on which a near word must agree with it
     (2 most blocks, of which ``most`` stay whole); words under one half-word are compared through their pivot
     distances and the survivors are verified. Links within a half-word are a forest, never all pairs. A half-word
-    holds distinct words only, so a large group of copies is one row, and near copies of one text are at most the
-    few thousand words within ``most`` bits in the other half.
+    holds distinct words only, so a large group of copies is one row. One of over ``side`` words is dealt into parts of
+    about that size, and each two parts, or a part by itself, are a block of their own: no task gets more than two
+    parts, and no pair is left out.
     """
-    masks = _block_masks(most)
-    signed = [m - 2**64 if m >= 2**63 else m for m in masks]
-    filed = pivot_table(prints).select(
-        F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in signed])).alias("table", "key"), "fp", "d0", "d1"
-    )
-    dealt = filed.repartition(*([tasks] if tasks else []), "table", "key").sortWithinPartitions("table", "key")
-    return dealt.mapInArrow(partial(_links, most=most), "a long, b long").distinct()
+    signed = [m - 2**64 if m >= 2**63 else m for m in _block_masks(most)]
+    keys = F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in signed])).alias("table", "key")
+    large = save(prints.select(keys).groupBy("table", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > side), "simhash-large")
+    filed = pivot_table(prints).select(keys, "fp", "d0", "d1")
+    if large.isEmpty():
+        blocked = filed.withColumn("block", F.lit(0).cast("long"))
+    else:
+        sized = filed.join(large, ["table", "key"], "left").withColumn("parts", F.coalesce(F.ceil(F.col("n") / side), F.lit(1)))
+        sized = sized.withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+        blocked = sized.withColumn("block", F.least("part", "other") * F.col("parts") + F.greatest("part", "other"))
+    blocked = blocked.select("table", "key", "block", "fp", "d0", "d1")
+    dealt = blocked.repartition(*([tasks] if tasks else []), "table", "key", "block").sortWithinPartitions("table", "key", "block")
+    return through_arrow(dealt, partial(_links, most=most), "a long, b long").distinct()
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -225,13 +223,12 @@ def similar_links(texts: DataFrame, sketches: DataFrame, links: DataFrame, simil
     def near(x: str, y: str) -> Column:
         return F.least(x, y) >= similar * F.greatest(x, y)
 
-    filed = sketches.groupBy("part").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("bands").alias("bands")).select("part", "fp", "n", F.explode("bands").alias("band"))
-    same = Window.partitionBy("band")
-    ends = filed.withColumn("least", F.min(F.struct("part", "fp", "n")).over(same)).withColumn("last", F.max("part").over(same)).filter("least.part <> last")
-    filed = save(ends.drop("last"), "similar-bands")
+    filed = save(sketches.groupBy("part").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("bands").alias("bands")), "similar-texts").select("part", "fp", "n", F.explode("bands").alias("band"))
+    ends = filed.groupBy("band").agg(F.min(F.struct("part", "fp", "n")).alias("least"), F.max("part").alias("last")).filter("least.part <> last").drop("last")
+    filed = save(filed.join(save(ends, "similar-shared"), "band"), "similar-bands")
     asked = filed.select(F.col("part").alias("_asked")).distinct()
     wanted = texts.join(asked, texts["part"] == asked["_asked"], "left_semi").select("part", "text")
-    sets = save(wanted.mapInArrow(partial(_shingled, words=words), "part long, found array<long>").dropDuplicates(["part"]), "similar-sets")
+    sets = save(through_arrow(wanted, partial(_shingled, words=words), "part long, found array<long>").groupBy("part").agg(F.first("found").alias("found")), "similar-sets")
     pairs = filed.filter((F.col("fp") != F.col("least.fp")) & near("n", "least.n")).select(F.col("least.part").alias("p"), F.col("part").alias("q"), F.col("least.fp").alias("a"), F.col("fp").alias("b")).distinct()
     links = save(links.select("a", "b").union(_verified(pairs, sets, similar)), "similar-links")
     roots = components(links, "similar")
@@ -243,20 +240,14 @@ def similar_links(texts: DataFrame, sketches: DataFrame, links: DataFrame, simil
     return links.union(_verified(others.select(F.col("part1").alias("p"), F.col("part2").alias("q"), F.col("fp1").alias("a"), F.col("fp2").alias("b")).distinct(), sets, similar))
 
 
-def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, most: int = 3, similar: float | None = 0.8, words: int = 5) -> DataFrame:
-    """(doc_id, fp, component_id) for each row of docs.
-
-    component_id is the smallest doc_id reachable over fingerprints that differ in at most ``most`` bits, the row's
-    own included, and over texts whose ``words``-word shingle sets have a Jaccard similarity of ``similar`` or more;
-    ``similar`` None: over fingerprints alone. Null and wordless texts have fingerprint 0 and are linked like any
-    other. A null doc_id counts for no component's name; a component of null ids only has null. Repeated rows give
-    repeated rows; other columns are left aside, whatever their names. An empty table gives no rows.
-    """
+def _rooted(docs: DataFrame, id_col: str, text_col: str, shingle: int, most: int, similar: float | None, words: int) -> DataFrame:
+    """(doc_id, fp, root, component_id) for each row of docs, and part (the text's hash) where ``similar`` is given; rows of one component have one root."""
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     if similar is None:
-        prints = save(fingerprints(docs, id_col, text_col, shingle), "simhash-prints")
+        prints = save(fingerprints(texts, shingle=shingle), "simhash-prints")
     else:
-        texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("part", F.xxhash64("text"))
-        prints = save(texts.mapInArrow(partial(_sketches, shingle=shingle, words=words), "doc_id long, fp long, part long, n int, bands array<long>"), "simhash-prints")
+        texts = texts.withColumn("part", F.xxhash64("text"))
+        prints = save(through_arrow(texts, partial(_sketches, shingle=shingle, words=words), "doc_id long, fp long, part long, n int, bands array<long>"), "simhash-prints")
     classes = save(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
     links = near_links(classes.select("fp"), most)
     if similar is not None:
@@ -264,8 +255,20 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     roots = components(links, "simhash")
     linked = classes.join(roots, classes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     names = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    linked = save(linked.join(names, "root").select("fp", "component_id"), "simhash-linked")
-    return prints.join(linked, "fp").select("doc_id", "fp", "component_id")
+    linked = save(linked.join(names, "root").select("fp", "root", "component_id"), "simhash-linked")
+    return prints.join(linked, "fp").select("doc_id", "fp", *(["part"] if similar is not None else []), "root", "component_id")
+
+
+def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, most: int = 3, similar: float | None = 0.8, words: int = 5) -> DataFrame:
+    """(doc_id, fp, component_id) for each row of docs.
+
+    component_id is the smallest doc_id reachable over fingerprints that differ in at most ``most`` bits, the row's
+    own included, and over texts whose ``words``-word shingle sets have a Jaccard similarity of ``similar`` or more;
+    ``similar`` None: over fingerprints alone. Null and wordless texts have fingerprint 0 and are linked like any
+    other. A null doc_id counts for no component's name; a component of null ids only has null. Repeated rows give
+    repeated rows; other columns are left aside, whatever their names. An empty table gives no rows.
+    """
+    return _rooted(docs, id_col, text_col, shingle, most, similar, words).select("doc_id", "fp", "component_id")
 
 
 def hex_of(col: str) -> Column:
@@ -274,9 +277,20 @@ def hex_of(col: str) -> Column:
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without near-duplicates, by fingerprint or by similarity of 0.8 or more of 5-word shingles: of each component the row with the smallest doc_id stays, once. Rows whose doc_id is null can't be told apart and stay. All columns are kept."""
-    found = simhash_components(docs, id_col, text_col)
-    keep = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_keep")).distinct()
-    named = docs.filter(F.col(id_col).isNotNull())
-    kept = named.join(keep, named[id_col].cast("long") == keep["_keep"], "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.filter(F.col(id_col).isNull()))
+    """docs without near-duplicates, by fingerprint or by similarity of 0.8 or more of 5-word shingles, all columns kept.
+
+    Of each component one row stays: that with the smallest doc_id, of several texts under that id the one with the
+    least hash, and of rows that repeat id and text one of them. So two texts that aren't near copies both stay, even
+    under one id. Null and wordless texts are copies of one another. Rows whose doc_id is null can't be told apart and
+    stay. An empty table gives no rows.
+    """
+    found = _rooted(docs, id_col, text_col, 3, 3, 0.8, 5).filter("doc_id IS NOT NULL")
+    counted = found.groupBy("root", "doc_id", "part").agg(F.count(F.lit(1)).alias("n"))
+    keep = save(counted.groupBy("root").agg(F.min(F.struct("doc_id", "part", "n")).alias("k")).select(F.col("k.doc_id").alias("doc_id"), F.col("k.part").alias("part"), F.col("k.n").alias("n")), "simhash-keep")
+    rows = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), docs[f"`{id_col}`"].cast("long").alias("doc_id"), F.xxhash64(docs[f"`{text_col}`"].cast("string")).alias("part"))
+    parts = [rows.join(keep.filter("n = 1"), ["doc_id", "part"], "left_semi"), rows.filter("doc_id IS NULL")]
+    often = keep.filter("n > 1").select("doc_id", "part")
+    if not often.isEmpty():
+        parts.append(rows.join(often, ["doc_id", "part"]).dropDuplicates(["doc_id", "part"]))
+    kept = reduce(DataFrame.union, [x.select("row") for x in parts])
+    return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))

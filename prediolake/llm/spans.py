@@ -10,14 +10,14 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from .common import save
+from .common import save, through_arrow
 
 #: A sentence: up to closing marks and the white space after them, or to the end of a line.
 _SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+(?!\s|$)[^.!?\n]*)*(?:[.!?]+\s*|\n\s*|$)")
-_LONG, _CUT = 40, 12
 #: Words of a window, and of the grams whose least hash in a window is its anchor.
 PASSAGE, GRAM = 51, 12
 _BASE = 0x9E3779B97F4A7C15
@@ -27,30 +27,13 @@ def sentences(text: str | None) -> list[tuple[int, int]]:
     """(start, end) of the text's sentences; together they are the whole text.
 
     A sentence ends after . ! or ? before white space, or at the end of a line, and holds the white space that
-    follows. One of over 40 words is cut after each word whose hash is a multiple of 12, so that the same passage is
-    cut alike wherever it stands. Null and empty texts have none.
+    follows. Null and empty texts have none.
     """
-    out = []
-    for m in _SENTENCE.finditer(text or ""):
-        start, end = m.span()
-        if start == end:
-            continue
-        words = m.group().split()
-        if len(words) > _LONG:
-            at = start
-            for w in re.finditer(r"\S+\s*", m.group()):
-                if xxhash.xxh32_intdigest(w.group().strip().encode()) % _CUT == 0:
-                    out.append((at, start + w.end()))
-                    at = start + w.end()
-            if at < end:
-                out.append((at, end))
-        else:
-            out.append((start, end))
-    return out
+    return [m.span() for m in _SENTENCE.finditer(text or "") if m.end() > m.start()]
 
 
 def span_hashes(text: str | None, run: int, least_words: int) -> list[tuple[int, int, bytes]]:
-    """(position of its first sentence, sentences, 128-bit hash) of every run of consecutive sentences: ``run``, or as many more as it takes to reach ``least_words`` words. White space and case make no difference."""
+    """(position of its first sentence, sentences, 128-bit hash) of every run of consecutive sentences: ``run``, or as many more as it takes to reach ``least_words`` words; the last runs end with the text, so only one that is shorter as a whole has none. White space and case make no difference."""
     words = [text[a:b].lower().split() for a, b in sentences(text)]
     marked = [" ".join(w) for w in words]
     ends = [0, *accumulate(map(len, words))]
@@ -66,29 +49,6 @@ def span_hashes(text: str | None, run: int, least_words: int) -> list[tuple[int,
     return out
 
 
-def _spans(batches: Iterator[pa.RecordBatch], run: int, least_words: int) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "part", "pos", "n", "h1", "h2"]
-
-    def pack(docs: list, parts: list, poss: list, ns: list, digests: list) -> pa.RecordBatch:
-        halves = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(parts, pa.int64()), pa.array(poss, pa.int32()), pa.array(ns, pa.int32()), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy())], names)
-
-    for b in batches:
-        docs, parts, poss, ns, digests = [], [], [], [], []
-        for doc, text, part in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
-            for k, n, h in span_hashes(text, run, least_words):
-                docs.append(doc)
-                parts.append(part)
-                poss.append(k)
-                ns.append(n)
-                digests.append(h)
-            if len(docs) >= 50_000:
-                yield pack(docs, parts, poss, ns, digests)
-                docs, parts, poss, ns, digests = [], [], [], [], []
-        if docs:
-            yield pack(docs, parts, poss, ns, digests)
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(32))
@@ -120,41 +80,71 @@ def windows(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return least.view(np.int64), _mixed((sums[PASSAGE:] - sums[:-PASSAGE]) * back[: n - PASSAGE + 1]).view(np.int64)
 
 
-def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        found = [np.unique(windows(x)[0]) for x in b.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "part", "hashes"])
-
-
-def _windowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        found = []
-        for text, hot in zip(b.column(1).to_pylist(), b.column(3).to_pylist(), strict=True):
-            anchors, hashes = windows(text)
-            found.append(np.unique(hashes[np.isin(anchors, np.array(hot, dtype=np.int64))]))
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "part", "hashes"])
-
-
-def _shared(listed: DataFrame) -> DataFrame:
-    """From (doc_id, part, hashes): (doc_id, part, h, first) of the hashes that two documents or more have; first is the least of these."""
-    place, same = F.struct("doc_id", "part"), Window.partitionBy("h")
-    rows = listed.select("doc_id", "part", F.explode("hashes").alias("h"))
-    return rows.select("doc_id", "part", "h", F.min(place).over(same).alias("first"), F.max(place).over(same).alias("last")).filter("first <> last").drop("last")
+_SKETCH = "doc_id long, part long, pos array<int>, n array<int>, h1 array<long>, h2 array<long>, anchors array<long>"
+
+
+def _sketched(batches: Iterator[pa.RecordBatch], run: int, least_words: int, at_once: int = 512) -> Iterator[pa.RecordBatch]:
+    """From (doc_id, text, part): a text's spans (pos, n, h1, h2) and the anchors of its windows."""
+    ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
+    for whole in batches:
+        for at in range(0, whole.num_rows, at_once):
+            b = whole.slice(at, at_once)
+            pos, n, h1, h2, anchors = [], [], [], [], []
+            for text in b.column(1).to_pylist():
+                found = span_hashes(text, run, least_words)
+                halves = np.frombuffer(b"".join([h for _, _, h in found]), dtype="<i8").reshape(-1, 2)
+                pos.append([k for k, _, _ in found])
+                n.append([c for _, c, _ in found])
+                h1.append(halves[:, 0].copy())
+                h2.append(halves[:, 1].copy())
+                anchors.append(np.unique(windows(text)[0]))
+            arrays = [pa.array(pos, ints), pa.array(n, ints), pa.array(h1, longs), pa.array(h2, longs), pa.array(anchors, longs)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *arrays], ["doc_id", "part", "pos", "n", "h1", "h2", "anchors"])
+
+
+def _windowed(batches: Iterator[pa.RecordBatch], at_once: int = 512) -> Iterator[pa.RecordBatch]:
+    """From (doc_id, text, part, hot): the hashes of the text's windows that have one of the hot anchors."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, at_once):
+            b = whole.slice(at, at_once)
+            found = []
+            for text, hot in zip(b.column(1).to_pylist(), b.column(3), strict=True):
+                anchors, hashes = windows(text)
+                found.append(np.unique(hashes[np.isin(anchors, hot.values.to_numpy())]))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "part", "hashes"])
+
+
+def _repeated(places: DataFrame, keys: list[str], place: Column, tag: str) -> DataFrame:
+    """The rows of places whose keys stand at two places or more, with the first of these as ``first``.
+
+    The keys are counted first, combined before the shuffle, and only those that repeat are joined back: no task
+    gathers the places of a frequent key, and Spark can split its join.
+    """
+    ends = places.groupBy(*keys).agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    return places.join(save(ends.filter("first <> last").drop("last"), tag), keys)
 
 
-def covered_passages(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """From (doc_id, text, part): (doc_id, part, h), the hashes of windows that stand in an earlier document too, and (doc_id, part) of the texts of PASSAGE words or more that are those of an earlier document.
+def covered_passages(rows: DataFrame, sketch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """From (doc_id, text, part) and its sketch: (doc_id, part, h), the hashes of windows that stand in an earlier document too, and (doc_id, part) of the texts of PASSAGE words or more that are those of an earlier document.
 
     No repeated window is missed: an anchor that two texts have is found first, and only windows with such an anchor
-    are then compared. Each text takes part once.
+    are then compared. Each text takes part once, in the place of its smallest doc_id.
     """
-    anchors = save(rows.mapInArrow(_anchored, "doc_id long, part long, hashes array<long>"), "span-anchors").filter(F.size("hashes") > 0)
-    texts = anchors.groupBy("part").agg(F.min("doc_id").alias("doc_id"), F.first("hashes").alias("hashes"))
-    copies = anchors.select("doc_id", "part").join(anchors.groupBy("part").agg(F.min("doc_id").alias("least")), "part").filter("doc_id > least").select("doc_id", "part")
-    hot = _shared(texts).groupBy(F.col("doc_id").alias("_of"), F.col("part").alias("_part")).agg(F.collect_set("h").alias("hot"))
-    asked = rows.join(hot, (rows["doc_id"] == hot["_of"]) & (rows["part"] == hot["_part"])).select("doc_id", "text", "part", "hot")
-    found = save(asked.mapInArrow(_windowed, "doc_id long, part long, hashes array<long>"), "span-windows")
-    return _shared(found).filter(F.struct("doc_id", "part") != F.col("first")).select("doc_id", "part", "h"), copies
+    long = sketch.filter(F.size("anchors") > 0).select("doc_id", "part", "anchors")
+    texts = save(long.groupBy("part").agg(F.min("doc_id").alias("doc_id"), F.first("anchors").alias("hashes")), "span-texts")
+    copies = long.select("doc_id", "part").join(texts.select("part", F.col("doc_id").alias("least")), "part").filter("doc_id > least").select("doc_id", "part")
+    place = F.struct("doc_id", "part")
+    hot = _repeated(texts.select("doc_id", "part", F.explode("hashes").alias("h")), ["h"], place, "span-hot").groupBy("doc_id", "part").agg(F.collect_set("h").alias("hot"))
+    asked = rows.join(hot, ["doc_id", "part"]).select("doc_id", "text", "part", "hot")
+    found = save(through_arrow(asked, _windowed, "doc_id long, part long, hashes array<long>"), "span-windows")
+    again = _repeated(found.select("doc_id", "part", F.explode("hashes").alias("h")), ["h"], place, "span-passages")
+    return again.filter(place != F.col("first")).select("doc_id", "part", "h"), copies
+
+
+def _named(docs: DataFrame, id_col: str, text_col: str) -> tuple[Column, Column, Column]:
+    """A document's id, its text, and the text's hash."""
+    text = docs[f"`{text_col}`"].cast("string")
+    return docs[f"`{id_col}`"].cast("long"), text, F.xxhash64(text)
 
 
 def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = 2, least_words: int = 12) -> DataFrame:
@@ -164,12 +154,13 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run
     of a span is the one with the smallest doc_id, part and position. A document's positions are gathered at the end,
     at most its own sentences and words.
     """
-    rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("part", F.xxhash64("text"))
-    spans = save(rows.mapInArrow(partial(_spans, run=run, least_words=least_words), "doc_id long, part long, pos int, n int, h1 long, h2 long"), "spans")
+    key, text, part = _named(docs, id_col, text_col)
+    rows = docs.select(key.alias("doc_id"), text.alias("text"), part.alias("part")).filter("doc_id IS NOT NULL")
+    sketch = save(through_arrow(rows, partial(_sketched, run=run, least_words=least_words), _SKETCH), "span-sketch")
+    spans = sketch.select("doc_id", "part", F.inline(F.arrays_zip("pos", "n", "h1", "h2")))
     place = F.struct("doc_id", "part", "pos")
-    first = F.min(place).over(Window.partitionBy("h1", "h2"))
-    again = spans.withColumn("first", first).filter(place != F.col("first"))
-    repeated, copies = covered_passages(rows)
+    again = _repeated(spans, ["h1", "h2"], place, "span-firsts").filter(place != F.col("first"))
+    repeated, copies = covered_passages(rows, sketch)
     none = F.lit(None)
     found = again.select("doc_id", "part", F.sequence("pos", F.col("pos") + F.col("n") - 1).alias("run"), none.cast("long").alias("h"), F.lit(False).alias("whole"))
     found = found.union(repeated.select("doc_id", "part", none.cast("array<int>"), "h", F.lit(False))).union(copies.select("doc_id", "part", none.cast("array<int>"), none.cast("long"), F.lit(True)))
@@ -200,31 +191,39 @@ def _cut(text: str, positions: list[int], found: list[int], whole: bool) -> tupl
     return kept, removed, touched
 
 
-def _cleaned(batches: Iterator[pa.RecordBatch], text_at: str) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        t, *found = (b.schema.get_field_index(c) for c in (text_at, "_positions", "_windows", "_whole"))
-        texts, removed, n = [], [], []
-        for text, positions, hashes, whole in zip(*(b.column(k).to_pylist() for k in (t, *found)), strict=True):
-            kept, spans, count = _cut(text, positions, hashes, whole) if positions or hashes or whole else (text, [], 0)
-            texts.append(kept)
-            removed.append([{"start": x, "end": y} for x, y in spans])
-            n.append(count)
-        others = [k for k in range(b.num_columns) if k not in (t, *found)]
-        yield pa.RecordBatch.from_arrays(
-            [*(b.column(k) for k in others), pa.array(texts, pa.string()), pa.array(removed, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array(n, pa.int32())],
-            [*(b.schema.names[k] for k in others), "_text", "_removed", "_n_removed"],
-        )
+def _cleaned(batches: Iterator[pa.RecordBatch], names: list[str], text_at: int, at_once: int = 512) -> Iterator[pa.RecordBatch]:
+    """From (row, positions, windows, whole): the row's columns with the text cut, and what was cut."""
+    span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    for whole_batch in batches:
+        for at in range(0, whole_batch.num_rows, at_once):
+            b = whole_batch.slice(at, at_once)
+            columns = b.column(0).flatten()
+            texts, removed, n = [], [], []
+            for text, positions, hashes, whole in zip(columns[text_at].to_pylist(), *(b.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
+                kept, spans, count = _cut(text, positions, hashes, whole) if positions or hashes or whole else (text, [], 0)
+                texts.append(kept)
+                removed.append([{"start": x, "end": y} for x, y in spans])
+                n.append(count)
+            columns[text_at] = pa.array(texts, pa.string())
+            cut = pa.StructArray.from_arrays([pa.array(removed, span), pa.array(n, pa.int32())], ["removed", "n"])
+            yield pa.RecordBatch.from_arrays([*columns, cut], names)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = 2, least_words: int = 12) -> DataFrame:
-    """All rows and columns of docs, with _text (without the sentences that a repeated span covers, but for its first place, and without every window of 51 words that an earlier document has), _removed (their (start, end) in the old text, in code points) and _n_removed (sentences, whole or in part).
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = 2, least_words: int = 12, out: str = "repeats") -> DataFrame:
+    """All rows and columns of docs, the text without the sentences that a repeated span covers, but for its first place, and without every window of 51 words that an earlier document has; and ``out``: removed, the (start, end) cut from the old text, in code points, and n, the sentences cut, whole or in part.
 
     The windows slide word by word, so a passage of over 50 words goes from its first word to its last, whatever its
     sentences are. Repeats within one document go by sentences only.
     Null texts and rows without an id stay as they are. Rows with the same doc_id and text count as one document, so
-    they get the same result; a text all of whose sentences go is left empty. An empty table gives no rows.
+    they get the same result; a text all of whose sentences go is left empty. Of equal spans the one with the smallest
+    doc_id stays. An empty table gives no rows. Columns may have any names but ``out``, which raises an error.
     """
-    gone = covered(docs, id_col, text_col, run, least_words).select(F.col("doc_id").alias("_of"), F.col("part").alias("_part"), *(F.col(c).alias(f"_{c}") for c in ("positions", "windows", "whole")))
-    joined = docs.join(gone, (docs[id_col].cast("long") == gone["_of"]) & (F.xxhash64(docs[text_col]) == gone["_part"]), "left").drop("_of", "_part")
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text_col]
-    return joined.mapInArrow(partial(_cleaned, text_at=text_col), ", ".join([*fields, "_text string, _removed array<struct<start:int,end:int>>, _n_removed int"]))
+    if out in docs.columns:
+        raise ValueError(f"docs has a column {out} already")
+    gone = covered(docs, id_col, text_col, run, least_words)
+    key, _, part = _named(docs, id_col, text_col)
+    rows = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), key.alias("doc_id"), part.alias("part"))
+    joined = rows.join(gone, ["doc_id", "part"], "left").select("row", "positions", "windows", "whole")
+    cut = StructType([StructField("removed", ArrayType(StructType([StructField("start", IntegerType()), StructField("end", IntegerType())]))), StructField("n", IntegerType())])
+    fields = [StructField(f.name, StringType() if f.name == text_col else f.dataType) for f in docs.schema]
+    return through_arrow(joined, partial(_cleaned, names=[*docs.columns, out], text_at=docs.columns.index(text_col)), StructType([*fields, StructField(out, cut)]))

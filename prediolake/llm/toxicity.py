@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import through_arrow
+
 _WORD = re.compile(r"[^\W_]+")
 #: Tokens to each side of a labelled one, in the sequences that the field is fitted to.
 _AROUND = 6
@@ -381,11 +383,11 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """
     model = fit(labelled_sample(docs, labels, id_col, text_col, label_col, most))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("held_out", held_out("doc_id"))
-    scored = rows.mapInArrow(partial(_scored, model=model, keep_below=None, text_at="text"), "doc_id long, held_out boolean, score double, spans array<struct<start:int,end:int,score:double>>")
+    scored = through_arrow(rows, partial(_scored, model=model, keep_below=None, text_at="text"), "doc_id long, held_out boolean, score double, spans array<struct<start:int,end:int,score:double>>")
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", threshold: float = 0.5, most: int = 1200) -> DataFrame:
     """The rows of docs, all columns, whose score is below ``threshold``; nulls as in score_documents."""
     model = fit(labelled_sample(docs, labels, id_col, text_col, label_col, most))
-    return docs.mapInArrow(partial(_scored, model=model, keep_below=threshold, text_at=text_col), docs.schema)
+    return through_arrow(docs, partial(_scored, model=model, keep_below=threshold, text_at=text_col), docs.schema)

@@ -299,7 +299,7 @@ def plain_repeats(docs):
 def test_spans(spark):
     passage = "The first sentence of the passage has words. The second has others, and goes on. A third ends it here."
     rows = [(1, prose(1, 50) + ". " + passage), (2, "Own begin. " + passage + "\n" + prose(2, 50)), (3, prose(5, 80)), (3, prose(6, 80)), (4, passage.upper()), (5, None), (6, ""), (7, "Short. Short. Short. Short."), (8, " ".join([prose(7, 30)] * 3)), (1, prose(1, 50) + ". " + passage), (None, passage)]
-    table = spark.createDataFrame([(k, t, "x", 1) for k, t in rows], "doc_id long, text string, removed string, pos int")
+    table = spark.createDataFrame([(k, t, "x", 1, 2, "p", [3], "q") for k, t in rows], "doc_id long, text string, removed string, pos int, _text int, part string, positions array<int>, row string")
     got = spans.remove_repeats(table).collect()
     want = plain_repeats([(k, t) for k, t in rows if k is not None and t])
     assert len(got) == len(rows)
@@ -309,9 +309,9 @@ def test_spans(spark):
         for t in sources:
             gone = want.get((r.doc_id, t), set()) if r.doc_id is not None else set()
             options.append("".join(t[a:b] for n, (a, b) in enumerate(spans.sentences(t)) if n not in gone) if t else t)
-        assert r._text in options
-        assert all(r._n_removed == 0 or r._removed for _ in (0,))
-    assert {r.doc_id for r in got if r._n_removed} >= {2, 4} and {r.doc_id: r._text for r in got}[2].startswith("Own begin.")
+        assert r.text in options
+        assert bool(r.repeats.n) == bool(r.repeats.removed)
+    assert {r.doc_id for r in got if r.repeats.n} >= {2, 4} and {r.doc_id: r.text for r in got}[2].startswith("Own begin.")
     assert spans.remove_repeats(table.limit(0)).count() == 0
 
 
@@ -319,9 +319,6 @@ def test_sentences_are_the_whole_text():
     for t in TEXTS + ["a.b c! d\n\n e", "x" * 5000, " ".join(f"w{k}" for k in range(500))]:
         parts = spans.sentences(t)
         assert "".join((t or "")[a:b] for a, b in parts) == (t or "")
-    long = " ".join(f"w{k}" for k in range(300))
-    cut = lambda t: {t[a:b].strip() for a, b in spans.sentences(t)}
-    assert len(cut(long) & cut("other words before " + long)) >= len(cut(long)) - 2
 
 
 def numbered(tag, n):
@@ -332,9 +329,9 @@ def test_passages_inside_sentences_go_whole(spark):
     passage = numbered("p", 51)
     rows = [(1, f"{numbered('a', 9)} {passage} {numbered('b', 9)}."), (2, f"{numbered('c', 30)} {passage.upper()} {numbered('d', 30)}."), (3, numbered("e", 50)), (4, numbered("g", 60)), (5, numbered("g", 60))]
     got = {r.doc_id: r for r in spans.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got[1]._n_removed == got[3]._n_removed == got[4]._n_removed == 0
-    assert got[2]._text == f"{numbered('c', 30)} {numbered('d', 30)}." and got[5]._text == ""
-    (cut,) = got[2]._removed
+    assert got[1].repeats.n == got[3].repeats.n == got[4].repeats.n == 0
+    assert got[2].text == f"{numbered('c', 30)} {numbered('d', 30)}." and got[5].text == ""
+    (cut,) = got[2].repeats.removed
     assert rows[1][1][cut.start : cut.end].split() == passage.upper().split()
 
 
@@ -342,8 +339,8 @@ def test_passages_of_short_lines_go(spark):
     verse = "\n".join(numbered(f"v{k}x", 5) for k in range(9))
     rows = [(1, f"{numbered('a', 14)}.\n{verse}\n{numbered('b', 14)}."), (2, f"{numbered('c', 14)}.\n{verse}\n{numbered('d', 14)}.")]
     got = {r.doc_id: r for r in spans.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got[1]._text == rows[0][1] and got[2]._n_removed == 9
-    assert got[2]._text == f"{numbered('c', 14)}.\n{numbered('d', 14)}."
+    assert got[1].text == rows[0][1] and got[2].repeats.n == 9
+    assert got[2].text == f"{numbered('c', 14)}.\n{numbered('d', 14)}."
 
 
 # --- 7: packing ---

@@ -30,8 +30,8 @@ def test_stages(spark):
     before, after = out["repeats"]
     cleaned = {r.doc_id: r for r in spans.remove_repeats(before).collect()}
     kept = {r.doc_id: r for r in after.collect()}
-    assert all(kept[k].text == cleaned[k]._text and kept[k].n_chars == len(kept[k].text) for k in kept)
-    assert all(cleaned[k]._n_removed and not cleaned[k]._text.split() for k in cleaned.keys() - kept.keys())
+    assert all(kept[k].text == cleaned[k].text and kept[k].n_chars == len(kept[k].text) for k in kept)
+    assert all(cleaned[k].repeats.n and not cleaned[k].text.split() for k in cleaned.keys() - kept.keys())
     before, after = out["mixing"]
     assert {r.doc_id for r in after.collect()} <= set(kept)
     before, after = out["packing"]
