@@ -3,20 +3,26 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Elements whose content isn't text of the page.
-_RAW = "script|style|noscript|template|iframe|svg|math|object|canvas|audio|video|textarea|select|button|title"
-_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({_RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:/>|>.*?(?:</\1\s*>|\Z))|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)>", re.DOTALL | re.IGNORECASE)
+from .common import through_arrow
+
+#: Elements whose content isn't text of the page: it ends at their own end tag, whatever stands in between.
+_RAW = frozenset("script style noscript template iframe textarea title".split())
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_STOP = re.compile("[>\"']")
+_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE) for tag in _RAW}
 _BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 _VOID = frozenset("hr br img input meta link area base col embed source track wbr".split())
 #: Elements that are never the article: menus, footers, sidebars, forms.
-_ASIDE = frozenset("nav footer aside form menu dialog fieldset".split())
+_ASIDE = frozenset("nav footer aside form menu dialog fieldset select button".split())
 _MAIN = frozenset(("article", "main"))
 _NOT_MAIN = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertis\w*|advertorial|banner|sponsor\w*|promo\w*|sidebar|side-?bar|widget|comments?|commentlist|replies|reply|respond|disqus|cookies?|consent|gdpr|notice|notices|alert|popup|modal|overlay|newsletter|subscribe|subscription|menu|navbar|nav|navigation|breadcrumbs?|pagination|pager|footer|masthead|topbar|toolbar|share|sharing|social|related|recommended|login|signup|search|skip|paywall|hidden)(?:$|[\s_-])", re.IGNORECASE)
 _NOT_ARTICLE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|comments?|reply|replies|related|recommended|teaser)(?:$|[\s_-])", re.IGNORECASE)
@@ -25,8 +31,60 @@ _NAMES = re.compile(r"""(?:^|\s)(class|id|role|itemprop|aria-label)\s*=\s*(?:"([
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none|visibility\s*:\s*hidden""", re.IGNORECASE)
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 
-#: Lines in a window, and the text in a window at which it surges, where the page names no main element.
+#: Lines in a window, and the weight of a window at which it surges.
 WINDOW, SURGE = 3, 80
+#: By how much lines outside the main elements weigh less, on pages that name such elements.
+OUTSIDE = 4
+
+
+def _tag_end(html: str, at: int) -> int:
+    """Where the > of the tag stands whose name ends at ``at``; -1 if nowhere. Quotes count after = alone, as in a browser."""
+    while m := _STOP.search(html, at):
+        at = m.start()
+        if html[at] == ">":
+            return at
+        before = at - 1
+        while before > 0 and html[before].isspace():
+            before -= 1
+        close = html.find(html[at], at + 1) if html[before] == "=" else at
+        if close < 0:  # never closed: there is no such quote any more, so this is asked once
+            close = at
+        at = close + 1
+    return -1
+
+
+def _tags(html: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, name, whether it closes, attributes) of each tag, in page order; comments and the like have no name, and an element of _RAW is one with all that it holds.
+
+    One pass: each search starts where the last one ended, and what isn't ended goes to the end of the page. A < that
+    begins no tag is text.
+    """
+    at, n = 0, len(html)
+    while (at := html.find("<", at)) >= 0:
+        start = at
+        if html.startswith("<!--", at):
+            end = html.find("-->", at + 4)
+            at = n if end < 0 else end + 3
+            yield start, at, "", False, ""
+        elif html.startswith(("<!", "<?"), at):
+            end = html.find(">", at)
+            at = n if end < 0 else end + 1
+            yield start, at, "", False, ""
+        elif m := _NAME.match(html, at + 1 + html.startswith("</", at)):
+            tag, closes = m[0].lower(), html[at + 1] == "/"
+            end = _tag_end(html, m.end())
+            at = n if end < 0 else end + 1
+            given = html[m.end() : end] if end >= 0 else ""
+            if tag in _RAW and not closes:
+                if last := _END[tag].search(html, at):
+                    end = html.find(">", last.end())
+                    at = n if end < 0 else end + 1
+                else:
+                    at = n
+                tag = ""
+            yield start, at, tag if at < n or end >= 0 else "", closes, given
+        else:
+            at += 1
 
 
 def _side(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
@@ -49,10 +107,12 @@ def lines_of(html: str) -> list[tuple[str, int, bool, tuple[int, ...]]]:
     """The page without markup, as (text of a block, its characters outside links, whether it stands in a main element, the numbers of its element and of that one's parent), in page order.
 
     An element that is left out gives as many empty lines as a window has, so the text on its two sides never shares
-    a window. They bear the number of the element's parent, 0 for body and what is around it.
+    a window. They bear the number of the element's parent, 0 for body and what is around it. So do the beginning and
+    the end of a main element, with the number -1.
     """
     out: list[tuple[str, int, bool, tuple[int, ...]]] = []
     stack: list[tuple[str, bool, bool, int]] = []
+    opened: Counter = Counter()
     parts: list[str] = []
     linked: list[str] = []
     dropped = main = links = made = 0
@@ -66,32 +126,41 @@ def lines_of(html: str) -> list[tuple[str, int, bool, tuple[int, ...]]]:
             parts.clear()
             linked.clear()
 
+    def edge(number: int) -> None:
+        out.extend([("", 0, False, (number,))] * WINDOW)
+
     def pop() -> None:
         nonlocal dropped, main
-        _, gone, chief, _ = stack.pop()
+        tag, gone, chief, _ = stack.pop()
+        opened[tag] -= 1
         dropped -= gone
         main -= chief
         if gone and not dropped:
-            out.extend([("", 0, False, (stack[-1][3] if stack else 0,))] * WINDOW)
+            edge(stack[-1][3] if stack else 0)
+        elif chief and not main:
+            close()
+            edge(-1)
 
-    at = 0
-    for m in _TOKEN.finditer(html):
-        if m.start() > at and not dropped:
-            parts.append(html[at : m.start()])
+    def said(a: int, b: int) -> None:
+        if b > a and not dropped:
+            parts.append(html[a:b])
             if links:
-                linked.append(html[at : m.start()])
-        at = m.end()
-        tag = (m[3] or "").lower()
+                linked.append(html[a:b])
+
+    at = 0
+    for start, end, tag, closes, given in _tags(html):
+        said(at, start)
+        at = end
         if not tag:
             continue
         if tag == "br":
             parts.append(" ")
         elif tag == "a":
-            links = 0 if m[2] else 1
-        elif m[2]:
+            links = 0 if closes else 1
+        elif closes:
             if tag in _BLOCKS:
                 close()
-            if any(tag == x[0] for x in stack):
+            if opened[tag]:
                 while True:
                     last = stack[-1][0]
                     pop()
@@ -103,18 +172,20 @@ def lines_of(html: str) -> list[tuple[str, int, bool, tuple[int, ...]]]:
                 close()
                 if stack and (stack[-1][0] == "p" or stack[-1][0] == tag and tag in ("li", "dd", "dt", "td", "th", "tr")):
                     pop()
-            if tag in _VOID or m[4].endswith("/"):
+            if tag in _VOID or given.endswith("/"):
                 continue
-            gone, chief = _side(tag, m[4], main > 0)
+            gone, chief = _side(tag, given, main > 0)
             if block or gone:
                 if gone and not dropped:
                     close()
+                if chief and not main and not dropped:
+                    edge(-1)
                 made += 1
                 stack.append((tag, gone, chief, 0 if tag in ("html", "body") else made))
+                opened[tag] += 1
                 dropped += gone
                 main += chief
-    if at < len(html) and not dropped:
-        parts.append(re.sub(r"<[^<>]*\Z", "", html[at:]))
+    said(at, len(html))
     close()
     return out
 
@@ -125,39 +196,51 @@ def _parted(lines: list[tuple[str, int, bool, tuple[int, ...]]], a: int, b: int)
     return not others and parent not in ((), (0,)) and parent[0] in lines[a][3] and parent[0] in lines[b][3]
 
 
+def line_weights(lines: list[tuple[str, int, bool, tuple[int, ...]]]) -> list[float]:
+    """What each line weighs: its characters outside links. Where the page names a main element, its lines weigh all their characters and SURGE more, so that each surges by itself, and others an OUTSIDE-th."""
+    named = any(chief for text, _, chief, _ in lines if text)
+    return [0.0 if not text else float(len(text) + SURGE) if chief else free / OUTSIDE if named else float(free) for text, free, chief, _ in lines]
+
+
+def chosen_lines(lines: list[tuple[str, int, bool, tuple[int, ...]]]) -> list[int]:
+    """The lines between surges and dives of the weight in sliding windows of WINDOW lines.
+
+    A stretch begins where a window first holds weight and ends where a window is empty. It is chosen, from its first
+    to its last line that weighs anything, if its fullest window surges: to SURGE, or to a quarter of the page's
+    fullest window where that is less. Stretches that are parted only by elements left out of their own parent (not of
+    body) are judged as one.
+    """
+    sizes = line_weights(lines)
+    sums = [0.0, *accumulate(sizes)]
+    n = len(lines)
+    windows = [sums[min(n, k + WINDOW)] - sums[k] for k in range(n)]
+    surge = max(1e-9, min(SURGE, max(windows, default=0) / 4))
+    held = [k for k in range(n) if sizes[k]]
+    stretches: list[tuple[float, list[tuple[int, int]]]] = []
+    at = 0
+    while at < len(held):
+        stop = at
+        while stop + 1 < len(held) and held[stop + 1] - held[stop] <= WINDOW:
+            stop += 1
+        a, b = held[at], held[stop]
+        peak, before = max(windows[max(0, a - WINDOW + 1) : b + 1]), stretches[-1][1] if stretches else []
+        if before and _parted(lines, before[-1][1], a):
+            stretches[-1] = (max(peak, stretches[-1][0]), [*before, (a, b)])
+        else:
+            stretches.append((peak, [(a, b)]))
+        at = stop + 1
+    return [i for peak, runs in stretches if peak >= surge for a, b in runs for i in range(a, b + 1) if lines[i][0]]
+
+
 def main_text(html: str | None) -> str:
-    """The main text: the blocks between surges and dives of the text in sliding windows of lines, joined by line ends.
+    """The main text: the blocks that line-block distribution chooses, joined by line ends.
 
-    Links don't count as text, so menus stay flat. A stretch begins where a window first holds text and ends where a
-    window is empty; it is kept if its fullest window surges to 80 characters, or to a quarter of the page's fullest
-    window where that is less. Stretches that are parted only by elements left out of their own parent (not of
-    body) are judged as one. Where the page names a main element (article, main, or a name like content), only its
-    lines count and any text in it is a surge. Null and empty pages: an empty text.
+    Links don't weigh, so menus stay flat; main elements (article, main, or a name like content) make their lines
+    weigh more, and the windows decide on all lines. Null and empty pages: an empty text. What isn't closed (a tag, a
+    comment, a script) goes to the end of the page.
     """
     lines = lines_of(html or "")
-    named = any(chief for text, _, chief, _ in lines if text)
-    sizes = [(len(text) if chief else 0) if named else free for text, free, chief, _ in lines]
-    windows = [sum(sizes[k : k + WINDOW]) for k in range(len(sizes))]
-    surge = 1 if named else min(SURGE, max(windows, default=0) / 4)
-    stretches: list[tuple[int, list[tuple[int, int]]]] = []
-    k, n = 0, len(lines)
-    while k < n:
-        if not windows[k]:
-            k += 1
-            continue
-        stop = k
-        while stop < n and windows[stop]:
-            stop += 1
-        full = [i for i in range(k, stop) if sizes[i]]
-        if full:
-            peak, before = max(windows[k:stop]), stretches[-1][1] if stretches else []
-            if before and _parted(lines, before[-1][1], full[0]):
-                stretches[-1] = (max(peak, stretches[-1][0]), before + [(full[0], full[-1])])
-            else:
-                stretches.append((peak, [(full[0], full[-1])]))
-        k = stop
-    chosen = [i for peak, runs in stretches if peak >= max(1, surge) for a, b in runs for i in range(a, b + 1)]
-    return "\n".join(lines[i][0] for i in chosen if lines[i][0] and (lines[i][2] or not named))
+    return "\n".join(lines[i][0] for i in chosen_lines(lines))
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,4 +257,4 @@ def extract_text(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url"), h
     their names. An empty table gives no rows. Each row by itself: no shuffle.
     """
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*keep).schema)
-    return pages.select(*keep, F.col(html_col).cast("string").alias("_html")).mapInArrow(_extracted, f"{fields}, text string, n_chars long")
+    return through_arrow(pages.select(*keep, F.col(html_col).cast("string").alias("_html")), _extracted, f"{fields}, text string, n_chars long")
