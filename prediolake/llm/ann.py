@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 
 from .common import bucket, save
 
-INDEX_SCHEMA = (
-    "dim int, shard int, entry int, top int, levels array<int>, ids array<long>, id_ends array<int>, vectors array<float>, links0 array<int>, upper_at array<int>, links array<int>"
-)
+#: An index row; its vectors are of the table's own type.
+INDEX_SCHEMA = "dim int, shard int, entry int, top int, levels array<int>, ids array<long>, id_ends array<int>, vectors array<{kind}>, links0 array<int>, upper_at array<int>, links array<int>"
 
 
 class Graph:
@@ -29,6 +28,7 @@ class Graph:
 
     def __init__(self, vectors: np.ndarray, m: int = 16, ef: int = 80):
         self.m, self.ef = m, ef
+        vectors = vectors / (np.abs(vectors).max(initial=0.0) or 1.0)
         squares = np.einsum("ij,ij->i", vectors, vectors, dtype=np.float64)
         more = np.sqrt(np.maximum(0.0, squares.max(initial=0.0) - squares))
         self.x = np.ascontiguousarray(np.c_[vectors, more], dtype=np.float32)
@@ -115,7 +115,7 @@ class Graph:
 
     def nearest(self, query: np.ndarray, ef: int) -> list[int]:
         """Nodes by falling inner product with a query vector."""
-        q = np.append(query, 0.0).astype(np.float32)
+        q = np.append(query / (np.abs(query).max(initial=0.0) or 1.0), 0.0).astype(np.float32)
         near = [(float(self.x[self.entry] @ q), self.entry)]
         for at in range(self.levels[self.entry], 0, -1):
             near = self._search(q, near, 1, at)
@@ -135,7 +135,7 @@ class Graph:
 
     @classmethod
     def load(cls, row: pd.Series, m: int = 16) -> Graph:
-        graph = cls(np.asarray(row["vectors"], dtype=np.float32).reshape(-1, int(row["dim"])), m)
+        graph = cls(np.asarray(row["vectors"]).reshape(-1, int(row["dim"])), m)
         graph.levels, graph.entry = [int(v) for v in row["levels"]], int(row["entry"])
         n = len(graph.levels)
         graph.links = [[[] for _ in range(n)] for _ in range(int(row["top"]) + 1)]
@@ -150,14 +150,15 @@ class Graph:
 
 def _build(pdf: pd.DataFrame, m: int, ef: int) -> pd.DataFrame:
     pdf = pdf.sort_values("_id", kind="stable")
-    rows = np.stack([np.asarray(v, dtype=np.float32) for v in pdf["_v"]])
+    rows = np.stack([np.asarray(v) for v in pdf["_v"]])
     nodes: dict[bytes, list[int]] = {}
     first: list[int] = []
     for k, (key, vec) in enumerate(zip(pdf["_id"].tolist(), rows, strict=True)):
         same = nodes.setdefault(vec.tobytes(), [])
         if not same:
             first.append(k)
-        same.append(key)
+        if not same or same[-1] != key:
+            same.append(key)
     vectors = rows[first]
     graph = Graph(vectors, m, ef)
     graph.build([ids[0] for ids in nodes.values()])
@@ -172,38 +173,55 @@ def usable(vec: Column) -> Column:
     return vec.isNotNull() & F.coalesce(good & F.exists(vec, lambda x: x != 0), F.lit(False))
 
 
-def build_index(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", shard_rows: int = 2048, most_shards: int = 4096, m: int = 16, ef: int = 80) -> DataFrame:
+def _rows(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, str]:
+    """(_id, _v) of the usable rows, and the type of the components: float where the table has float, else double."""
+    kind = "float" if vectors.schema[vec_col].dataType.simpleString() == "array<float>" else "double"
+    rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.col(f"`{vec_col}`").cast(f"array<{kind}>").alias("_v"))
+    return rows.filter(F.col("_id").isNotNull() & usable(F.col("_v"))), kind
+
+
+def build_index(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", shard_rows: int = 8192, shards_first: int = 64, shard_values: int = 1 << 23, m: int = 16, ef: int = 80) -> DataFrame:
     """One row (INDEX_SCHEMA) for each shard, saved in the shared folder.
 
     A row's shard depends on its id's hash, so equal vectors are spread; within a shard they are one node that bears
-    all their ids. Shards hold about ``shard_rows`` rows, more where there would be over ``most_shards``. Rows that
-    aren't usable take no part; vectors of different lengths are in different shards. An empty table: no shards.
+    all their ids. A query is searched in every shard, so there should be few: shards hold about ``shard_rows`` rows
+    until there are ``shards_first`` of them, and then grow until they hold ``shard_values`` components, which bounds a
+    task's memory; only beyond that does their number grow. Repeated rows are one; an id that bears several vectors is
+    a candidate by each. Rows that aren't usable take no part; vectors of different lengths are in different shards.
+    An empty table: no shards.
     """
-    rows = vectors.select(F.col(id_col).cast("long").alias("_id"), F.col(vec_col).cast("array<float>").alias("_v")).filter(F.col("_id").isNotNull() & usable(F.col("_v")))
-    shards = min(most_shards, max(1, -(-rows.count() // shard_rows)))
-    keyed = rows.withColumn("_dim", F.size("_v")).withColumn("_shard", bucket(shards, "_id"))
-    dealt = keyed.repartition(shards, "_dim", "_shard").groupBy("_dim", "_shard")
-    return save(dealt.applyInPandas(partial(_build, m=m, ef=ef), INDEX_SCHEMA), "ann-index")
+    rows, kind = _rows(vectors, id_col, vec_col)
+    rows = rows.withColumn("_dim", F.size("_v"))
+    n, dim = rows.agg(F.count(F.lit(1)), F.max("_dim")).first()
+    most = max(shard_rows, shard_values // (dim or 1))
+    shards = max(1, -(-n // min(most, max(shard_rows, -(-n // shards_first)))))
+    dealt = rows.withColumn("_shard", bucket(shards, "_id")).repartition(shards, "_dim", "_shard").groupBy("_dim", "_shard")
+    return save(dealt.applyInPandas(partial(_build, m=m, ef=ef), INDEX_SCHEMA.format(kind=kind)), "ann-index")
 
 
 def _find(key: tuple, queries: pd.DataFrame, index: pd.DataFrame, k: int, m: int, ef: int) -> Iterator[pd.DataFrame] | pd.DataFrame:
-    out = []
+    out: dict[int, list[tuple[float, int]]] = {}
     for _, row in index.iterrows():
         graph = Graph.load(row, m)
-        exact = np.asarray(row["vectors"], dtype=np.float32).reshape(-1, int(row["dim"])).astype(np.float64)
+        exact = np.asarray(row["vectors"]).reshape(-1, int(row["dim"])).astype(np.float64)
         ids, ends = np.asarray(row["ids"]), np.asarray(row["id_ends"])
-        for own, vec in zip(queries["_id"].tolist(), queries["_v"], strict=True):
-            q = np.asarray(vec, dtype=np.float32)
+        asked = {(own, np.asarray(v).tobytes()): np.asarray(v, dtype=np.float64) for own, v in zip(queries["_id"].tolist(), queries["_v"], strict=True)}
+        for (own, _), q in asked.items():
             near = graph.nearest(q, ef)
-            scores = (exact[near] * q.astype(np.float64)).sum(axis=1)
-            found: list[tuple[float, int]] = []
+            scores = (exact[near] * q).sum(axis=1)
+            best: dict[int, float] = {}
+            kept: list[float] = []
             for s, n in sorted(zip((-scores).tolist(), near, strict=True)):
-                if len(found) >= k and s > found[k - 1][0]:
+                if len(kept) >= k and s > kept[k - 1]:
                     break
-                found += [(s, i) for i in ids[ends[n - 1] if n else 0 : ends[n]][: k + 1].tolist() if i != own]
-                found.sort()
-            out.append((own, [{"s": s, "i": i} for s, i in found[:k]]))
-    return pd.DataFrame(out, columns=["query_id", "near"])
+                for i in ids[ends[n - 1] if n else 0 : ends[n]][: k + 1].tolist():
+                    if i != own and i not in best:
+                        best[i] = s
+                        kept.append(s)
+            for s, i in out.get(own, ()):
+                best[i] = min(s, best.get(i, s))
+            out[own] = sorted((s, i) for i, s in best.items())[:k]
+    return pd.DataFrame([(own, [{"s": s, "i": i} for s, i in found]) for own, found in out.items()], columns=["query_id", "near"])
 
 
 def nearest(index: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20, m: int = 16, ef: int = 120, block: int = 4096) -> DataFrame:
@@ -211,9 +229,10 @@ def nearest(index: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_co
 
     score: the inner product in double precision of the original vectors; the query's own id is left out. Each shard
     is searched by blocks of queries and gives one row a query; the rows of a query, one for each shard, are merged.
-    Queries that aren't usable, or whose length no shard has, have no rows.
+    Repeated rows ask once, and an id is found once; an id that bears several vectors asks with each, and its best
+    scores count. Queries that aren't usable, or whose length no shard has, have no rows; no queries or no shards: none.
     """
-    rows = queries.select(F.col(id_col).cast("long").alias("_id"), F.col(vec_col).cast("array<float>").alias("_v")).filter(F.col("_id").isNotNull() & usable(F.col("_v"))).withColumn("dim", F.size("_v"))
+    rows = _rows(queries, id_col, vec_col)[0].withColumn("dim", F.size("_v"))
     blocks = max(1, -(-rows.count() // block))
     asked = rows.withColumn("_block", bucket(blocks, "_id")).join(F.broadcast(index.select(F.col("dim").alias("_d"), F.col("shard").alias("_s"))), F.col("dim") == F.col("_d"))
     shards = index.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
