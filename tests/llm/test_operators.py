@@ -2,7 +2,9 @@
 
 import inspect
 import math
+import os
 import random
+import time
 import zlib
 from collections import Counter
 from itertools import product
@@ -175,6 +177,55 @@ def test_recall_and_exact_scores(spark):
     assert ann.nearest(ann.build_index(table.limit(0)), table.limit(0)).count() == 0
 
 
+def plain_nearest(vectors, queries, k):
+    """{query: [(id, score)]} by comparing all pairs; of an id's several vectors the best counts."""
+    out = {}
+    for q in {a for a, _ in queries}:
+        best = {}
+        for a, x in queries:
+            for b, y in vectors:
+                if a == q != b:
+                    best[b] = max(best.get(b, -math.inf), float((np.array(x, float) * np.array(y, float)).sum()))
+        out[q] = sorted(best.items(), key=lambda t: (-t[1], t[0]))[:k]
+    return out
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_repeated_ids_and_double_vectors(spark, kind):
+    x = np.random.default_rng(6).normal(size=(120, 6)) * (1e60 if kind == "double" else 1)
+    x = x.astype(np.float32 if kind == "float" else np.float64)
+    rows = [(k, v.tolist()) for k, v in enumerate(x)]
+    rows += rows[:50] + [(20, x[7].tolist()), (33, x[8].tolist())]
+    table = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").repartition(3)
+    asked = table.filter("vec_id % 20 = 0")
+    got = {}
+    for r in ann.nearest(ann.build_index(table, shard_rows=50), asked).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert r.rank == len(got[r.query_id])
+    assert got == plain_nearest(rows, [r for r in rows if r[0] % 20 == 0], 20)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_recall_on_the_embeddings(spark):
+    table = common.table(spark, "/root/testdata/sf0.01", "embeddings")
+    held = {r.vec_id: r.embedding for r in table.collect()}
+    ids = np.array(sorted(held))
+    x = np.array([held[k] for k in ids.tolist()], dtype=np.float64)
+    got = ann.nearest(ann.build_index(table, shard_rows=500), table.filter("vec_id % 20 = 0")).toPandas()
+    hits = total = 0
+    for q in ids[ids % 20 == 0].tolist():
+        s = x @ np.array(held[q], dtype=np.float64)
+        want = [k for k in ids[np.lexsort((ids, -s))].tolist() if k != q][:20]
+        hits += len(set(want) & set(got[got.query_id == q].vec_id))
+        total += len(want)
+    assert hits >= 0.97 * total
+
+
+def test_few_shards(spark):
+    count = lambda n, **more: ann.build_index(spark.range(n).select(F.col("id").alias("vec_id"), F.array(F.lit(1.0), F.col("id") + 1.0).alias("embedding")), **more).count()
+    assert (count(40, shard_rows=10), count(40, shard_rows=10, shards_first=2), count(40, shard_rows=10, shards_first=2, shard_values=24)) == (4, 2, 4)
+
+
 def test_flat_arrays_hold_the_graph():
     rng = np.random.default_rng(5)
     x = rng.normal(size=(300, 8)).astype(np.float32)
@@ -416,6 +467,64 @@ def test_text_after_an_inline_advert_stays():
     assert html_text.main_text(f"<body><div>{long}</div>{ad}<div>(c) x</div>") == long
 
 
+@pytest.mark.parametrize("page", ["<p>x</p><a " + '"' * 200_000, '<a href="x' * 20_000, '<script "' * 25_000, "<div>" * 60_000 + "</p>" * 60_000, "<" * 200_000, "<!--" * 50_000, "</" * 100_000, "<a b='" * 40_000, "<a " + "= '" * 60_000, "&" * 100_000, "<p class='" + "a " * 90_000])
+def test_malformed_pages_take_no_longer(page):
+    began = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - began < 5
+
+
+def test_quotes_and_raw_elements():
+    assert html_text.main_text("<p title='a > b' data-x=\"<p>\">One < two & 3 <4") == "One < two & 3 <4"
+    assert html_text.main_text("<p>don\"t <b x=\"y>z\">this</b> <i it's>that</i></p><SCRIPT>a</p></scripty></Script >!") == "don\"t this that\n!"
+    assert html_text.main_text("<article><p>a <math><mi>x</mi></math> <svg><text>y</text></svg> <object>z</object> <video>v</video> b<select><option>no</select><noscript>no</noscript></article>") == "a x y z v b"
+    assert html_text.main_text("<p>" + "word " * 30 + "<style>" + "p{}" * 100) == ("word " * 30).strip()
+
+
+def plain_choice(weights, window, surge):
+    """Lines between surges and dives, by looking at every window from the start for each line; no element is left out."""
+    n = len(weights)
+    windows = [sum(weights[k : k + window]) for k in range(n)]
+    least = min(surge, max(windows, default=0) / 4)
+    chosen = []
+    for line in range(n):
+        first = last = line if weights[line] else None
+        if first is None:  # between two lines of one stretch?
+            left, right = [k for k in range(line) if weights[k]], [k for k in range(line, n) if weights[k]]
+            if not left or not right or right[0] - left[-1] > window:
+                continue
+            first, last = left[-1], right[0]
+        while any(weights[max(0, first - window) : first]):
+            first = next(k for k in range(max(0, first - window), first) if weights[k])
+        while any(weights[last + 1 : last + window + 1]):
+            last = max(k for k in range(last + 1, min(n, last + window + 1)) if weights[k])
+        if max(windows[max(0, first - window + 1) : last + 1]) >= least:
+            chosen.append(line)
+    return chosen
+
+
+def test_windows_decide_as_in_the_plain_version():
+    r = random.Random(11)
+    for _ in range(400):
+        lines = []
+        for _ in range(r.randint(0, 25)):
+            kind = r.random()
+            if kind < 0.35:
+                lines += [("", 0, False, (0,))] * r.choice((1, html_text.WINDOW))
+            else:
+                size = r.choice((5, 20, 60, 200, 500))
+                lines.append(("x" * size, r.choice((0, size)), r.random() < 0.2, (1, 2)))
+        assert html_text.chosen_lines(lines) == [k for k in plain_choice(html_text.line_weights(lines), html_text.WINDOW, html_text.SURGE) if lines[k][0]]
+
+
+def test_windows_decide_on_pages_with_a_main_element():
+    body = "<div>" + "".join(f"<p>{prose(k, 40)}</p>" for k in range(4)) + "</div>"
+    teaser = "<div class='content'><p>Teaser.</p></div>"
+    assert html_text.main_text(teaser + body).split("\n") == ["Teaser.", *(prose(k, 40) for k in range(4))]
+    assert html_text.main_text(teaser + "<div>(c) somebody, all rights</div>") == "Teaser."
+    assert html_text.main_text("<article><p>One.</p></article><div><p>Two links: <a>here</a></p></div>" + body).startswith("One.\n" + prose(0, 40))
+
+
 def test_extract_pages(spark):
     pages = spark.createDataFrame([(1, "u", "<main>a<br>b</main>", 5), (1, "u", "<main>a<br>b</main>", 5), (2, None, None, None)], "page_id long, url string, html string, n_chars int")
     assert sorted((r.page_id, r.text, r.n_chars) for r in html_text.extract_text(pages).collect()) == [(1, "a b", 3), (1, "a b", 3), (2, "", 0)]
