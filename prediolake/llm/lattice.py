@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import partial
 from itertools import repeat
 
@@ -19,6 +19,7 @@ from .common import save, through_arrow
 
 LOG10 = math.log(10)
 _START = "▁"
+_BASE = 0x9E3779B97F4A7C15
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -27,48 +28,116 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 class Lattice:
-    """Log scores of an existing vocabulary's pieces, and the likelihood of a word over all ways to cut it.
+    """The pieces of an existing vocabulary, and the likelihood of words over all ways to cut them.
 
     A word is a piece that begins a word, then pieces that don't, then a stop; each kind is a distribution. Signs
-    that are no piece are spelled by their bytes.
+    that are no piece are spelled by their bytes, which are pieces of the second kind. ``weights`` has a piece's weight
+    by its number in the vocabulary, stop the stop's; without, the vocabulary's own scores weigh: those of a merge list
+    are ranks, taken as ranks of a Zipf distribution.
     """
 
-    def __init__(self, path: str, counts: dict[int, float], stops: float, smoothing: float = 0.1):
+    def __init__(self, path: str, weights: np.ndarray | None = None, stop: float = 1.0, smoothing: float = 0.1):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        first, later, self.bytes = [], [], [0.0] * 256
-        for k in range(model.get_piece_size()):
+        self.size = model.get_piece_size()
+        self.bytes = np.zeros(256, np.int64)
+        self.pieces: dict[str, int] = {}
+        for k in range(self.size):
             piece = model.id_to_piece(k)
             if model.is_byte(k):
-                later.append((piece, k, int(piece[3:5], 16)))
-            elif not (model.is_control(k) or model.is_unknown(k) or model.is_unused(k)):
-                (first if piece.startswith(_START) else later).append((piece, k, None))
-        self.scores: dict[str, float] = {}
-        for pieces, extra in ((first, 0.0), (later, stops + smoothing)):
-            whole = math.log(sum(counts.get(k, 0.0) for _, k, _ in pieces) + smoothing * len(pieces) + extra)
-            for piece, k, byte in pieces:
-                s = math.log(counts.get(k, 0.0) + smoothing) - whole
-                if byte is None:
-                    self.scores[piece] = s
-                else:
-                    self.bytes[byte] = s
-            self.stop = math.log(extra) - whole if extra else 0.0
-        self.longest = max(map(len, self.scores))
-
-    def likelihood(self, word: str) -> float:
-        """The natural log of the word's probability, by the forward recursion in log space over every segmentation."""
-        s, get, longest, exp = _START + word, self.scores.get, self.longest, math.exp
-        forward = [0.0]
-        for j in range(1, len(s) + 1):
-            terms = []
-            for i in range(j - longest if j > longest else 0, j):
-                v = get(s[i:j])
-                if v is not None:
-                    terms.append(forward[i] + v)
-            if s[j - 1] not in self.scores:
-                terms.append(forward[j - 1] + sum([self.bytes[b] for b in s[j - 1].encode("utf-8", "surrogatepass")]))
-            top = max(terms)
-            forward.append(top if len(terms) == 1 else top + math.log(sum([exp(t - top) for t in terms])))
-        return forward[-1] + self.stop
+                self.bytes[int(piece[3:5], 16)] = k
+            elif not (model.is_control(k) or model.is_unknown(k) or model.is_unused(k)) and _START not in piece[1:]:
+                self.pieces[piece] = k
+        if weights is None:
+            weights, smoothing = np.array([1.0 / (1.0 - min(0.0, model.get_score(k))) for k in range(self.size)]), 0.0
+            stop = float(weights.sum()) / 3
+        self.pieces.setdefault(_START, self.size)
+        first = np.array([k for piece, k in self.pieces.items() if piece[0] == _START])
+        later = np.array([*(k for piece, k in self.pieces.items() if piece[0] != _START), *self.bytes])
+        held = np.append(np.asarray(weights, np.float64)[: self.size], 0.0 if _START in self.pieces and self.pieces[_START] < self.size else 1.0) + smoothing
+        self.scores = np.full(self.size + 1, -np.inf)
+        self.scores[first] = np.log(held[first] / held[first].sum())
+        self.scores[later] = np.log(held[later] / (held[later].sum() + stop + smoothing))
+        self.stop = float(np.log((stop + smoothing) / (held[later].sum() + stop + smoothing)))
+        self.longest = max(map(len, self.pieces))
+        keys = np.array([self._key(piece) for piece in self.pieces], dtype=np.uint64)
+        order = np.argsort(keys)
+        self.keys, self.ids = keys[order], np.array(list(self.pieces.values()))[order]
+
+    @staticmethod
+    def _key(piece: str) -> int:
+        key = 0
+        for c in piece:
+            key = (key * _BASE + ord(c) + 1) % 2**64
+        return key
+
+    def _arcs(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(numbers, scores, spelled) for words of one length, a row of code points each: [d-1, word, place] is the piece of d signs there, -1 and minus infinity where none is; spelled: places whose sign is spelled by bytes."""
+        b, n = codes.shape
+        width = min(self.longest, n)
+        numbers, scores = np.full((width, b, n), -1, np.int64), np.full((width, b, n), -np.inf)
+        keys = np.zeros((b, n), np.uint64)
+        for d in range(1, width + 1):
+            keys = keys[:, : n - d + 1] * np.uint64(_BASE) + codes[:, d - 1 :] + np.uint64(1)
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            hit = self.keys[at] == keys
+            hit[:, 1:] &= codes[:, 1 : n - d + 1] != ord(_START)  # a piece that begins a word does so at its first place alone
+            numbers[d - 1, :, : n - d + 1][hit] = self.ids[at[hit]]
+            scores[d - 1, :, : n - d + 1][hit] = self.scores[self.ids[at[hit]]]
+        spelled = numbers[0] < 0
+        for c in np.unique(codes[spelled]).tolist():
+            scores[0][spelled & (codes == c)] = self.scores[self.bytes[list(chr(c).encode("utf-8", "surrogatepass"))]].sum()
+        return numbers, scores, spelled
+
+    @staticmethod
+    def _sums(terms: np.ndarray) -> np.ndarray:
+        top = terms.max(axis=0)
+        return top + np.log(np.exp(terms - top).sum(axis=0))
+
+    def _forward(self, scores: np.ndarray) -> np.ndarray:
+        width, b, n = scores.shape
+        forward = np.zeros((n + 1, b))
+        for j in range(1, n + 1):
+            d = np.arange(1, min(width, j) + 1)
+            forward[j] = self._sums(forward[j - d] + scores[d - 1, :, j - d])
+        return forward
+
+    def _groups(self, words: Sequence[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(places in the list, code points) of words of one length, with the sign that begins a word; at most 40,000 signs at a time, or one word."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(lengths, kind="stable")
+        for part in np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1) if len(words) else ():
+            n = int(lengths[part[0]]) + 1
+            step = max(1, 40_000 // n)
+            for at in range(0, len(part), step):
+                some = part[at : at + step]
+                whole = "".join([_START + words[k] for k in some.tolist()])
+                yield some, np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), "<u4").reshape(len(some), n).astype(np.uint64)
+
+    def likelihoods(self, words: Sequence[str]) -> np.ndarray:
+        """The natural log of each word's probability, by the forward recursion in log space over every segmentation."""
+        out = np.zeros(len(words))
+        for some, codes in self._groups(words):
+            out[some] = self._forward(self._arcs(codes)[1])[-1] + self.stop
+        return out
+
+    def expected(self, words: Sequence[str], times: np.ndarray) -> np.ndarray:
+        """How often each piece is expected over all segmentations of the words, each seen ``times``, by the forward and backward recursions."""
+        counts = np.zeros(self.size + 1)
+        for some, codes in self._groups(words):
+            numbers, scores, spelled = self._arcs(codes)
+            width, b, n = scores.shape
+            forward, backward = self._forward(scores), np.zeros((n + 1, b))
+            for i in range(n - 1, -1, -1):
+                d = np.arange(1, min(width, n - i) + 1)
+                backward[i] = self._sums(backward[i + d] + scores[d - 1, :, i])
+            for d in range(1, width + 1):
+                share = np.exp(forward[: n - d + 1].T + scores[d - 1, :, : n - d + 1] + backward[d:].T - forward[n][:, None]) * times[some][:, None]
+                real = numbers[d - 1, :, : n - d + 1]
+                counts += np.bincount(real[real >= 0], share[real >= 0], self.size + 1)
+                if d == 1 and spelled.any():
+                    for c in np.unique(codes[spelled]).tolist():
+                        np.add.at(counts, self.bytes[list(chr(c).encode("utf-8", "surrogatepass"))], share[spelled & (codes == c)].sum())
+        return counts
 
 
 def _counted(batches: Iterator[pa.RecordBatch], most: int = 250_000) -> Iterator[pa.RecordBatch]:
@@ -93,25 +162,33 @@ def _counted(batches: Iterator[pa.RecordBatch], most: int = 250_000) -> Iterator
         yield pack()
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    """(piece, n) over the words, each word once; the stops are piece -1."""
-    model = sentencepiece.SentencePieceProcessor(model_file=path)
-    counts = np.zeros(model.get_piece_size(), np.int64)
-    words = 0
+def _expected(batches: Iterator[pa.RecordBatch], path: str, weights: np.ndarray | None, stop: float) -> Iterator[pa.RecordBatch]:
+    """(piece, n): the pieces expected in the words (word, times seen) of a task."""
+    lattice = Lattice(path, weights, stop)
+    counts = np.zeros(lattice.size + 1)
     for b in batches:
-        found = model.encode(b.column(0).to_pylist(), num_threads=1)
-        words += len(found)
-        counts += np.bincount(np.fromiter((k for ids in found for k in ids), np.int64), minlength=len(counts))
+        counts += lattice.expected(b.column(0).to_pylist(), b.column(1).to_numpy().astype(np.float64))
     used = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, used].astype(np.int32)), pa.array(np.r_[words, counts[used]])], ["piece", "n"])
+    yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], ["piece", "n"])
 
 
-def _weighed(batches: Iterator[pa.RecordBatch], path: str, pieces: dict[int, float], stops: float, tokens: int, types: int, new: float) -> Iterator[pa.RecordBatch]:
-    lattice = Lattice(path, pieces, stops)
+def trained(words: DataFrame, path: str, rounds: int = 4) -> tuple[np.ndarray | None, float]:
+    """The pieces' weights and the stop's: expectation over the lattices of all words (word, n), each as often as it was seen, ``rounds`` times from the vocabulary's own scores on. What comes to the driver is a sum for each piece."""
+    stops = float(words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    weights, stop = None, 1.0
+    for _ in range(rounds if stops else 0):
+        found = through_arrow(words.select("word", "n"), partial(_expected, path=path, weights=weights, stop=stop), "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()
+        stop, weights = stops, np.zeros(sentencepiece.SentencePieceProcessor(model_file=path).get_piece_size() + 1)
+        for r in found:
+            weights[r["piece"]] = r["n"]
+    return weights, stop
+
+
+def _weighed(batches: Iterator[pa.RecordBatch], path: str, weights: np.ndarray | None, stop: float, tokens: int, types: int, goes_on: float) -> Iterator[pa.RecordBatch]:
+    lattice = Lattice(path, weights, stop)
     for b in batches:
-        words, counts = b.column(0).to_pylist(), b.column(1).to_numpy()
-        spelled = np.array([lattice.likelihood(w) for w in words]) if words else np.zeros(0)
-        score = np.logaddexp(np.log(np.maximum(counts, 1e-300) * ((1 - new) / max(tokens, 1))), math.log(new) + spelled) / LOG10
+        counts = b.column(1).to_numpy()
+        score = (lattice.likelihoods(b.column(0).to_pylist()) + goes_on) / LOG10
         base = np.log10((counts + 1.0) / (tokens + types + 1.0))
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(base), pa.array(score)], ["word", "n", "base", "score"])
 
@@ -172,9 +249,10 @@ def score_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id
     """Log10 probabilities of whole texts under a subword lattice, and under word counts with one added.
 
     The model is learned from the rows whose crc32 of the id as text, modulo ``folds``, isn't ``fold`` (null ids:
-    learned from). A token is a word or the text's end. The model's token: with the chance of a new word (words seen
-    once over all tokens) it is spelled by the pieces of an existing vocabulary, else it is a word as often as it was
-    seen; the lattice sums both, over all segmentations. The pieces' scores are trained on the words seen, each once.
+    learned from). A token is a word or the text's end, which has its share of the tokens (one more of each counted). A
+    word's probability, seen or not, is that of its lattice: the sum over all its cuts into pieces of an existing
+    vocabulary. The vocabulary's own scores weigh the cuts at first; then the pieces' scores are trained by expectation
+    over the lattices of all words learned from, each as often as it stands there.
 
     Returns a row for each row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. Null
     texts are empty: the end alone. Repeated rows count and are scored each; other columns are left aside. An empty
@@ -188,12 +266,11 @@ def score_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id
     rows = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.col(id_col).cast("long").alias("doc_id"), out.alias("held_out"))
     counted = save(through_arrow(rows.select("text", "held_out"), _counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
     ends = rows.filter(~F.col("held_out")).count()
-    sums = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0), F.count_if(F.col("n") == 1)).first()
+    sums = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
     tokens, types = sums[0] + ends, sums[1] + (ends > 0)
-    new = min(0.5, max(1e-6, sums[2] / tokens)) if tokens else 0.5
-    found = through_arrow(counted.filter("n > 0").select("word"), partial(_pieces, path=vocabulary_path), "piece int, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()
-    pieces = {r["piece"]: float(r["n"]) for r in found}
-    weigh = partial(_weighed, path=vocabulary_path, pieces=pieces, stops=pieces.pop(-1, 0.0), tokens=tokens, types=types, new=new)
+    end = (ends + 1) / (tokens + 2)
+    weights, stop = trained(counted.filter("n > 0"), vocabulary_path)
+    weigh = partial(_weighed, path=vocabulary_path, weights=weights, stop=stop, tokens=tokens, types=types, goes_on=math.log(1 - end))
     words = save(through_arrow(counted, weigh, "word string, n long, base double, score double"), "lm-words")
     top = _frequent(words, most_frequent).toArrow()
     frequent = spark.sparkContext.broadcast((top["word"].cast(pa.binary()).to_pylist(), ((top["n"].to_numpy() > 0).astype(np.int64), top["base"].to_numpy(), top["score"].to_numpy())))
@@ -205,7 +282,7 @@ def score_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id
     # one aggregation by text over both kinds of rows, in place of a join with the texts
     both = own.select("row", "doc_id", "held_out", "times", "known", "base", "score").unionByName(rest, allowMissingColumns=True)
     by_row = both.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("times").alias("times"), *(F.sum(c).alias(c) for c in ("known", "base", "score")))
-    end_base, end_score = math.log10((ends + 1) / (tokens + types + 1)), math.log10((1 - new) * ends / tokens if ends else new)
+    end_base, end_score = math.log10((ends + 1) / (tokens + types + 1)), math.log10(end)
     return by_row.select(
         "doc_id", "held_out", (F.col("times") + 1).alias("n_tokens"), (F.col("known") + int(ends > 0)).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("base") + end_base).alias("base_score"), (F.col("score") + end_score).alias("score"),

@@ -522,7 +522,7 @@ def test_windows_decide_on_pages_with_a_main_element():
     teaser = "<div class='content'><p>Teaser.</p></div>"
     assert html_text.main_text(teaser + body).split("\n") == ["Teaser.", *(prose(k, 40) for k in range(4))]
     assert html_text.main_text(teaser + "<div>(c) somebody, all rights</div>") == "Teaser."
-    assert html_text.main_text("<article><p>One.</p></article><div><p>Two links: <a>here</a></p></div>" + body).startswith("One.\n" + prose(0, 40))
+    assert html_text.main_text("<article><p>One.</p></article><div><p>Two links: <a>here</a></p></div>" + body).startswith("One.\nTwo links: here\n" + prose(0, 40))
 
 
 def test_extract_pages(spark):
@@ -534,19 +534,53 @@ def test_extract_pages(spark):
 # --- 9: lattice ---
 
 
-def test_likelihood_is_the_sum_over_segmentations():
-    model = lattice.Lattice(public_tokenizers.path("piece_bpe_32k.model"), {}, 1.0)
-    for word in ("the", "ation", "thonéx", "a日b", "x"):
-        s = "▁" + word
+def segmentations(model, word):
+    """(pieces' numbers) of every way to cut a word."""
+    s = "▁" + word
+
+    def cuts(at):
+        if at == len(s):
+            yield ()
+            return
+        if s[at] not in model.pieces or at and s[at] == "▁":
+            ends = {at + 1: tuple(model.bytes[list(s[at].encode())].tolist())}
+        else:
+            ends = {}
+        for k in range(at + 1, min(len(s), at + model.longest) + 1):
+            if s[at:k] in model.pieces and not (at and s[at] == "▁"):
+                ends[k] = (model.pieces[s[at:k]],)
+        for k, ids in ends.items():
+            for rest in cuts(k):
+                yield ids + rest
+
+    return list(cuts(0))
+
+
+def plain_lattice(model, words):
+    """(log probabilities, expected pieces) over all segmentations."""
+    logs, counts = [], Counter()
+    for w, n in words.items():
+        ways = [(ids, math.exp(sum(model.scores[k] for k in ids))) for ids in segmentations(model, w)]
+        whole = sum(p for _, p in ways)
+        logs.append(math.log(whole) + model.stop)
+        for ids, p in ways:
+            for k in ids:
+                counts[k] += n * p / whole
+    return logs, counts
 
-        def total(at, s=s):
-            if at == len(s):
-                return 1.0
-            out = sum(math.exp(model.scores[s[at:k]]) * total(k) for k in range(at + 1, min(len(s), at + model.longest) + 1) if s[at:k] in model.scores)
-            return out + (math.exp(sum(model.bytes[b] for b in s[at].encode())) * total(at + 1) if s[at] not in model.scores else 0.0)
 
-        assert math.isclose(model.likelihood(word), math.log(total(0)) + model.stop, rel_tol=1e-9)
-    assert math.isfinite(model.likelihood("z" * 5000))
+def test_likelihood_is_the_sum_over_segmentations():
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    words = {"the": 3, "ation": 1, "thonéx": 2, "a日b": 1, "x": 5, "a▁b": 1, "▁": 1, "ab": 2}
+    plain = lattice.Lattice(path)
+    for model in (plain, lattice.Lattice(path, plain.expected(list(words), np.array(list(words.values()), float)), 16.0)):
+        logs, counts = plain_lattice(model, words)
+        assert np.allclose(model.likelihoods(list(words)), logs, rtol=1e-9)
+        got = model.expected(list(words), np.array(list(words.values()), float))
+        assert np.allclose([got[k] for k in counts], list(counts.values())) and math.isclose(got.sum(), sum(counts.values()))
+        later = [k for p, k in model.pieces.items() if p[0] != "▁"] + model.bytes.tolist()
+        assert math.isclose(sum(math.exp(model.scores[k]) for k in later) + math.exp(model.stop), 1) and math.isclose(sum(math.exp(model.scores[k]) for p, k in model.pieces.items() if p[0] == "▁"), 1)
+    assert np.isfinite(plain.likelihoods(["z" * 5000, ""])).all() and not len(plain.likelihoods([]))
 
 
 @pytest.mark.parametrize("most", [250_000, 3])
@@ -558,11 +592,23 @@ def test_scores(spark, docs, empty, most):
     counts = Counter(w for ws in learned for w in ws)
     tokens, types = sum(counts.values()) + len(learned), len(counts) + 1
     assert len(rows) == docs.count()
+    seen = {w.decode(): n for w, n in counts.items()}
+    model = lattice.Lattice(path)
+    for _ in range(4):
+        weights = np.zeros(model.size + 1)
+        for k, n in plain_lattice(model, seen)[1].items():
+            weights[k] = n
+        model = lattice.Lattice(path, weights, float(sum(seen.values())))
+    every = {w.decode(): 1 for k, t in counted for w in (t or "").encode().lower().split()}
+    spelled = {w.encode(): x for w, x in zip(every, plain_lattice(model, every)[0], strict=True)}
+    end = (len(learned) + 1) / (tokens + 2)
     for r in rows:
         words = ("no id here" if r.doc_id is None else TEXTS[r.doc_id] or "").encode().lower().split()
         base = sum(math.log10((counts[w] + 1) / (tokens + types + 1)) for w in words) + math.log10((len(learned) + 1) / (tokens + types + 1))
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(words) + 1, 1 + sum(w in counts for w in words), tokens)
-        assert math.isclose(r.base_score, base, rel_tol=1e-9) and math.isfinite(r.score) and r.score < 0
+        assert math.isclose(r.base_score, base, rel_tol=1e-9)
+        score = sum(spelled[w] + math.log(1 - end) for w in words) + math.log(end)
+        assert math.isclose(r.score, score / math.log(10), rel_tol=1e-9)
     assert lattice.score_documents(empty, path).count() == 0
 
 
