@@ -206,19 +206,21 @@ def _shingled(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Reco
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
-    """From pairs (p, q, a, b) of texts p, q with fingerprints a, b: the links (a, b) of those whose shingle sets are so similar."""
+    """Of pairs (p, q, ...) of texts p, q: the other columns of those whose shingle sets are so similar."""
     both = pairs.join(sets.select(F.col("part").alias("p"), F.col("found").alias("x")), "p").join(sets.select(F.col("part").alias("q"), F.col("found").alias("y")), "q")
     common = F.size(F.array_intersect("x", "y"))
-    return both.filter(common >= similar * (F.size("x") + F.size("y") - common)).select("a", "b")
+    return both.filter(common >= similar * (F.size("x") + F.size("y") - common)).select(*(c for c in pairs.columns if c not in ("p", "q")))
 
 
-def similar_links(texts: DataFrame, sketches: DataFrame, links: DataFrame, similar: float = 0.8, words: int = 5) -> DataFrame:
-    """links, and further links (a, b) of fingerprints, that join all texts whose ``words``-word shingle sets have a Jaccard similarity of ``similar`` or more, directly or through others.
+def similar_links(texts: DataFrame, sketches: DataFrame, links: DataFrame, similar: float = 0.8, words: int = 5, side: int = 32, idle: int = 2) -> DataFrame:
+    """links, and further links (a, b) of fingerprints, that join texts whose ``words``-word shingle sets have a Jaccard similarity of ``similar`` or more, directly or through others.
 
     texts: (part, text), where part names a text; sketches: (part, fp, n, bands); links: saved links (a, b) of
     fingerprints. Candidates are texts with a band in common, verified by their sets. First each text is compared with
-    one text of each of its bands; then, within a band, all pairs that aren't joined yet. So a large group of near
-    copies isn't expanded to pairs.
+    one text of each of its bands. Then, in bands of up to ``side`` texts, all pairs that aren't joined yet are. In a
+    larger band each text is compared with one of another group, in rounds with other choices, until ``idle`` rounds
+    have joined nothing: so a large group is never expanded to pairs, and a pair that shares large bands alone, is not
+    joined through others and is never chosen stays apart.
     """
     def near(x: str, y: str) -> Column:
         return F.least(x, y) >= similar * F.greatest(x, y)
@@ -233,11 +235,32 @@ def similar_links(texts: DataFrame, sketches: DataFrame, links: DataFrame, simil
     links = save(links.select("a", "b").union(_verified(pairs, sets, similar)), "similar-links")
     roots = components(links, "similar")
     named = save(filed.join(roots, filed["fp"] == roots["node"], "left").select("part", "fp", "n", "band", F.coalesce("root", "fp").alias("root")), "similar-named")
-    split = named.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("band")
-    rest = named.join(split, "band", "left_semi")
-    left, right = (rest.select("band", *(F.col(c).alias(f"{c}{k}") for c in ("part", "fp", "n", "root"))) for k in (1, 2))
+    split = save(named.groupBy("band").agg(F.count(F.lit(1)).alias("texts"), F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("band", "texts"), "similar-split")
+
+    few = named.join(split.filter(F.col("texts") <= side).select("band"), "band", "left_semi")
+    left, right = (few.select("band", *(F.col(c).alias(f"{c}{k}") for c in ("part", "fp", "n", "root"))) for k in (1, 2))
     others = left.join(right, "band").filter((F.col("part1") < F.col("part2")) & (F.col("root1") != F.col("root2")) & near("n1", "n2"))
-    return links.union(_verified(others.select(F.col("part1").alias("p"), F.col("part2").alias("q"), F.col("fp1").alias("a"), F.col("fp2").alias("b")).distinct(), sets, similar))
+    others = others.select(F.col("part1").alias("p"), F.col("part2").alias("q"), F.col("fp1").alias("a"), F.col("fp2").alias("b"), F.col("root1").alias("r"), F.col("root2").alias("s")).distinct()
+    found = save(_verified(others, sets, similar), "similar-few")
+    links = links.union(found.select("a", "b"))
+
+    many = named.join(split.filter(F.col("texts") > side).select("band"), "band", "left_semi")
+    turn = empty = 0
+    while empty < idle:
+        if turn and not found.isEmpty() or not turn:
+            merged = components(found.select(F.col("r").alias("a"), F.col("s").alias("b")), "similar")
+            many = save(many.join(merged.withColumnRenamed("root", "to"), many["root"] == merged["node"], "left").select("part", "fp", "n", "band", F.coalesce("to", "root").alias("root")), "similar-many")
+        chosen = F.struct(F.xxhash64("root", F.lit(turn)).alias("h"), "root", F.xxhash64("part", F.lit(turn)).alias("g"), "part", "fp", "n")
+        ends = save(many.groupBy("band").agg(F.min(chosen).alias("lo"), F.max(chosen).alias("hi")).filter("lo.root <> hi.root"), "similar-ends")
+        if ends.isEmpty():
+            break
+        other = F.when(F.col("root") == F.col("lo.root"), F.col("hi")).otherwise(F.col("lo"))
+        pairs = many.join(ends, "band").withColumn("o", other).filter(near("n", "o.n")).select(F.col("part").alias("p"), F.col("o.part").alias("q"), F.col("fp").alias("a"), F.col("o.fp").alias("b"), F.col("root").alias("r"), F.col("o.root").alias("s")).distinct()
+        found = save(_verified(pairs, sets, similar), "similar-round")
+        links = links.union(found.select("a", "b"))
+        empty = empty + 1 if found.isEmpty() else 0
+        turn += 1
+    return links
 
 
 def _rooted(docs: DataFrame, id_col: str, text_col: str, shingle: int, most: int, similar: float | None, words: int) -> DataFrame:

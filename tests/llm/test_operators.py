@@ -310,6 +310,20 @@ def test_pivots_never_drop_a_near_pair():
         assert max(abs((x ^ p).bit_count() - (y ^ p).bit_count()) for p in simhash.PIVOTS) <= 3
 
 
+def test_large_bands_are_joined_in_rounds(spark):
+    # copies of a text that differ in one word of 120 each: shingles in common 111 of 121 with the text (0.92), 106 of 126 with one another (0.84)
+    r = random.Random(14)
+    words = [f"{r.choice(WORDS)}{r.randrange(1000)}" for _ in range(120)]
+    rows = [(k, " ".join([*words[:at], f"changed{k}", *words[at + 1 :]])) for k, at in enumerate(r.sample(range(5, 115), 60))]
+    rows += [(100 + k, " ".join(f"{r.choice(WORDS)}{r.randrange(1000)}" for _ in range(120))) for k in range(20)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string").withColumn("part", F.xxhash64("text"))
+    sketches = common.save(simhash.through_arrow(texts, simhash.partial(simhash._sketches, shingle=3, words=5), "doc_id long, fp long, part long, n int, bands array<long>"), "t")
+    links = simhash.similar_links(texts, sketches, spark.createDataFrame([], "a long, b long"), side=4)
+    roots = {x.node: x.root for x in common.components(links, "t").collect()}
+    prints = {x.doc_id: x.fp for x in sketches.collect()}
+    assert len({roots[prints[k]] for k in range(60)}) == 1 and not {prints[100 + k] for k in range(20)} & set(roots)
+
+
 def test_near_copies_by_shingles(spark):
     # of 200 words: one changed in four places shares 176 of 216 shingles (0.81), one changed in five 171 of 221 (0.77)
     r = random.Random(12)
