@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -24,5 +25,7 @@ def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
 
 
 def mark_repeated(df: DataFrame, keys: Sequence[str], out: str = "repeated") -> DataFrame:
-    """Adds whether the row's key occurs more than once."""
-    return df.withColumn(out, F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1)
+    """Adds whether the row's key occurs more than once. The keys are counted, combined before the shuffle, and joined back, so no task gathers a frequent key's rows; nulls are equal."""
+    counts = df.groupBy(*(F.col(c).alias(f"_key_{c}") for c in keys)).agg((F.count(F.lit(1)) > 1).alias(out))
+    same = reduce(Column.__and__, (df[c].eqNullSafe(counts[f"_key_{c}"]) for c in keys))
+    return df.join(counts, same).select(*(df[c] for c in df.columns if c != out), counts[out])

@@ -51,19 +51,27 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Observations, normalized."""
+def normalized(rows: DataFrame) -> DataFrame:
+    """Observations as listings."""
     n = normalize
-    return observations(spark, sf_dir).select(
+    return rows.select(
         "id", "portal", n.tipo(F.col("raw_tipo")).alias("tipo"), n.price(F.col("raw_precio")).alias("precio"), "area", "habitaciones", "banos", "parqueaderos",
         n.estrato(F.col("raw_estrato")).alias("estrato"), n.barrio(F.col("raw_barrio")).alias("barrio"), n.url(F.col("raw_url"), BASE).alias("url"), "ciudad", "scraped_at", *ORDER[1:],
     )
 
 
+def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normalized(observations(spark, sf_dir))
+
+
+def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last listing of each id. Neither ids nor order depend on normalized fields, so the last are picked first and only they are normalized."""
+    return normalized(last_wins(observations(spark, sf_dir), ["id"], list(ORDER)))
+
+
 def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table after all observations: the last of each id; those not seen since 1999 are inactive."""
-    latest = last_wins(listings(spark, sf_dir), ["id"], list(ORDER))
-    return latest.withColumn("status", F.when(F.year("scraped_at") >= 1999, "active").otherwise("inactive")).drop(*ORDER[1:])
+    return latest(spark, sf_dir).withColumn("status", F.when(F.year("scraped_at") >= 1999, "active").otherwise("inactive")).drop(*ORDER[1:])
 
 
 def portals(spark: SparkSession) -> DataFrame:

@@ -128,7 +128,7 @@ def dedupe_first(spark, sf_dir):
 
 @query(f"WITH {d.LST} SELECT * FROM lst {d.LAST}")
 def dedupe_last(spark, sf_dir):
-    return dedupe.last_wins(d.listings(spark, sf_dir), ["id"], list(d.ORDER))
+    return d.latest(spark, sf_dir)
 
 
 @query(f"WITH {d.LST} SELECT {d.KEYS}, id, count(*) OVER (PARTITION BY id, ciudad) > 1 AS repeated FROM lst")

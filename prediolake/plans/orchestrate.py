@@ -7,7 +7,10 @@ import sys
 import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import AbstractContextManager, nullcontext
 from datetime import datetime
+from pathlib import PurePosixPath
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,8 +34,8 @@ def stored(listings: DataFrame, ciudad: str, at: datetime) -> DataFrame:
     return listings.withColumns({"ciudad": F.lit(ciudad.strip().lower()), "status": F.lit("active"), "scraped_at": F.lit(at).cast("timestamp")})
 
 
-def run_portal(portal: str, pages: Pages, store: ListingStore | None, csv_folder: str | None, ciudad: str = "medellin", sample_only: bool = False, max_pages: int | None = None, at: datetime | None = None) -> dict:
-    """Scrape one portal and write it; a failure is raised, not counted as a success. Nothing found: code 2; a sample isn't written."""
+def run_portal(portal: str, pages: Pages, store: ListingStore | None, csv_folder: str | None, ciudad: str = "medellin", sample_only: bool = False, max_pages: int | None = None, at: datetime | None = None, turn: AbstractContextManager | None = None) -> dict:
+    """Scrape one portal and write it; a failure is raised, not counted as a success. Nothing found: code 2; a sample isn't written. turn: held while the table is written."""
     began = time.time()
     listings = scrape(portal, *pages(portal), sample_only, max_pages).persist()
     try:
@@ -41,7 +44,8 @@ def run_portal(portal: str, pages: Pages, store: ListingStore | None, csv_folder
             if csv_folder:
                 files.write_csv(listings, csv_folder, portal, ciudad)
             if store:
-                store.commit(lambda table: lifecycle.refresh(table, stored(listings, ciudad, at or datetime.now()), ["seq"]))
+                with turn or nullcontext():
+                    store.commit(lambda table: lifecycle.refresh(table, stored(listings, ciudad, at or datetime.now()), ["seq"]))
     finally:
         listings.unpersist()
     return {"portal": portal, "code": 0 if counts["n"] else 2, "listings": counts["n"], "warnings": counts["w"], "elapsed": time.time() - began}
@@ -63,17 +67,11 @@ def health_check(portals: Sequence[str], pages: Pages, ciudad: str = "medellin")
 
 
 def scrape_all(portals: Sequence[str], pages: Pages, store: ListingStore, ciudad: str = "medellin", workers: int = 4) -> list[dict]:
-    """The portals' listings, ``workers`` at a time; their versions are committed one after another."""
-    from threading import Lock
-
-    lock = Lock()
+    """The portals' listings, scraped ``workers`` at a time; only their versions are committed one after another."""
+    turn = Lock()
 
     def one(p: str) -> dict:
-        def run() -> dict:
-            with lock:
-                return run_portal(p, pages, store, None, ciudad)
-
-        return _tried(p, "success", run)
+        return _tried(p, "success", lambda: run_portal(p, pages, store, None, ciudad, turn=turn))
 
     with ThreadPoolExecutor(workers) as pool:
         return sorted(pool.map(one, portals), key=lambda r: r["portal"])
@@ -109,11 +107,22 @@ def load_file(spark: SparkSession, path: str, ciudad: str, store: ListingStore,
     before = store.read()
     delta = lifecycle.load_delta(before, rows).first()
     store.commit(lambda table: lifecycle.refresh(table, stored(rows, ciudad, at or datetime.now()), ["seq"]))
-    scope = rows.limit(1).select("portal").first()
-    gone = store.read().filter((F.col("portal") == (scope["portal"] if scope else "")) & (F.col("ciudad") == ciudad.strip().lower()) & (F.col("status") == "inactive")).count()
+    scope = rows.agg(F.min_by("portal", "seq")).first()[0]
+    gone = store.read().filter((F.col("portal") == (scope or "")) & (F.col("ciudad") == ciudad.strip().lower()) & (F.col("status") == "inactive")).count()
     return {"rows": delta["batch_rows"], "new": delta["new_rows"], "refreshed": delta["refreshed"], "flagged": rows.filter(F.size("issues") > 0).count(), "inactive": gone}
 
 
+def preview(rows: DataFrame, flagged: int = 5, ends: int = 3) -> str:
+    """What a load shows of its rows: the first flagged ones with their issues, and the first and last of all."""
+    def line(r) -> str:
+        return f"  {r['id']} | {r['tipo']} | {r['precio']} | {r['barrio']}"
+
+    held = rows.select("seq", "id", "tipo", "precio", "barrio", "issues")
+    bad = held.filter(F.size("issues") > 0).orderBy("seq").limit(flagged).collect()
+    first, last = held.orderBy("seq").limit(ends).collect(), held.orderBy(F.desc("seq")).limit(ends).collect()[::-1]
+    return "\n".join(["Flagged:", *(f"{line(r)} | {', '.join(r['issues'])}" for r in bad), "First:", *map(line, first), "Last:", *map(line, last)])
+
+
 def export(table: DataFrame, city: str | None = None, portal: str | None = None) -> DataFrame:
     """Exportable rows of a city and a portal, whatever their case, newest first, as a sheet takes them."""
     rows = exportable(table)
@@ -136,6 +145,13 @@ def parser() -> argparse.ArgumentParser:
     one.add_argument("--sample-only", action="store_true")
     one.add_argument("--max-pages", type=int)
     one.add_argument("--verbose", action="store_true")
+    every = commands.add_parser("run-all")
+    every.add_argument("--pages", required=True, help="folder of PORTAL.parquet and, for details, PORTAL-details.parquet")
+    every.add_argument("--portals", nargs="*", choices=sorted(REGISTRY))
+    every.add_argument("--ciudad", default="medellin")
+    every.add_argument("--workers", type=int, default=4)
+    every.add_argument("--skip-health", action="store_true")
+    every.add_argument("--backup", help="folder for a dump of the table before the run")
     load = commands.add_parser("load")
     load.add_argument("file")
     load.add_argument("ciudad")
@@ -149,13 +165,20 @@ def parser() -> argparse.ArgumentParser:
 def main(spark: SparkSession, argv: Sequence[str]) -> int:
     a = parser().parse_args(argv)
     store = ListingStore(spark, a.store)
+    read = lambda p: spark.read.parquet(p) if p else None
+    if a.command == "run-all":
+        folder = PurePosixPath(a.pages)
+        pages = lambda p: (read(str(folder / f"{p}.parquet")), read(str(folder / f"{p}-details.parquet")) if REGISTRY[p].detailed else None)
+        code, report = run_all(spark, pages, store, a.portals, a.ciudad, a.workers, a.skip_health, a.backup)
+        print(report)
+        return code
     if a.command == "scrape":
-        read = lambda p: spark.read.parquet(p) if p else None
         r = run_portal(a.portal, lambda _: (read(a.pages), read(a.details)), store if a.output in ("db", "both") else None, "results" if a.output in ("csv", "both") else None, a.ciudad, a.sample_only, a.max_pages)
         print(f"{'Sample: ' if a.sample_only else 'Scraped '}{r['listings']} listings from {a.portal}", file=sys.stdout)
         return r["code"]
     if a.command == "load":
         print(load_file(spark, a.file, a.ciudad, store))
+        print(preview(validate.loaded(files.load_json(spark, a.file)).withColumn("seq", F.monotonically_increasing_id())))
         return 0
     export(store.read(), a.city, a.portal).write.mode("overwrite").parquet(a.target)
     return 0

@@ -276,13 +276,15 @@ class Portal:
     total: Callable[[Column], Column] | None = None
     detailed: bool = False
     sample: int = 3
+    #: A sample's cards, for a portal that has one page.
+    sample_cards: int | None = None
 
 
 REGISTRY = {
     p.name: p
     for p in (
-        Portal("maxibienes", maxibienes, pagination.total_in_script), Portal("albertoalvarez", albertoalvarez), Portal("alnago", alnago, detailed=True, sample=6), Portal("arrendamientosdelnorte", delnorte),
-        Portal("arrendamientosmonserrate", monserrate, detailed=True, sample=2), Portal("arrendamientossantafe", santafe, pagination.total_in_links, True), Portal("arrendamientosvillacruz", villacruz),
+        Portal("maxibienes", maxibienes, pagination.total_in_script), Portal("albertoalvarez", albertoalvarez), Portal("alnago", alnago, detailed=True, sample_cards=6), Portal("arrendamientosdelnorte", delnorte),
+        Portal("arrendamientosmonserrate", monserrate, detailed=True, sample=2), Portal("arrendamientossantafe", santafe, pagination.current_page, True), Portal("arrendamientosvillacruz", villacruz),
         Portal("coninsa", coninsa), Portal("habitamos", habitamos), Portal("merinohermanos", merinohermanos), Portal("metrocasas", metrocasas, pagination.total_in_links), Portal("santillana", santillana, detailed=True),
     )
 }
@@ -292,4 +294,7 @@ def scrape(portal: str, pages: DataFrame, details: DataFrame | None = None, samp
     """Listings of a portal's pages with their warnings, validated once, after the merge; a sample has its first pages and no details."""
     p = REGISTRY[portal]
     most = min(x for x in (max_pages, p.sample if sample_only else None, 1_000_000_000) if x)
-    return validate.corrected(p.parse(pages.filter(F.col("pos") < most), None if sample_only else details))
+    found = p.parse(pages.filter(F.col("pos") < most), None if sample_only else details)
+    if sample_only and p.sample_cards:
+        found = found.orderBy("seq").limit(p.sample_cards)
+    return validate.corrected(found)

@@ -21,6 +21,12 @@ def total_in_links(html: Column, pattern: str = r"/page/([0-9]+)/") -> Column:
     return F.coalesce(F.greatest(F.array_max(found), F.lit(1)), F.lit(1))
 
 
+def current_page(html: Column) -> Column:
+    """The number that the first element of class ``current`` shows, which is the last page where a page far beyond it was asked for; 1 without."""
+    shown = F.trim(F.regexp_extract(html, r"""<[a-zA-Z][^>]*\sclass\s*=\s*["'](?:[^"']*\s)?current(?:\s[^"']*)?["'][^>]*>(?:\s|<[^>]*>)*([^<]*)""", 1))
+    return F.coalesce(F.greatest(F.when(shown.rlike("^[0-9]+$"), shown.try_cast("int")), F.lit(1)), F.lit(1))
+
+
 def numbered(df: DataFrame, total: Column, most: int | None = None) -> DataFrame:
     """A row for each page 1 .. total, at most ``most``."""
     count = F.least(total, F.lit(most)) if most else total

@@ -97,3 +97,13 @@ def test_load_file(spark, tmp_path):
     path.write_text(json.dumps([{"id": "A-2", "portal": "p"}]))
     assert orchestrate.load_file(spark, str(path), "medellin", store) == {"rows": 1, "new": 0, "refreshed": 1, "flagged": 1, "inactive": 1}
     assert orchestrate.main(spark, ["--store", str(tmp_path / "t"), "export", str(tmp_path / "out")]) == 0
+
+
+def test_run_all_command(spark, tmp_path, capsys):
+    cards = "".join(f"<article><a href='/inmueble/{k}'>x</a>Codigo: {k}\nPrecio: $ 1.{k}00.000</article>" for k in range(100, 109))
+    spark.createDataFrame([(0, 1, cards)], "pos int, page int, html string").write.parquet(str(tmp_path / "pages" / "alnago.parquet"))
+    spark.createDataFrame([], "pos int, url string, html string").write.parquet(str(tmp_path / "pages" / "alnago-details.parquet"))
+    assert orchestrate.main(spark, ["--store", str(tmp_path / "t"), "run-all", "--pages", str(tmp_path / "pages"), "--portals", "alnago", "arrendamientosdelnorte", "--workers", "2"]) == 1
+    assert "alnago" in capsys.readouterr().out
+    pages = spark.read.parquet(str(tmp_path / "pages" / "alnago.parquet"))
+    assert (scrape("alnago", pages, None, True).count(), scrape("alnago", pages).count()) == (6, 9)

@@ -94,3 +94,9 @@ def test_stream(spark, tmp_path):
         spark.sql(" UNION ALL ".join(f"SELECT '{k}' AS id, {base}" for k in ids)).select(*STORED.names).write.mode("append").parquet(str(tmp_path / "in"))
         follow(spark, str(tmp_path / "in"), store, str(tmp_path / "check")).awaitTermination()
     assert {r.id: r.status for r in store.read().collect()} == {"A": "inactive", "B": "active", "C": "active"} and store.version() == 2
+
+
+def test_current_page(spark):
+    pages = ["<li class='pager current x'><a>12</a></li><b class='current'>3</b>", "<li class='currently'>9</li>", "<span class=\"current\">last</span>", None]
+    rows = spark.createDataFrame([(k, p) for k, p in enumerate(pages)], "k int, html string")
+    assert [r.n for r in rows.select("k", pagination.current_page(F.col("html")).alias("n")).orderBy("k").collect()] == [12, 1, 1, 1]
