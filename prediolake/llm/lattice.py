@@ -62,6 +62,8 @@ class Lattice:
         keys = np.array([self._key(piece) for piece in self.pieces], dtype=np.uint64)
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array(list(self.pieces.values()))[order]
+        self.maybe = np.zeros(1 << 22, bool)  # by a key's highest bits: whether any piece has them
+        self.maybe[keys >> np.uint64(42)] = True
 
     @staticmethod
     def _key(piece: str) -> int:
@@ -78,11 +80,13 @@ class Lattice:
         keys = np.zeros((b, n), np.uint64)
         for d in range(1, width + 1):
             keys = keys[:, : n - d + 1] * np.uint64(_BASE) + codes[:, d - 1 :] + np.uint64(1)
-            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            hit = self.keys[at] == keys
-            hit[:, 1:] &= codes[:, 1 : n - d + 1] != ord(_START)  # a piece that begins a word does so at its first place alone
-            numbers[d - 1, :, : n - d + 1][hit] = self.ids[at[hit]]
-            scores[d - 1, :, : n - d + 1][hit] = self.scores[self.ids[at[hit]]]
+            row, place = np.nonzero(self.maybe[keys >> np.uint64(42)])
+            asked = keys[row, place]
+            at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
+            hit = (self.keys[at] == asked) & ((place == 0) | (codes[row, place] != ord(_START)))  # a piece that begins a word does so at its first place alone
+            row, place, found = row[hit], place[hit], self.ids[at[hit]]
+            numbers[d - 1, row, place] = found
+            scores[d - 1, row, place] = self.scores[found]
         spelled = numbers[0] < 0
         for c in np.unique(codes[spelled]).tolist():
             scores[0][spelled & (codes == c)] = self.scores[self.bytes[list(chr(c).encode("utf-8", "surrogatepass"))]].sum()
@@ -95,9 +99,10 @@ class Lattice:
 
     def _forward(self, scores: np.ndarray) -> np.ndarray:
         width, b, n = scores.shape
-        forward = np.zeros((n + 1, b))
+        forward, live = np.zeros((n + 1, b)), np.isfinite(scores).any(axis=1)
         for j in range(1, n + 1):
             d = np.arange(1, min(width, j) + 1)
+            d = d[live[d - 1, j - d]]
             forward[j] = self._sums(forward[j - d] + scores[d - 1, :, j - d])
         return forward
 
@@ -126,11 +131,11 @@ class Lattice:
         for some, codes in self._groups(words):
             numbers, scores, spelled = self._arcs(codes)
             width, b, n = scores.shape
-            forward, backward = self._forward(scores), np.zeros((n + 1, b))
+            forward, backward, live = self._forward(scores), np.zeros((n + 1, b)), np.isfinite(scores).any(axis=1)
             for i in range(n - 1, -1, -1):
-                d = np.arange(1, min(width, n - i) + 1)
+                d = 1 + np.flatnonzero(live[: n - i, i])
                 backward[i] = self._sums(backward[i + d] + scores[d - 1, :, i])
-            for d in range(1, width + 1):
+            for d in (1 + np.flatnonzero(live.any(axis=1))).tolist():
                 share = np.exp(forward[: n - d + 1].T + scores[d - 1, :, : n - d + 1] + backward[d:].T - forward[n][:, None]) * times[some][:, None]
                 real = numbers[d - 1, :, : n - d + 1]
                 counts += np.bincount(real[real >= 0], share[real >= 0], self.size + 1)
@@ -162,11 +167,23 @@ def _counted(batches: Iterator[pa.RecordBatch], most: int = 250_000) -> Iterator
         yield pack()
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 50_000, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in fewer batches, of about ``rows`` rows or ``most_bytes``: words of one length go through the recursions together."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(x.num_rows for x in held) >= rows or sum(x.nbytes for x in held) >= most_bytes:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _expected(batches: Iterator[pa.RecordBatch], path: str, weights: np.ndarray | None, stop: float) -> Iterator[pa.RecordBatch]:
     """(piece, n): the pieces expected in the words (word, times seen) of a task."""
     lattice = Lattice(path, weights, stop)
     counts = np.zeros(lattice.size + 1)
-    for b in batches:
+    for b in _gathered(batches):
         counts += lattice.expected(b.column(0).to_pylist(), b.column(1).to_numpy().astype(np.float64))
     used = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], ["piece", "n"])
@@ -186,7 +203,7 @@ def trained(words: DataFrame, path: str, rounds: int = 4) -> tuple[np.ndarray |
 
 def _weighed(batches: Iterator[pa.RecordBatch], path: str, weights: np.ndarray | None, stop: float, tokens: int, types: int, goes_on: float) -> Iterator[pa.RecordBatch]:
     lattice = Lattice(path, weights, stop)
-    for b in batches:
+    for b in _gathered(batches):
         counts = b.column(1).to_numpy()
         score = (lattice.likelihoods(b.column(0).to_pylist()) + goes_on) / LOG10
         base = np.log10((counts + 1.0) / (tokens + types + 1.0))
