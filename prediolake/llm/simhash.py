@@ -209,58 +209,71 @@ def _verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
     """Of pairs (p, q, ...) of texts p, q: the other columns of those whose shingle sets are so similar."""
     both = pairs.join(sets.select(F.col("part").alias("p"), F.col("found").alias("x")), "p").join(sets.select(F.col("part").alias("q"), F.col("found").alias("y")), "q")
     common = F.size(F.array_intersect("x", "y"))
-    return both.filter(common >= similar * (F.size("x") + F.size("y") - common)).select(*(c for c in pairs.columns if c not in ("p", "q")))
+    return both.filter(common >= similar * (F.size("x") + F.size("y") - common) - 1e-9).select(*(c for c in pairs.columns if c not in ("p", "q")))
 
 
-def similar_links(texts: DataFrame, sketches: DataFrame, links: DataFrame, similar: float = 0.8, words: int = 5, side: int = 32, idle: int = 2) -> DataFrame:
+def _prefixes(sets: DataFrame, similar: float) -> DataFrame:
+    """(part, shingle, ahead) for the rarest shingles of each set (part, found): sets that are so similar share one of theirs.
+
+    A set's shingles are ranked by the number of sets that have them, ties by value; its prefix is as long as a similar
+    set can't miss. Shingles of one set alone stand first and can't be shared, so they are left out. ahead: the
+    shingles behind this one in its set.
+    """
+    each = sets.select("part", F.explode("found").alias("shingle"))
+    often = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")
+    ranked = each.join(often, "shingle").groupBy("part").agg(F.array_sort(F.collect_list(F.struct("sets", "shingle"))).alias("shared"))
+    n = F.size("found")
+    length = n - F.ceil(similar * n - 1e-9) + 1 - (n - F.size("shared"))
+    cut = ranked.join(sets, "part").filter(length > 0).select("part", F.size("shared").alias("of"), F.slice("shared", 1, F.greatest(length.cast("int"), F.lit(0))).alias("rare"))
+    return cut.select("part", "of", F.posexplode("rare").alias("at", "x")).select("part", F.col("x.shingle").alias("shingle"), (F.col("of") - F.col("at") - 1).alias("ahead"))
+
+
+def _candidates(named: DataFrame, sets: DataFrame, similar: float, side: int) -> DataFrame:
+    """Pairs (p, q, a, b) of the texts (part, fp, root) that differ in root and may be so similar: all that are, and few others.
+
+    They share a shingle of both prefixes, and the shingles from the first shared one on suffice (the pairs that fail
+    that at each shared shingle aren't so similar). A shingle in over ``side`` prefixes is salted: its left rows are
+    dealt over parts of that size, its right rows go to each, so no task gets a whole group.
+    """
+    sized = named.join(sets.select("part", F.size("found").alias("n")), "part")
+    filed = save(_prefixes(sets, similar).join(sized, "part"), "similar-prefixes")
+    ends = filed.groupBy("shingle").agg(F.count(F.lit(1)).alias("rows"), F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
+    groups = save(ends.select("shingle", F.ceil(F.col("rows") / side).alias("parts")), "similar-groups")
+    filed = filed.join(groups, "shingle")
+    left, right = (filed.select("shingle", "parts", *(F.col(c).alias(f"{c}{k}") for c in ("part", "fp", "n", "root", "ahead"))) for k in (1, 2))
+    left = left.withColumn("salt", F.pmod(F.xxhash64("part1"), F.col("parts"))).drop("parts")
+    right = right.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
+    size = F.col("n1") + F.col("n2")
+    enough = (1 + F.least("ahead1", "ahead2")) * (1 + similar) >= similar * size - 1e-6
+    near = F.least("n1", "n2") >= similar * F.greatest("n1", "n2") - 1e-9
+    pairs = left.join(right, ["shingle", "salt"]).filter((F.col("part1") < F.col("part2")) & (F.col("root1") != F.col("root2")) & near & enough)
+    return pairs.select(F.col("part1").alias("p"), F.col("part2").alias("q"), F.col("fp1").alias("a"), F.col("fp2").alias("b")).distinct()
+
+
+def similar_links(texts: DataFrame, sketches: DataFrame, links: DataFrame, similar: float = 0.8, words: int = 5, side: int = 2_000) -> DataFrame:
     """links, and further links (a, b) of fingerprints, that join texts whose ``words``-word shingle sets have a Jaccard similarity of ``similar`` or more, directly or through others.
 
     texts: (part, text), where part names a text; sketches: (part, fp, n, bands); links: saved links (a, b) of
-    fingerprints. Candidates are texts with a band in common, verified by their sets. First each text is compared with
-    one text of each of its bands. Then, in bands of up to ``side`` texts, all pairs that aren't joined yet are. In a
-    larger band each text is compared with one of another group, in rounds with other choices, until ``idle`` rounds
-    have joined nothing: so a large group is never expanded to pairs, and a pair that shares large bands alone, is not
-    joined through others and is never chosen stays apart.
+    fingerprints. Each text is compared with one text of each of its bands, which joins most groups. The texts that
+    then share a band with a text of another group are compared by prefixes of their rarest shingles, whatever the
+    size of the band, and verified by their sets: every similar pair among them is joined. A group that is joined
+    already is never expanded to pairs.
     """
-    def near(x: str, y: str) -> Column:
-        return F.least(x, y) >= similar * F.greatest(x, y)
-
+    near = F.least("n", "least.n") >= similar * F.greatest("n", "least.n") - 1e-9
     filed = save(sketches.groupBy("part").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("bands").alias("bands")), "similar-texts").select("part", "fp", "n", F.explode("bands").alias("band"))
     ends = filed.groupBy("band").agg(F.min(F.struct("part", "fp", "n")).alias("least"), F.max("part").alias("last")).filter("least.part <> last").drop("last")
     filed = save(filed.join(save(ends, "similar-shared"), "band"), "similar-bands")
     asked = filed.select(F.col("part").alias("_asked")).distinct()
     wanted = texts.join(asked, texts["part"] == asked["_asked"], "left_semi").select("part", "text")
     sets = save(through_arrow(wanted, partial(_shingled, words=words), "part long, found array<long>").groupBy("part").agg(F.first("found").alias("found")), "similar-sets")
-    pairs = filed.filter((F.col("fp") != F.col("least.fp")) & near("n", "least.n")).select(F.col("least.part").alias("p"), F.col("part").alias("q"), F.col("least.fp").alias("a"), F.col("fp").alias("b")).distinct()
+    pairs = filed.filter((F.col("fp") != F.col("least.fp")) & near).select(F.col("least.part").alias("p"), F.col("part").alias("q"), F.col("least.fp").alias("a"), F.col("fp").alias("b")).distinct()
     links = save(links.select("a", "b").union(_verified(pairs, sets, similar)), "similar-links")
     roots = components(links, "similar")
-    named = save(filed.join(roots, filed["fp"] == roots["node"], "left").select("part", "fp", "n", "band", F.coalesce("root", "fp").alias("root")), "similar-named")
-    split = save(named.groupBy("band").agg(F.count(F.lit(1)).alias("texts"), F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("band", "texts"), "similar-split")
-
-    few = named.join(split.filter(F.col("texts") <= side).select("band"), "band", "left_semi")
-    left, right = (few.select("band", *(F.col(c).alias(f"{c}{k}") for c in ("part", "fp", "n", "root"))) for k in (1, 2))
-    others = left.join(right, "band").filter((F.col("part1") < F.col("part2")) & (F.col("root1") != F.col("root2")) & near("n1", "n2"))
-    others = others.select(F.col("part1").alias("p"), F.col("part2").alias("q"), F.col("fp1").alias("a"), F.col("fp2").alias("b"), F.col("root1").alias("r"), F.col("root2").alias("s")).distinct()
-    found = save(_verified(others, sets, similar), "similar-few")
-    links = links.union(found.select("a", "b"))
-
-    many = named.join(split.filter(F.col("texts") > side).select("band"), "band", "left_semi")
-    turn = empty = 0
-    while empty < idle:
-        if turn and not found.isEmpty() or not turn:
-            merged = components(found.select(F.col("r").alias("a"), F.col("s").alias("b")), "similar")
-            many = save(many.join(merged.withColumnRenamed("root", "to"), many["root"] == merged["node"], "left").select("part", "fp", "n", "band", F.coalesce("to", "root").alias("root")), "similar-many")
-        chosen = F.struct(F.xxhash64("root", F.lit(turn)).alias("h"), "root", F.xxhash64("part", F.lit(turn)).alias("g"), "part", "fp", "n")
-        ends = save(many.groupBy("band").agg(F.min(chosen).alias("lo"), F.max(chosen).alias("hi")).filter("lo.root <> hi.root"), "similar-ends")
-        if ends.isEmpty():
-            break
-        other = F.when(F.col("root") == F.col("lo.root"), F.col("hi")).otherwise(F.col("lo"))
-        pairs = many.join(ends, "band").withColumn("o", other).filter(near("n", "o.n")).select(F.col("part").alias("p"), F.col("o.part").alias("q"), F.col("fp").alias("a"), F.col("o.fp").alias("b"), F.col("root").alias("r"), F.col("o.root").alias("s")).distinct()
-        found = save(_verified(pairs, sets, similar), "similar-round")
-        links = links.union(found.select("a", "b"))
-        empty = empty + 1 if found.isEmpty() else 0
-        turn += 1
-    return links
+    named = save(filed.join(roots, filed["fp"] == roots["node"], "left").select("part", "fp", "band", F.coalesce("root", "fp").alias("root")), "similar-named")
+    split = named.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("band")
+    apart = save(named.join(split, "band", "left_semi").select("part", "fp", "root").distinct(), "similar-apart")
+    few = save(sets.join(apart.select("part"), "part", "left_semi"), "similar-apart-sets")
+    return links.union(_verified(_candidates(apart, few, similar, side), few, similar))
 
 
 def _rooted(docs: DataFrame, id_col: str, text_col: str, shingle: int, most: int, similar: float | None, words: int) -> DataFrame:

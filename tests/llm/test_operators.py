@@ -310,7 +310,7 @@ def test_pivots_never_drop_a_near_pair():
         assert max(abs((x ^ p).bit_count() - (y ^ p).bit_count()) for p in simhash.PIVOTS) <= 3
 
 
-def test_large_bands_are_joined_in_rounds(spark):
+def test_large_bands_are_joined(spark):
     # copies of a text that differ in one word of 120 each: shingles in common 111 of 121 with the text (0.92), 106 of 126 with one another (0.84)
     r = random.Random(14)
     words = [f"{r.choice(WORDS)}{r.randrange(1000)}" for _ in range(120)]
@@ -324,6 +324,39 @@ def test_large_bands_are_joined_in_rounds(spark):
     assert len({roots[prints[k]] for k in range(60)}) == 1 and not {prints[100 + k] for k in range(20)} & set(roots)
 
 
+def test_similar_links_lose_no_pair(spark):
+    # a passage that all texts share, and tails of several lengths: many similar pairs, none of them by fingerprints
+    r = random.Random(15)
+    common_words = [f"c{k}" for k in range(60)]
+    rows = []
+    for k in range(60):
+        tail = [f"t{k // 6}x{j}" for j in range(30 + k // 6 + r.randrange(6))]
+        for j in range(0, len(tail), 9):
+            if r.random() < 0.2:
+                tail[j] = f"o{k}x{j}"
+        rows.append((k, " ".join(common_words + tail)))
+    rows += [(100, ""), (101, None), (102, "one"), (103, "one two three four five six"), (104, rows[0][1])]
+    texts = spark.createDataFrame(rows, "doc_id long, text string").withColumn("part", F.xxhash64("text"))
+    sketches = common.save(simhash.through_arrow(texts, simhash.partial(simhash._sketches, shingle=3, words=5), "doc_id long, fp long, part long, n int, bands array<long>"), "t")
+    prints = {x.doc_id: x.fp for x in sketches.collect()}
+
+    def grams(text):
+        w = (text or "").split()
+        return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+
+    of = [(prints[k], grams(t)) for k, t in rows]
+    want = {(min(x, y), max(x, y)) for i, (x, g) in enumerate(of) for y, h in of[:i] if x != y and g and h and 10 * len(g & h) >= 8 * len(g | h)}
+    sets = spark.createDataFrame([(prints[k], simhash.shingles(t).view("int64").tolist()) for k, t in rows], "part long, found array<long>").dropDuplicates(["part"])
+    named = sets.select("part", F.col("part").alias("fp"), F.col("part").alias("root"))
+    for side in (3, 2000):  # salted or not, all similar pairs are candidates
+        got = {(min(x.a, x.b), max(x.a, x.b)) for x in simhash._verified(simhash._candidates(named, sets, 0.8, side), sets, 0.8).collect()}
+        assert got == want and len(want) > 50
+    linked = simhash.similar_links(texts, sketches, spark.createDataFrame([], "a long, b long"), side=3)
+    roots = {x.node: x.root for x in common.components(linked, "t").collect()}
+    plain = dict(plain_components([(k, k) for k in sorted(set(prints.values()))], lambda x, y: (min(x, y), max(x, y)) in want))
+    assert all((roots.get(x, x) == roots.get(y, y)) == (plain[x] == plain[y]) for x in plain for y in plain)
+
+
 def test_near_copies_by_shingles(spark):
     # of 200 words: one changed in four places shares 176 of 216 shingles (0.81), one changed in five 171 of 221 (0.77)
     r = random.Random(12)
