@@ -205,6 +205,28 @@ def _shingled(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int64()))], ["part", "found"])
 
 
+def _joining(batches: Iterator[pa.RecordBatch], most: int = 500_000) -> Iterator[pa.RecordBatch]:
+    """Of a task's links (a, b) those that join two trees, so that all are still connected; past ``most`` nodes it begins anew."""
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (up := above.setdefault(x, x)) != x:
+            above[x] = above[up]
+            x = up
+        return x
+
+    for batch in batches:
+        if len(above) > most:
+            above.clear()
+        kept = []
+        for at, (a, b) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+            x, y = top(a), top(b)
+            if x != y:
+                above[max(x, y)] = min(x, y)
+                kept.append(at)
+        yield batch.take(pa.array(kept, pa.int64()))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
     """Of pairs (p, q, ...) of texts p, q: the other columns of those whose shingle sets are so similar."""
     both = pairs.join(sets.select(F.col("part").alias("p"), F.col("found").alias("x")), "p").join(sets.select(F.col("part").alias("q"), F.col("found").alias("y")), "q")
@@ -212,6 +234,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
     return both.filter(common >= similar * (F.size("x") + F.size("y") - common) - 1e-9).select(*(c for c in pairs.columns if c not in ("p", "q")))
 
 
+def _thinned(links: DataFrame) -> DataFrame:
+    """Links (a, b) that connect what the given ones do: each task keeps a forest of its own, before anything is shuffled."""
+    return through_arrow(links.select("a", "b"), _joining, "a long, b long")
+
+
 def _prefixes(sets: DataFrame, similar: float) -> DataFrame:
     """(part, shingle, ahead) for the rarest shingles of each set (part, found): sets that are so similar share one of theirs.
 
@@ -251,13 +278,13 @@ def _candidates(named: DataFrame, sets: DataFrame, similar: float, side: int) ->
 
 
 def similar_links(texts: DataFrame, sketches: DataFrame, links: DataFrame, similar: float = 0.8, words: int = 5, side: int = 2_000) -> DataFrame:
-    """links, and further links (a, b) of fingerprints, that join texts whose ``words``-word shingle sets have a Jaccard similarity of ``similar`` or more, directly or through others.
+    """Links (a, b) of fingerprints that connect what ``links`` connect, and texts whose ``words``-word shingle sets have a Jaccard similarity of ``similar`` or more, directly or through others.
 
     texts: (part, text), where part names a text; sketches: (part, fp, n, bands); links: saved links (a, b) of
     fingerprints. Each text is compared with one text of each of its bands, which joins most groups. The texts that
     then share a band with a text of another group are compared by prefixes of their rarest shingles, whatever the
     size of the band, and verified by their sets: every similar pair among them is joined. A group that is joined
-    already is never expanded to pairs.
+    already is never expanded to pairs, and comes out as a link of each fingerprint to its root.
     """
     near = F.least("n", "least.n") >= similar * F.greatest("n", "least.n") - 1e-9
     filed = save(sketches.groupBy("part").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("bands").alias("bands")), "similar-texts").select("part", "fp", "n", F.explode("bands").alias("band"))
@@ -267,13 +294,14 @@ def similar_links(texts: DataFrame, sketches: DataFrame, links: DataFrame, simil
     wanted = texts.join(asked, texts["part"] == asked["_asked"], "left_semi").select("part", "text")
     sets = save(through_arrow(wanted, partial(_shingled, words=words), "part long, found array<long>").groupBy("part").agg(F.first("found").alias("found")), "similar-sets")
     pairs = filed.filter((F.col("fp") != F.col("least.fp")) & near).select(F.col("least.part").alias("p"), F.col("part").alias("q"), F.col("least.fp").alias("a"), F.col("fp").alias("b")).distinct()
-    links = save(links.select("a", "b").union(_verified(pairs, sets, similar)), "similar-links")
+    links = save(links.select("a", "b").union(_thinned(_verified(pairs, sets, similar))), "similar-links")
     roots = components(links, "similar")
     named = save(filed.join(roots, filed["fp"] == roots["node"], "left").select("part", "fp", "band", F.coalesce("root", "fp").alias("root")), "similar-named")
     split = named.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("band")
-    apart = save(named.join(split, "band", "left_semi").select("part", "fp", "root").distinct(), "similar-apart")
+    apart = save(named.join(split, "band", "left_semi").select("part", F.col("root").alias("fp"), "root").distinct(), "similar-apart")
     few = save(sets.join(apart.select("part"), "part", "left_semi"), "similar-apart-sets")
-    return links.union(_verified(_candidates(apart, few, similar, side), few, similar))
+    joined = roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return joined.union(_thinned(_verified(_candidates(apart, few, similar, side), few, similar)))
 
 
 def _rooted(docs: DataFrame, id_col: str, text_col: str, shingle: int, most: int, similar: float | None, words: int) -> DataFrame:
