@@ -11,6 +11,7 @@ from itertools import product
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -357,6 +358,20 @@ def test_similar_links_lose_no_pair(spark):
     assert all((roots.get(x, x) == roots.get(y, y)) == (plain[x] == plain[y]) for x in plain for y in plain)
 
 
+def test_thinned_links_connect_the_same():
+    # batches of random links, repeated and looped ones too, with and without a new beginning at 20 nodes
+    r = random.Random(16)
+    pairs = [(r.randrange(200), r.randrange(200)) for _ in range(130)]
+    pairs += pairs[:50] + [(7, 7)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([x for x, _ in part], pa.int64()), pa.array([y for _, y in part], pa.int64())], ["a", "b"]) for part in (pairs[k : k + 40] for k in range(0, len(pairs), 40))]
+    plain = dict(plain_components([(k, k) for k in range(200)], lambda x, y: (x, y) in pairs or (y, x) in pairs))
+    for most in (20, 500_000):
+        kept = [(x["a"], x["b"]) for b in simhash._joining(iter(batches), most) for x in b.to_pylist()]
+        assert set(kept) <= set(pairs) and dict(plain_components([(k, k) for k in range(200)], lambda x, y: (x, y) in kept or (y, x) in kept)) == plain  # noqa: B023
+    assert len(kept) == 200 - len(set(plain.values()))  # a forest
+    assert not list(simhash._joining(iter([])))
+
+
 def test_near_copies_by_shingles(spark):
     # of 200 words: one changed in four places shares 176 of 216 shingles (0.81), one changed in five 171 of 221 (0.77)
     r = random.Random(12)
