@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chroma, html_text, lattice, mixing, packing, sharding, simhash, spans, toxicity
+from . import ann, centroids, chroma, html_text, lattice, lexical, mixing, packing, secrets, sharding, simhash, spans, toxicity
 from .common import save, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -59,6 +59,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(lexical.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_mixing": op2_mixing,
@@ -70,6 +82,9 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_lattice": op9_lattice,
     "op10_sharding": op10_sharding,
+    "op11_secrets": op11_secrets,
+    "op12_centroids": op12_centroids,
+    "op13_lexical": op13_lexical,
 }
 
-ORACLES: dict[str, str] = {"op2_mixing": mixing.oracle()}
+ORACLES: dict[str, str] = {"op2_mixing": mixing.oracle(), "op12_centroids": centroids.oracle(), "op13_lexical": lexical.oracle()}
