@@ -5,8 +5,8 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html import unescape
-from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,20 +21,30 @@ _STOP = re.compile("[>\"']")
 _END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE) for tag in _RAW}
 _BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 _VOID = frozenset("hr br img input meta link area base col embed source track wbr".split())
-#: Elements that are never the article: menus, footers, sidebars, forms.
-_ASIDE = frozenset("nav footer aside form menu dialog fieldset select button".split())
+#: Blocks that part a page into regions; the others (paragraphs, items, cells, headings, quotes) are lines of their region.
+_REGIONS = frozenset("html body div section article main aside nav header footer form center dialog fieldset menu details".split())
+#: Elements that are never the article: menus, footers, sidebars, controls.
+_ASIDE = frozenset("nav footer aside menu dialog fieldset select button".split())
 _MAIN = frozenset(("article", "main"))
-_NOT_MAIN = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertis\w*|advertorial|banner|sponsor\w*|promo\w*|sidebar|side-?bar|widget|comments?|commentlist|replies|reply|respond|disqus|cookies?|consent|gdpr|notice|notices|alert|popup|modal|overlay|newsletter|subscribe|subscription|menu|navbar|nav|navigation|breadcrumbs?|pagination|pager|footer|masthead|topbar|toolbar|share|sharing|social|related|recommended|login|signup|search|skip|paywall|hidden)(?:$|[\s_-])", re.IGNORECASE)
-_NOT_ARTICLE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|comments?|reply|replies|related|recommended|teaser)(?:$|[\s_-])", re.IGNORECASE)
-_MAIN_NAME = re.compile(r"(?:^|[\s_-])(?:article|articlebody|post|entry|story|content|maincontent|main)(?:$|[\s_-])", re.IGNORECASE)
-_NAMES = re.compile(r"""(?:^|\s)(class|id|role|itemprop|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+#: Fixed lists of whole class names and ids. Outside main elements the first go; inside, only adverts and lists of comments, and only where a region or list bears them.
+_NOT_MAIN = frozenset(
+    "ad ads adv advert adverts advertisement advertisements advertising advertorial banner sponsor sponsored sponsors promo promos promotion promotions sidebar side-bar widget widgets comment comments commentlist "
+    "comment-list replies reply respond disqus disqus_thread cookie cookies cookie-notice cookie-banner consent gdpr notice notices alert alerts popup modal overlay newsletter subscribe subscription menu navbar nav "
+    "navigation breadcrumb breadcrumbs pagination pager footer masthead topbar toolbar share sharing social related recommended login signup search skip skip-link paywall hidden".split()
+)
+_NOT_ARTICLE = frozenset("ad ads adv advert adverts advertisement advertisements advertising sponsored comments commentlist comment-list disqus_thread respond".split())
+_MAIN_NAMES = frozenset("article article-body article-content articlebody content entry entry-content main main-content maincontent post post-body post-content story story-body".split())
+_NAMES = re.compile(r"""(?:^|\s)(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+_HREF = re.compile(r"(?:^|\s)href\s*=", re.IGNORECASE)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none|visibility\s*:\s*hidden""", re.IGNORECASE)
-_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
+_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
 
 #: Lines in a window, and the weight of a window at which it surges.
 WINDOW, SURGE = 3, 80
-#: By how much lines outside the main elements weigh less, on pages that name such elements.
+#: Main elements are believed unless a region outside them holds so many times their text.
 OUTSIDE = 4
+#: So many lines of links alone, one after another, are a menu wherever they stand at an edge.
+MENU = 3
 
 
 def _tag_end(html: str, at: int) -> int:
@@ -95,70 +105,84 @@ def _side(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
         return False, tag in _MAIN
     if _HIDDEN.search(attributes):
         return True, False
-    names = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _NAMES.finditer(attributes)}
-    role = names.get("role", "").lower()
-    words = f"{names.get('class', '')} {names.get('id', '')}"
-    if role in _ROLES or (_NOT_ARTICLE if tag in _MAIN else _NOT_MAIN).search(words):
-        return tag not in ("html", "body"), False
-    return False, tag in _MAIN or role in ("main", "article") or names.get("itemprop", "").lower() == "articlebody" or (tag in ("div", "section", "td") and bool(_MAIN_NAME.search(words)))
+    given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _NAMES.finditer(attributes)}
+    role = given.get("role", "").strip().lower()
+    names = {x.lower() for x in (*given.get("class", "").split(), given.get("id", "").strip())}
+    region = tag in _REGIONS or tag in ("ul", "ol", "td")
+    if tag in ("html", "body"):
+        return False, False
+    if role in _ROLES or names & (_NOT_ARTICLE if inside or tag in _MAIN else _NOT_MAIN) and (region or not inside):
+        return True, False
+    return False, tag in _MAIN or role in ("main", "article") or given.get("itemprop", "").lower() == "articlebody" or (region and bool(names & _MAIN_NAMES))
 
 
-def lines_of(html: str) -> list[tuple[str, int, bool, tuple[int, ...]]]:
-    """The page without markup, as (text of a block, its characters outside links, whether it stands in a main element, the numbers of its element and of that one's parent), in page order.
+@dataclass(frozen=True)
+class Line:
+    """The text of a block, and where it stands.
 
-    An element that is left out gives as many empty lines as a window has, so the text on its two sides never shares
-    a window. They bear the number of the element's parent, 0 for body and what is around it. So do the beginning and
-    the end of a main element, with the number -1.
+    free: its characters outside links; main: the number of the outermost main element around it, 0 for none; region,
+    depth: its region's number and depth; gap: how many regions end or begin between the line before and this one;
+    meet: the depth of the region that holds both.
     """
-    out: list[tuple[str, int, bool, tuple[int, ...]]] = []
-    stack: list[tuple[str, bool, bool, int]] = []
+
+    text: str
+    free: int
+    main: int
+    region: int
+    depth: int
+    gap: int
+    meet: int
+
+
+def lines_of(html: str) -> list[Line]:
+    """The page without markup, in page order.
+
+    Elements that are left out leave nothing, not even a gap. A form is one of them, unless it holds half of the
+    page's text and more (pages that are one form): then it is a region like others.
+    """
+    parents, depths, forms = [0], [0], [0]
+    stack: list[tuple[str, bool, bool, bool]] = []
     opened: Counter = Counter()
+    found: list[tuple[str, int, int, int]] = []
     parts: list[str] = []
     linked: list[str] = []
-    dropped = main = links = made = 0
+    dropped = main = links = here = mains = 0
 
     def close() -> None:
+        nonlocal links
+        links = 0
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                over = " ".join(unescape("".join(linked)).split())
-                out.append((text, max(0, len(text) - len(over)), main > 0, tuple(x[3] for x in stack[-2:])))
+                found.append((text, max(0, len(text) - len(" ".join(unescape("".join(linked)).split()))), mains if main else 0, here))
             parts.clear()
             linked.clear()
 
-    def edge(number: int) -> None:
-        out.extend([("", 0, False, (number,))] * WINDOW)
-
     def pop() -> None:
-        nonlocal dropped, main
-        tag, gone, chief, _ = stack.pop()
+        nonlocal dropped, main, here
+        tag, gone, chief, region = stack.pop()
         opened[tag] -= 1
         dropped -= gone
         main -= chief
-        if gone and not dropped:
-            edge(stack[-1][3] if stack else 0)
-        elif chief and not main:
-            close()
-            edge(-1)
-
-    def said(a: int, b: int) -> None:
-        if b > a and not dropped:
-            parts.append(html[a:b])
-            if links:
-                linked.append(html[a:b])
+        if region:
+            here = parents[here]
 
     at = 0
     for start, end, tag, closes, given in _tags(html):
-        said(at, start)
+        if start > at and not dropped:
+            parts.append(html[at:start])
+            if links:
+                linked.append(html[at:start])
         at = end
         if not tag:
             continue
+        if tag == "a":
+            links = 0 if closes else int(bool(_HREF.search(given)))
         if tag == "br":
-            parts.append(" ")
-        elif tag == "a":
-            links = 0 if closes else 1
+            if not dropped:
+                parts.append(" ")
         elif closes:
-            if tag in _BLOCKS:
+            if tag in _BLOCKS and not dropped:
                 close()
             if opened[tag]:
                 while True:
@@ -169,78 +193,143 @@ def lines_of(html: str) -> list[tuple[str, int, bool, tuple[int, ...]]]:
         else:
             block = tag in _BLOCKS
             if block:
-                close()
+                if not dropped:
+                    close()
                 if stack and (stack[-1][0] == "p" or stack[-1][0] == tag and tag in ("li", "dd", "dt", "td", "th", "tr")):
                     pop()
             if tag in _VOID or given.endswith("/"):
                 continue
             gone, chief = _side(tag, given, main > 0)
             if block or gone:
-                if gone and not dropped:
-                    close()
-                if chief and not main and not dropped:
-                    edge(-1)
-                made += 1
-                stack.append((tag, gone, chief, 0 if tag in ("html", "body") else made))
+                region = tag in _REGIONS or chief
+                if region:
+                    parents.append(here)
+                    depths.append(depths[here] + 1)
+                    forms.append(forms[here] or (len(forms) if tag == "form" else 0))
+                    here = len(parents) - 1
+                mains += chief and not main
+                stack.append((tag, gone, chief, region))
                 opened[tag] += 1
                 dropped += gone
                 main += chief
-    said(at, len(html))
+    if not dropped:
+        parts.append(html[at:])
     close()
+
+    held: Counter = Counter()
+    for _, free, _, region in found:
+        held[forms[region]] += free
+    whole = sum(held.values())
+    out: list[Line] = []
+    before = 0
+    for text, free, number, region in found:
+        if forms[region] and 2 * held[forms[region]] < whole:
+            continue
+        gap, x, y = 0, before, region
+        while x != y:
+            gap += 1
+            if depths[x] >= depths[y]:
+                x = parents[x]
+            else:
+                y = parents[y]
+        out.append(Line(text, free, number, region, depths[region], gap if out else 0, depths[x] if out else depths[region]))
+        before = region
     return out
 
 
-def _parted(lines: list[tuple[str, int, bool, tuple[int, ...]]], a: int, b: int) -> bool:
-    """Whether the lines at a and b are parted only by left out elements of one parent that is theirs too."""
-    (parent, *others) = {line[3] if not line[0] else () for line in lines[a + 1 : b]} or {()}
-    return not others and parent not in ((), (0,)) and parent[0] in lines[a][3] and parent[0] in lines[b][3]
+def believed(lines: list[Line], parts: list[int]) -> bool:
+    """Whether the page's main elements are its article: they hold text, and no part outside them has OUTSIDE times as much."""
+    own = sum(x.free for x in lines if x.main)
+    others: Counter = Counter()
+    for x, part in zip(lines, parts, strict=True):
+        if not x.main:
+            others[part] += x.free
+    return own > 0 and OUTSIDE * own >= max(others.values(), default=0)
 
 
-def line_weights(lines: list[tuple[str, int, bool, tuple[int, ...]]]) -> list[float]:
-    """What each line weighs: its characters outside links. Where the page names a main element, its lines weigh all their characters and SURGE more, so that each surges by itself, and others an OUTSIDE-th."""
-    named = any(chief for text, _, chief, _ in lines if text)
-    return [0.0 if not text else float(len(text) + SURGE) if chief else free / OUTSIDE if named else float(free) for text, free, chief, _ in lines]
+def parts_of(lines: list[Line]) -> list[int]:
+    """By line, a number of the part of the page that it is in: a region right below the one that holds all lines, or that region's own lines (-1)."""
+    top = min((x.meet for x in lines), default=0)
+    out: list[int] = []
+    for k, x in enumerate(lines):
+        out.append(-1 if x.depth == top else k if not k or x.meet == top else out[-1])
+    return out
 
 
-def chosen_lines(lines: list[tuple[str, int, bool, tuple[int, ...]]]) -> list[int]:
+def chosen_lines(lines: list[Line]) -> list[int]:
     """The lines between surges and dives of the weight in sliding windows of WINDOW lines.
 
-    A stretch begins where a window first holds weight and ends where a window is empty. It is chosen, from its first
-    to its last line that weighs anything, if its fullest window surges: to SURGE, or to a quarter of the page's
-    fullest window where that is less. Stretches that are parted only by elements left out of their own parent (not of
-    body) are judged as one.
+    A line weighs its characters outside links. Lines with ``gap`` regions between them lie 2 * gap - 1 empty lines
+    apart, so two neighbouring regions part any window. A stretch begins where a window first holds weight and ends
+    where a window is empty; stretches of one part of the page are judged as one, by their fullest window: it has to
+    surge to SURGE, or to a quarter of the page's fullest window where that is less. A stretch that doesn't, between
+    two that do, stays too.
+
+    Where main elements are believed, only their lines weigh, each element is a part, and nothing within one dives:
+    the windows choose among the elements. Elsewhere they weigh like any other lines.
+
+    Lines of links alone weigh nothing. They stay within a chosen part, and at its edges where they are in its regions,
+    unless MENU of them follow one another there.
     """
-    sizes = line_weights(lines)
-    sums = [0.0, *accumulate(sizes)]
-    n = len(lines)
-    windows = [sums[min(n, k + WINDOW)] - sums[k] for k in range(n)]
-    surge = max(1e-9, min(SURGE, max(windows, default=0) / 4))
-    held = [k for k in range(n) if sizes[k]]
-    stretches: list[tuple[float, list[tuple[int, int]]]] = []
-    at = 0
-    while at < len(held):
-        stop = at
-        while stop + 1 < len(held) and held[stop + 1] - held[stop] <= WINDOW:
+    parts = parts_of(lines)
+    if believed(lines, parts):
+        parts = [x.main if x.main else None for x in lines]
+    weights = [0 if part is None else x.free for x, part in zip(lines, parts, strict=True)]
+    places, place = [], 0
+    for k, x in enumerate(lines):
+        same = k > 0 and x.main and parts[k] == parts[k - 1] == x.main
+        place += 1 + (min(2 * x.gap - 1, WINDOW - 1) if same else 2 * x.gap - 1 if x.gap else 0) if k else 0
+        places.append(place)
+    held = [k for k, w in enumerate(weights) if w]
+    fullest: list[int] = []  # of the window that begins at each held line, the lines of its part
+    stop = total = 0
+    for at, k in enumerate(held):
+        if stop <= at:
+            stop, total = at, 0
+        while stop < len(held) and places[held[stop]] < places[k] + WINDOW and parts[held[stop]] == parts[k]:
+            total += weights[held[stop]]
             stop += 1
-        a, b = held[at], held[stop]
-        peak, before = max(windows[max(0, a - WINDOW + 1) : b + 1]), stretches[-1][1] if stretches else []
-        if before and _parted(lines, before[-1][1], a):
-            stretches[-1] = (max(peak, stretches[-1][0]), [*before, (a, b)])
+        fullest.append(total)
+        total -= weights[k]
+    surge = max(1e-9, min(SURGE, max(fullest, default=0) / 4))
+    stretches: list[list[int]] = []  # first and last held line, by their places in held
+    for at, k in enumerate(held):
+        if stretches and places[k] - places[held[at - 1]] <= WINDOW and parts[k] == parts[held[at - 1]]:
+            stretches[-1][1] = at
         else:
-            stretches.append((peak, [(a, b)]))
-        at = stop + 1
-    return [i for peak, runs in stretches if peak >= surge for a, b in runs for i in range(a, b + 1) if lines[i][0]]
+            stretches.append([at, at])
+    peaks: Counter = Counter()
+    for a, b in stretches:
+        peaks[parts[held[a]]] = max(peaks[parts[held[a]]], *fullest[a : b + 1])
+    good = [peaks[parts[held[a]]] >= surge for a, _ in stretches]
+    good = [on or 0 < k < len(good) - 1 and good[k - 1] and good[k + 1] for k, on in enumerate(good)]
+    chosen: set[int] = set()
+    ends: dict[int | None, list[int]] = {}
+    for (a, b), on in zip(stretches, good, strict=True):
+        if on:
+            first, last = held[a], held[b]
+            ends.setdefault(parts[first], [first, first])[1] = last
+            chosen.update(range(first, last + 1))
+    for part, (first, last) in ends.items():
+        chosen.update(k for k in range(first, last + 1) if parts[k] == part and not weights[k])
+        regions = {lines[k].region for k in (first, last)}
+        for step, edge in ((-1, first), (1, last)):
+            k = edge + step
+            while 0 <= k < len(lines) and parts[k] == part and not weights[k] and (lines[k].region in regions or lines[k].main == part):
+                k += step
+            if abs(k - edge) - 1 < MENU:
+                chosen.update(range(min(edge, k + 1), max(edge + 1, k)))
+    return sorted(k for k in chosen if parts[k] is not None)
 
 
 def main_text(html: str | None) -> str:
     """The main text: the blocks that line-block distribution chooses, joined by line ends.
 
-    Links don't weigh, so menus stay flat; main elements (article, main, or a name like content) make their lines
-    weigh more, and the windows decide on all lines. Null and empty pages: an empty text. What isn't closed (a tag, a
-    comment, a script) goes to the end of the page.
+    Null and empty pages, and pages of links alone: an empty text. What isn't closed (a tag, a comment, a script) goes
+    to the end of the page; a link ends with its block.
     """
     lines = lines_of(html or "")
-    return "\n".join(lines[i][0] for i in chosen_lines(lines))
+    return "\n".join(lines[k].text for k in chosen_lines(lines))
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
