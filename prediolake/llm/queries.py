@@ -23,8 +23,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_chroma(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prints = chroma.fingerprints(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", chroma.tones)
-    return chroma.align(save(prints, "chroma-prints"))
+    """Recordings rendered of vectors: classes of copies, and where noisy excerpts, cut off the frames, of those with ids divisible by 50 stand."""
+    vectors = table(spark, sf_dir, "embeddings")
+    prints = save(chroma.fingerprints(vectors, "vec_id", "embedding", chroma.tones), "chroma-prints")
+    return chroma.align(prints, chroma.questions(vectors, "vec_id", "embedding", chroma.excerpt))
 
 
 def op4_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
