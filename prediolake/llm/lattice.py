@@ -20,6 +20,8 @@ from .common import save, through_arrow
 LOG10 = math.log(10)
 _START = "▁"
 _BASE = 0x9E3779B97F4A7C15
+#: Words of one length that are fewer go one by one, in blocks of so many signs, their sums scaled after so many.
+_FEW, _BLOCK, _SCALED = 8, 4096, 8
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -72,8 +74,8 @@ class Lattice:
             key = (key * _BASE + ord(c) + 1) % 2**64
         return key
 
-    def _arcs(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(numbers, scores, spelled) for words of one length, a row of code points each: [d-1, word, place] is the piece of d signs there, -1 and minus infinity where none is; spelled: places whose sign is spelled by bytes."""
+    def _arcs(self, codes: np.ndarray, begins: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(numbers, scores, spelled) for words of one length, a row of code points each: [d-1, word, place] is the piece of d signs there, -1 and minus infinity where none is; spelled: places whose sign is spelled by bytes. begins: the rows are words from their first sign on."""
         b, n = codes.shape
         width = min(self.longest, n)
         numbers, scores = np.full((width, b, n), -1, np.int64), np.full((width, b, n), -np.inf)
@@ -83,7 +85,7 @@ class Lattice:
             row, place = np.nonzero(self.maybe[keys >> np.uint64(42)])
             asked = keys[row, place]
             at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
-            hit = (self.keys[at] == asked) & ((place == 0) | (codes[row, place] != ord(_START)))  # a piece that begins a word does so at its first place alone
+            hit = (self.keys[at] == asked) & ((place == 0) & begins | (codes[row, place] != ord(_START)))  # a piece that begins a word does so at its first place alone
             row, place, found = row[hit], place[hit], self.ids[at[hit]]
             numbers[d - 1, row, place] = found
             scores[d - 1, row, place] = self.scores[found]
@@ -118,17 +120,90 @@ class Lattice:
                 whole = "".join([_START + words[k] for k in some.tolist()])
                 yield some, np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), "<u4").reshape(len(some), n).astype(np.uint64)
 
+    def _blocks(self, codes: np.ndarray, backward: bool = False) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(first, last, places, lengths, numbers, scores, spelled) of the arcs of one word that begin at places first .. last - 1, a block at a time, by place; places count from first, and a number is -1 where a sign is spelled."""
+        n = len(codes)
+        starts = range(0, n, _BLOCK)
+        for a in reversed(starts) if backward else starts:
+            b = min(n, a + _BLOCK)
+            numbers, scores, spelled = self._arcs(codes[None, a : min(n, b + self.longest - 1)], a == 0)
+            place, d = np.nonzero(np.isfinite(scores[:, 0, : b - a]).T)
+            yield a, b, place, d + 1, numbers[d, 0, place], scores[d, 0, place], np.flatnonzero(spelled[0, : b - a])
+
+    def _streamed(self, codes: np.ndarray) -> np.ndarray:
+        """The natural log of the forward sum at each place of one word, whatever its length: only the last sums, scaled again every few signs, are held beside the result."""
+        n, width = len(codes), self.longest
+        logs = np.full(n + 1, -np.inf)
+        sums, scale = [1.0] + [0.0] * (width - 1), 0.0  # of the places at and after the next, as far as arcs have come
+        for a, b, place, d, _, score, _ in self._blocks(codes):
+            weight, to, bounds = np.exp(score).tolist(), (place + d).tolist(), np.searchsorted(place, np.arange(0, b - a + _SCALED, _SCALED)).tolist()
+            begin = place.tolist()
+            values, scales = [], []
+            for c, at in enumerate(range(0, b - a, _SCALED)):
+                held = min(_SCALED, b - a - at)
+                g = sums + [0.0] * held
+                for k in range(bounds[c], bounds[c + 1]):
+                    g[to[k] - at] += g[begin[k] - at] * weight[k]
+                values += g[:held]
+                scales += [scale] * held
+                sums = g[held : held + width]
+                top = max(sums)
+                if top > 0:
+                    sums, scale = [x / top for x in sums], scale + math.log(top)
+            with np.errstate(divide="ignore"):
+                logs[a:b] = np.log(values) + scales
+        logs[n] = (math.log(sums[0]) if sums[0] > 0 else -np.inf) + scale
+        return logs
+
+    def _streamed_expected(self, codes: np.ndarray, times: float, counts: np.ndarray) -> None:
+        """Add the pieces expected in one word, seen ``times``, to counts: its arcs are made anew from its end, block by block."""
+        forward, n, width = self._streamed(codes), len(codes), self.longest
+        sums, scale = [1.0] + [0.0] * (width - 1), 0.0  # backward sums of the place after the next and those behind it
+        after = np.full(width, -np.inf)  # logs of the same
+        after[0] = 0.0
+        for a, b, place, d, number, score, spelled in self._blocks(codes, backward=True):
+            weight, length, bounds = np.exp(score).tolist(), d.tolist(), np.searchsorted(place, np.arange(b - a + 1)).tolist()
+            values, scales = [0.0] * (b - a), [0.0] * (b - a)
+            for done, at in enumerate(range(b - a - 1, -1, -1), 1):
+                total = 0.0
+                for k in range(bounds[at], bounds[at + 1]):
+                    total += weight[k] * sums[length[k] - 1]
+                values[at], scales[at] = total, scale
+                sums.insert(0, total)
+                sums.pop()
+                if done % _SCALED == 0 or not at:
+                    top = max(sums)
+                    if top > 0:
+                        sums, scale = [x / top for x in sums], scale + math.log(top)
+            with np.errstate(divide="ignore"):
+                backward = np.concatenate((np.log(values) + scales, after))
+            share = np.exp(forward[a + place] + score + backward[place + d] - forward[n]) * times
+            counts += np.bincount(number[number >= 0], share[number >= 0], self.size + 1)
+            if len(spelled):
+                own = number < 0
+                signs = codes[a + place[own]]
+                for c in np.unique(signs).tolist():
+                    np.add.at(counts, self.bytes[list(chr(c).encode("utf-8", "surrogatepass"))], share[own][signs == c].sum())
+            after = backward[:width]
+
     def likelihoods(self, words: Sequence[str]) -> np.ndarray:
-        """The natural log of each word's probability, by the forward recursion in log space over every segmentation."""
+        """The natural log of each word's probability, by the forward recursion in log space over every segmentation. Words of a length that few share, so all very long ones, go through it one by one, in blocks."""
         out = np.zeros(len(words))
         for some, codes in self._groups(words):
-            out[some] = self._forward(self._arcs(codes)[1])[-1] + self.stop
+            if len(some) < _FEW:
+                out[some] = [self._streamed(word)[-1] + self.stop for word in codes]
+            else:
+                out[some] = self._forward(self._arcs(codes)[1])[-1] + self.stop
         return out
 
     def expected(self, words: Sequence[str], times: np.ndarray) -> np.ndarray:
         """How often each piece is expected over all segmentations of the words, each seen ``times``, by the forward and backward recursions."""
         counts = np.zeros(self.size + 1)
         for some, codes in self._groups(words):
+            if len(some) < _FEW:
+                for word, n in zip(codes, times[some].tolist(), strict=True):
+                    self._streamed_expected(word, n, counts)
+                continue
             numbers, scores, spelled = self._arcs(codes)
             width, b, n = scores.shape
             forward, backward, live = self._forward(scores), np.zeros((n + 1, b)), np.isfinite(scores).any(axis=1)

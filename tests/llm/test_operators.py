@@ -762,6 +762,33 @@ def test_scores(spark, docs, empty, most):
     assert lattice.score_documents(empty, path).count() == 0
 
 
+def test_words_in_blocks_score_as_together(monkeypatch):
+    lat = lattice.Lattice(public_tokenizers.path("piece_bpe_32k.model"))
+    r = random.Random(1)
+    words = ["".join(r.choice("thaneroionésß日▁x😀") for _ in range(n)) for n in (1, 2, 5, 9, 17, 40, 41, 100, 300, 3000)] + ["a", "", "the", "the"]
+    times = np.arange(1.0, len(words) + 1)
+    monkeypatch.setattr(lattice, "_FEW", 0)
+    together, pieces = lat.likelihoods(words), lat.expected(words, times)
+    monkeypatch.setattr(lattice, "_FEW", 10**9)
+    for block, scaled in ((4096, 8), (20, 3), (7, 1)):
+        monkeypatch.setattr(lattice, "_BLOCK", block)
+        monkeypatch.setattr(lattice, "_SCALED", scaled)
+        assert np.allclose(lat.likelihoods(words), together, rtol=1e-12, atol=1e-9)
+        assert np.allclose(lat.expected(words, times), pieces, rtol=1e-9, atol=1e-6)
+
+
+def test_a_very_long_word_takes_bounded_memory():
+    import tracemalloc
+
+    lat = lattice.Lattice(public_tokenizers.path("piece_bpe_32k.model"))
+    word = "".join(random.Random(2).choice("abcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(500_000))
+    tracemalloc.start()
+    lat.expected([word], np.ones(1))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 60 << 20
+
+
 # --- 10: sharding ---
 
 
