@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from urllib.parse import urljoin
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType
 
@@ -22,7 +22,7 @@ from ..functions import lines, normalize, validate
 from ..functions.text import digits, number_in, strip, text, whole
 from ..operators import dedupe, merge
 from ..schemas import LISTING, MEASURES
-from ..sources import dom, pagination
+from ..sources import discovery, dom, pagination
 from .extraction import documents_of, json_cards, rest_items, title_split_of
 
 _RAW = ArrayType(MapType(StringType(), StringType()))
@@ -278,6 +278,8 @@ class Portal:
     sample: int = 3
     #: A sample's cards, for a portal that has one page.
     sample_cards: int | None = None
+    #: Whether a page isn't beyond the last, for portals that don't say how many they have.
+    has_cards: Callable[[Column], Column] = lambda html: (strip(html) != "") & ~html.contains(fixed.NO_MORE)
 
 
 REGISTRY = {
@@ -290,6 +292,28 @@ REGISTRY = {
 }
 
 
+def pages_of(spark: SparkSession, portal: str, answers: Callable[[DataFrame], DataFrame], max_pages: int | None = None) -> DataFrame:
+    """(pos, page, html) of a portal's pages, as many as it says it has.
+
+    answers: gives (page, html) for a table of pages; fetch.bulk_fetch over a transport, or saved pages. The number
+    comes from the first answer, from that to a page far beyond the last, or, where neither tells, from probes.
+    """
+    p = REGISTRY[portal]
+    if p.total is None:
+        total = discovery.discover(spark.range(1).select(F.lit(portal).alias("source")), ["source"], lambda asked: asked.join(answers(asked.select("page")), "page").select("source", "page", "html"), p.has_cards).select(F.col("pages").alias("total"))
+    else:
+        probe = discovery.FAR if p.total is pagination.current_page else 1
+        total = answers(spark.range(1).select(F.lit(probe).alias("page"))).select(p.total(text("html")).alias("total"))
+    asked = pagination.numbered(total, F.col("total"), max_pages).select("page")
+    return answers(asked).select((F.col("page") - 1).alias("pos"), "page", "html")
+
+
+def collect(spark: SparkSession, portal: str, answers: Callable[[DataFrame], DataFrame], details: DataFrame | None = None, sample_only: bool = False, max_pages: int | None = None) -> DataFrame:
+    """A portal's listings from its answers: how many pages it has, the pages, their cards, and the merged and validated listings."""
+    most = min((x for x in (max_pages, REGISTRY[portal].sample if sample_only else None) if x), default=None)
+    return scrape(portal, pages_of(spark, portal, answers, most), details, sample_only, max_pages)
+
+
 def scrape(portal: str, pages: DataFrame, details: DataFrame | None = None, sample_only: bool = False, max_pages: int | None = None) -> DataFrame:
     """Listings of a portal's pages with their warnings, validated once, after the merge; a sample has its first pages and no details."""
     p = REGISTRY[portal]
