@@ -128,6 +128,10 @@ CARD_LABELS = {
 # Closing tags (and br) after which a line ends, in the two text conversions by pattern.
 LINE_TAGS = ("</div>", "</p>", "</section>", "</article>", "<br", "</li>", "</tr>", "</td>", "</h1>", "</h2>", "</h3>", "</h4>", "</h5>", "</h6>")
 
+# Elements that the text conversion by parser leaves out, and those that begin and end lines in it.
+SKIPPED_TAGS = ("script", "style", "noscript", "iframe")
+BREAK_TAGS = ("div", "p", "li", "tr", "h1", "h2", "h3", "h4", "h5", "h6", "article", "section", "dl", "dt", "dd")
+
 # Cities under other spellings, and the labels of card features of one portal, in the order they are tried.
 CITIES = {"medellin": "Medellín", "medellín": "Medellín", "bogota": "Bogotá", "bogotá": "Bogotá"}
 FEATURES = {

@@ -6,14 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import fixed
-from .text import digits, look_up, strip, text, title, whole
+from .text import decimal_digits, digits, look_up, strip, text, title, whole
 
 
 def price(raw: Column) -> Column:
-    """Digits of the part before the first '/', joined; 0 for null, blank, 'consultar precio' and no digits."""
+    """Decimal digits, of any script, of the part before the first '/', joined; 0 for null, blank, 'consultar precio' and no digits."""
     s = text(raw)
     hidden = F.lower(s).contains("consultar precio")
-    return F.when(hidden, F.lit(0).cast("bigint")).otherwise(whole(digits(F.split_part(s, F.lit("/"), F.lit(1))), "bigint"))
+    return F.when(hidden, F.lit(0).cast("bigint")).otherwise(whole(decimal_digits(F.split_part(s, F.lit("/"), F.lit(1))), "bigint"))
 
 
 def tipo(raw: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -24,11 +25,26 @@ def title(c: Column) -> Column:
     return F.array_join(F.transform(F.regexp_extract_all(F.lower(c), F.lit(r"(\p{L}+|[^\p{L}]+)"), 1), F.initcap), "")
 
 
+def _decimal_digits() -> tuple[str, str]:
+    """Every decimal digit of the basic plane that isn't ASCII, and what each stands for."""
+    signs = [chr(k) for k in range(0x80, 0x10000) if unicodedata.category(chr(k)) == "Nd"]
+    return "".join(signs), "".join(str(unicodedata.decimal(c)) for c in signs)
+
+
+_OTHER_DIGITS = _decimal_digits()
+
+
 def digits(c: Column) -> Column:
     """The decimal digits of a text, joined; '' if none."""
     return F.regexp_replace(c, r"[^0-9]", "")
 
 
+def decimal_digits(c: Column) -> Column:
+    """The decimal digits of any script, joined, as ASCII; '' if none."""
+    other = c.rlike(r"[^\x00-\x7f]")  # nearly all texts are spared the table
+    return digits(F.when(other, F.translate(c, *_OTHER_DIGITS)).otherwise(c))
+
+
 def whole(c: Column, kind: str = "int") -> Column:
     """A text of digits as a number; '' and what doesn't fit: 0."""
     return F.coalesce(F.nullif(c, F.lit("")).try_cast(kind), F.lit(0).cast(kind))

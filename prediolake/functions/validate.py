@@ -9,6 +9,7 @@ from .. import fixed
 from . import normalize
 from .text import any_of, strip, text
 
+# The least and largest price that isn't remarkable, the loader's largest, and the largest of each measure.
 LEAST, MOST, LOADER_MOST = 100_000, 50_000_000, 500_000_000
 LIMITS = (("parqueaderos", 10), ("habitaciones", 30), ("banos", 20), ("area", 10_000))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dedupe import last_wins
@@ -34,11 +34,10 @@ def fill(cards: DataFrame, details: DataFrame, fields: Sequence[str], key: str =
 
 
 def fill_first(cards: DataFrame, details: DataFrame, fields: Sequence[str], seq: Sequence[str], key: str = "url", order: str = "pos") -> DataFrame:
-    """Like fill, but only the first card of a key, by ``seq``, is changed."""
-    nth = F.row_number().over(Window.partitionBy(key).orderBy(*seq))
-    marked = cards.withColumn("_nth", nth)
-    record = _details(details, key, fields, order)
-    joined = marked.join(record, (marked[key] == F.col("_key")) & (F.col("_nth") == 1), "left")
+    """Like fill, but only the first card of a key, by ``seq``, is changed. ``seq`` tells a key's cards apart."""
+    firsts = cards.groupBy(F.col(key).alias("_first")).agg(F.min(F.struct(*seq)).alias("_seq"))  # combined before the shuffle: a frequent key is a row to each task
+    record = _details(details, key, fields, order).join(firsts, F.col("_key") == F.col("_first"))
+    joined = cards.join(record, (cards[key] == F.col("_key")) & (F.struct(*(cards[c] for c in seq)) == F.col("_seq")), "left")
     kinds = dict(cards.dtypes)
     return joined.select(*(F.coalesce(_said(c, kinds[c]), F.col(c)).alias(c) if c in fields else F.col(c) for c in cards.columns))
 

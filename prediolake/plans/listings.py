@@ -26,8 +26,7 @@ def exportable(df: DataFrame) -> DataFrame:
 @query(f"WITH {d.LST}, v AS (SELECT * REPLACE (CASE WHEN precio > 0 AND precio < 100000 THEN 0 ELSE precio END::BIGINT AS precio) FROM lst), t AS (SELECT *, 'active' AS status FROM v {d.LAST}) SELECT {_PLAIN} FROM t WHERE {_EXPORT} ORDER BY scraped_at DESC, id")
 def exportable_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalized, validated, the last of each id, exportable, newest first."""
-    valid = validate.corrected(d.listings(spark, sf_dir))
-    latest = dedupe.last_wins(valid, ["id"], list(d.ORDER)).withColumn("status", F.lit("active"))
+    latest = validate.corrected(d.latest(spark, sf_dir)).withColumn("status", F.lit("active"))  # ids and order don't depend on what is corrected
     return exportable(latest).select(*PLAIN).orderBy(F.desc("scraped_at"), "id")
 
 
@@ -123,7 +122,7 @@ def completeness(spark, sf_dir):
 
 @query(f"WITH {d.LST} SELECT * FROM lst {d.FIRST}")
 def dedupe_first(spark, sf_dir):
-    return dedupe.first_wins(d.listings(spark, sf_dir), ["id"], list(d.ORDER))
+    return d.normalized(dedupe.first_wins(d.observations(spark, sf_dir), ["id"], list(d.ORDER)))
 
 
 @query(f"WITH {d.LST} SELECT * FROM lst {d.LAST}")
@@ -140,8 +139,8 @@ def duplicate_flag(spark, sf_dir):
 
 
 def _before(spark, sf_dir):
-    rows = d.listings(spark, sf_dir).filter(F.year("scraped_at") < 1998)
-    return dedupe.last_wins(rows, ["id"], list(d.ORDER)).withColumn("status", F.lit("active")).select(*PLAIN)
+    rows = d.observations(spark, sf_dir).filter(F.year("scraped_at") < 1998)
+    return d.normalized(dedupe.last_wins(rows, ["id"], list(d.ORDER))).withColumn("status", F.lit("active")).select(*PLAIN)
 
 
 def _batch(spark, sf_dir):

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .. import fixed
 from ..functions import validate
 from ..operators import lifecycle
-from ..sources import files
+from ..sources import files, scratch
 from ..sources.store import ListingStore
 from .listings import exportable
 from .portals import REGISTRY, scrape
@@ -103,7 +103,16 @@ def run_all(spark: SparkSession, pages: Pages, store: ListingStore, portals: Seq
 
 def load_file(spark: SparkSession, path: str, ciudad: str, store: ListingStore, at: datetime | None = None) -> dict:
     """A JSON file's listings, repaired, into the table: counts of rows, new, refreshed, flagged and delisted."""
-    rows = validate.loaded(files.load_json(spark, path)).withColumn("seq", F.monotonically_increasing_id())
+    return load_rows(numbered(spark, path), ciudad, store, at)
+
+
+def numbered(spark: SparkSession, path: str) -> DataFrame:
+    """A JSON file's listings, repaired, with their place in it: saved once, so that every count and the preview see the same numbers and the file is read once."""
+    return scratch.keep(validate.loaded(files.load_json(spark, path)).withColumn("seq", F.monotonically_increasing_id()), "loaded")
+
+
+def load_rows(rows: DataFrame, ciudad: str, store: ListingStore, at: datetime | None = None) -> dict:
+    """Listings with their place (seq) into the table."""
     before = store.read()
     delta = lifecycle.load_delta(before, rows).first()
     store.commit(lambda table: lifecycle.refresh(table, stored(rows, ciudad, at or datetime.now()), ["seq"]))
@@ -132,6 +141,24 @@ def export(table: DataFrame, city: str | None = None, portal: str | None = None)
     return files.export_values(rows.orderBy(F.desc("scraped_at"), "id"))
 
 
+def export_sheet(table: DataFrame, target: str, city: str | None = None, portal: str | None = None, title: str | None = None, new: bool = False, now: datetime | None = None) -> int:
+    """Rewrite the sheet in the target folder with the exportable rows, or with ``new``, or where the target has none, make one under a title. Nothing to export: a message, and nothing is written. The exit code.
+
+    A sheet is a folder of Parquet; the title (by default that of the time) is a folder below the target for a new one.
+    """
+    rows = scratch.keep(export(table, city, portal), "export")
+    found = rows.count()
+    if not found:
+        print("No listings found in the database.")
+        return 0
+    print(f"Exporting {found} listings...")
+    name = title or f"Rental Listings Export - {(now or datetime.now()).strftime('%Y-%m-%d %H:%M:%S')}"
+    path = f"{target.rstrip('/')}/{name}" if new else target
+    rows.write.mode("errorifexists" if new else "overwrite").parquet(path)
+    print(f"Done! {'Sheet' if new else 'Sheet updated'}: {path}")
+    return 0
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="prediolake")
     p.add_argument("--store", required=True, help="folder of the listings table")
@@ -159,6 +186,8 @@ def parser() -> argparse.ArgumentParser:
     out.add_argument("target")
     out.add_argument("--city")
     out.add_argument("--portal")
+    out.add_argument("--title", help="title of a new sheet")
+    out.add_argument("--new", action="store_true", help="make a new sheet below the target in place of rewriting it")
     return p
 
 
@@ -175,12 +204,14 @@ def main(spark: SparkSession, argv: Sequence[str]) -> int:
     if a.command == "scrape":
         r = run_portal(a.portal, lambda _: (read(a.pages), read(a.details)), store if a.output in ("db", "both") else None, "results" if a.output in ("csv", "both") else None, a.ciudad, a.sample_only, a.max_pages)
         print(f"{'Sample: ' if a.sample_only else 'Scraped '}{r['listings']} listings from {a.portal}", file=sys.stdout)
+        if a.verbose:
+            print(f"{r['warnings']} warnings, {r['elapsed']:.1f} s", file=sys.stdout)
         return r["code"]
     if a.command == "load":
-        print(load_file(spark, a.file, a.ciudad, store))
-        print(preview(validate.loaded(files.load_json(spark, a.file)).withColumn("seq", F.monotonically_increasing_id())))
+        rows = numbered(spark, a.file)
+        print(load_rows(rows, a.ciudad, store))
+        print(preview(rows))
         return 0
-    export(store.read(), a.city, a.portal).write.mode("overwrite").parquet(a.target)
-    return 0
+    return export_sheet(store.read(), a.target, a.city, a.portal, a.title, a.new)
 
 

@@ -28,6 +28,11 @@ from .extraction import documents_of, json_cards, rest_items, title_split_of
 _RAW = ArrayType(MapType(StringType(), StringType()))
 
 
+def _seq(card: Column) -> Column:
+    """A card's place among all of a portal: its page, then its place there; no page has 2^32 cards."""
+    return F.shiftleft(F.col("pos").cast("long"), 32) + card
+
+
 def _cards(pages: DataFrame, cut: Callable[[dom.Element], list[dict[str, str]]]) -> DataFrame:
     """(seq, c): the raw fields of each card of each page, in order."""
     @F.pandas_udf(_RAW)
@@ -35,7 +40,7 @@ def _cards(pages: DataFrame, cut: Callable[[dom.Element], list[dict[str, str]]])
         return html.map(lambda x: cut(dom.parse(x)) if x else [])
 
     rows = pages.select("pos", F.posexplode(found("html")).alias("card", "c"))
-    return rows.select((F.col("pos").cast("long") * 100_000 + F.col("card")).alias("seq"), "c")
+    return rows.select(_seq(F.col("card")).alias("seq"), "c")
 
 
 def _said(field: str) -> Column:
@@ -195,7 +200,7 @@ def villacruz(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
 
 def merinohermanos(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
     cards = lines.split_cards(lines.lines(lines.html_lines(F.col("html"))), lines.starts_with_price)
-    found = pages.select("pos", F.posexplode(cards).alias("card", "rows")).select((F.col("pos").cast("long") * 100_000 + F.col("card")).alias("seq"), lines.ruled_card(F.col("rows")).alias("c"))
+    found = pages.select("pos", F.posexplode(cards).alias("card", "rows")).select(_seq(F.col("card")).alias("seq"), lines.ruled_card(F.col("rows")).alias("c"))
     kept = found.filter((F.col("c.precio") > 0) & (lines.structural(F.col("c")) >= 2))
     rows = kept.select("seq", normalize.compose_id("MHR", F.col("c.codigo")).alias("id"), normalize.tipo(F.col("c.tipo")).alias("tipo"), normalize.barrio(F.col("c.barrio")).alias("barrio"), *(F.col(f"c.{f}") for f in ("precio", "area", "habitaciones", "banos")), F.lit("https://merinohermanos.com.co/?b_type=arriendo").alias("url"))
     return shaped(rows, "merinohermanos", "seq")
@@ -248,7 +253,7 @@ def albertoalvarez(pages: DataFrame, details: DataFrame | None = None) -> DataFr
     kind = F.col("kind") if "kind" in pages.columns else F.lit("apartamentos")
     cards = _cards(pages, cut).withColumn("json", _said("json"))
     kinds = pages.select((F.col("pos").cast("long")).alias("_p"), kind.alias("_kind"))
-    rows = json_cards(cards, "json", "seq").withColumn("_p", F.floor(F.col("seq") / 100_000)).join(kinds, "_p")
+    rows = json_cards(cards, "json", "seq").withColumn("_p", F.shiftright("seq", 32)).join(kinds, "_p")
     url = F.concat(F.lit("https://albertoalvarez.com/inmuebles/detalle/arrendamientos/"), F.col("_kind"), F.lit("/"), F.regexp_replace("id", "^AAL-", ""), F.lit("/"), F.col("slug"), F.lit("-medellin/"))
     return shaped(rows.withColumn("url", url), "albertoalvarez", "seq")
 
@@ -259,12 +264,12 @@ def delnorte(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
     body = F.when(F.ltrim(text("html")).startswith("["), F.concat(F.lit('{"data":'), F.col("html"), F.lit("}"))).otherwise(F.col("html"))
     kind = F.col("kind") if "kind" in pages.columns else F.lit("")
     found = pages.select("pos", kind.alias("_kind"), F.posexplode(F.from_json(body, f"data {items}")["data"]).alias("card", "x"))
-    rows = rest_items(found.select((F.col("pos").cast("long") * 100_000 + F.col("card")).alias("seq"), "_kind", "x.*"), "seq", "_kind")
+    rows = rest_items(found.select(_seq(F.col("card")).alias("seq"), "_kind", "x.*"), "seq", "_kind")
     return shaped(rows.filter((F.col("_kind") != "casa") | (F.col("tipo") == "casa")), "arrendamientosdelnorte", "seq")
 
 
 def coninsa(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
-    return shaped(documents_of(pages.withColumn("seq", F.col("pos").cast("long") * 100_000), "html", "seq"), "coninsa", "seq")
+    return shaped(documents_of(pages.withColumn("seq", _seq(F.lit(0))), "html", "seq"), "coninsa", "seq")
 
 
 @dataclass(frozen=True)

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from .. import fixed
+
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
 
@@ -89,10 +91,6 @@ def parse(html: str | None) -> Element:
     return builder.root
 
 
-_SKIPPED = frozenset(("script", "style", "noscript", "iframe"))
-_BREAKS = frozenset("div p li tr h1 h2 h3 h4 h5 h6 article section dl dt dd".split())
-
-
 def visible_text(html: str | None) -> str:
     """Text without scripts, styles and frames; lines end at block elements and br, empty lines go."""
     out: list[str] = []
@@ -103,8 +101,8 @@ def visible_text(html: str | None) -> str:
                 out.append(c)
             elif c.tag == "br":
                 out.append("\n")
-            elif c.tag not in _SKIPPED:
-                edge = c.tag in _BREAKS
+            elif c.tag not in fixed.SKIPPED_TAGS:
+                edge = c.tag in fixed.BREAK_TAGS
                 if edge and out and out[-1] != "\n":
                     out.append("\n")
                 walk(c)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
@@ -15,19 +15,24 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 #: url -> (HTTP status, body)
 Transport = Callable[[str], tuple[int, str]]
 
-# Seconds waited before the second to fourth attempt, threads and pages at once.
+# Seconds waited before the second to fourth attempt, threads and pages at once; the status of too many
+# requests and the seconds waited after it, at first and at most; how many pages are fetched in batches, and theirs.
 WAITS = (1, 2, 4)
 THREADS, CHUNK = 20, 200
+BUSY, BUSY_WAIT, BUSY_MOST = 429, 5, 60
+MANY, BATCH = 30, 25
 
 
 def fetch_page(url: str, transport: Transport, sleep: Callable[[float], None] = time.sleep) -> str | None:
-    """The page's text. 4xx: None at once; 5xx and exceptions: four attempts, then None; an empty body is ''."""
-    for wait in (*WAITS, None):
+    """The page's text. 4xx: None at once, but 429, after which longer is waited; 5xx and exceptions: four attempts, then None; an empty body is ''."""
+    for n, wait in enumerate((*WAITS, None)):
         try:
             status, body = transport(url)
             if status < 400:
                 return body or ""
-            if status < 500:
+            if status == BUSY:
+                wait = None if wait is None else min(BUSY_WAIT * 2**n, BUSY_MOST)
+            elif status < 500:
                 return None
         except Exception:  # any fault of the transport is retried like a server's
             pass
@@ -36,6 +41,39 @@ def fetch_page(url: str, transport: Transport, sleep: Callable[[float], None] =
     return None
 
 
+def fetch_batches(urls: Sequence[str], transport: Transport, sleep: Callable[[float], None] = time.sleep, threads: int = THREADS) -> Iterator[tuple[str, str | None]]:
+    """(url, text) of one server's pages, in order. More than MANY go in batches of BATCH; while the server answers that it has too many requests, the next batch waits, twice as long each time, and what was refused is asked for again at its end, once.
+
+    Faults of other kinds are those of fetch_page. The wait goes back to none after a batch that nothing was refused of.
+    """
+    size, wait = (BATCH if len(urls) > MANY else max(1, len(urls))), 0
+
+    def one(url: str) -> tuple[str | None, bool]:
+        refused = False
+
+        def noting(u: str) -> tuple[int, str]:
+            nonlocal refused
+            answer = transport(u)
+            refused = answer[0] == BUSY
+            return (404, "") if refused else answer
+
+        return fetch_page(url, noting, sleep), refused
+
+    with ThreadPoolExecutor(threads) as pool:
+        for at in range(0, len(urls), size):
+            if wait:
+                sleep(wait)
+            part = list(urls[at : at + size])
+            found = list(pool.map(one, part))
+            refused = [k for k, (_, busy) in enumerate(found) if busy]
+            wait = min(max(BUSY_WAIT, 2 * wait), BUSY_MOST) if refused else 0
+            if refused:
+                sleep(wait)
+                for k in refused:
+                    found[k] = one(part[k])
+            yield from ((url, text) for url, (text, _) in zip(part, found, strict=True))
+
+
 def fetch_json(url: str, transport: Transport, sleep: Callable[[float], None] = time.sleep) -> dict | list | None:
     """The payload, if it is an object or an array; anything else, invalid text too, is None without another attempt."""
     body = fetch_page(url, transport, sleep)

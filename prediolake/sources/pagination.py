@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import number_in
@@ -45,8 +46,10 @@ def by_kind(spark: SparkSession, kinds: Sequence[str], pages: DataFrame) -> Data
 
 def until_empty(pages: DataFrame, source: Sequence[str], page: str = "page", cards: str = "cards") -> DataFrame:
     """Pages before the first that has no cards, of each source."""
-    end = F.min(F.when(F.col(cards) == 0, F.col(page))).over(Window.partitionBy(*source))
-    return pages.withColumn("_end", end).filter(F.col("_end").isNull() | (F.col(page) < F.col("_end"))).drop("_end")
+    ends = pages.filter(F.col(cards) == 0).groupBy(*(F.col(c).alias(f"_of_{c}") for c in source)).agg(F.min(page).alias("_end"))
+    same = reduce(Column.__and__, (pages[c].eqNullSafe(ends[f"_of_{c}"]) for c in source))
+    kept = pages.join(ends, same, "left").filter(F.col("_end").isNull() | (F.col(page) < F.col("_end")))
+    return kept.select(*(pages[c] for c in pages.columns))
 
 
 def walk(fetch: Callable[[int], str | None], cards: Callable[[str], int], most: int | None = None, stop: str | None = None) -> Iterator[tuple[int, str]]:
@@ -68,4 +71,4 @@ def fixpoint(count: Callable[[int], int], most_rounds: int = 100) -> tuple[int,
         if now <= last:
             return last, k
         last = now
-    return last, most_rounds
+    raise RuntimeError(f"the count still grew after {most_rounds} rounds")

@@ -73,3 +73,11 @@ def test_normalizers_are_total_and_settle(spark, values):
 @given(st.lists(st.text("abc ñÁé-'3x", max_size=12), min_size=1, max_size=8))
 def test_title_is_pythons(spark, values):
     assert column(spark, values, text.title) == [v.title() for v in values]
+
+
+def test_price_has_digits_of_every_script(spark):
+    raw = ["$ ١٢٣٤٥٦", "१२३.४५६", "$ 1.２００.000 / 9", "Ⅳ ½ ²", "precio ৭"]
+    rows = spark.createDataFrame([(k, x) for k, x in enumerate(raw)], "k int, raw string")
+    found = {r.k: r.p for r in rows.select("k", normalize.price(F.col("raw")).alias("p")).collect()}
+    plain = {k: int("".join(str(int(c)) for c in x.split("/")[0] if c.isdecimal()) or 0) for k, x in enumerate(raw)}
+    assert found == plain

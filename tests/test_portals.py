@@ -5,6 +5,7 @@ import pytest
 
 from prediolake.plans import orchestrate, report
 from prediolake.plans.portals import REGISTRY, scrape
+from prediolake.schemas import STORED
 from prediolake.sources.dom import visible_text
 from prediolake.sources.store import ListingStore
 
@@ -107,3 +108,20 @@ def test_run_all_command(spark, tmp_path, capsys):
     assert "alnago" in capsys.readouterr().out
     pages = spark.read.parquet(str(tmp_path / "pages" / "alnago.parquet"))
     assert (scrape("alnago", pages, None, True).count(), scrape("alnago", pages).count()) == (6, 9)
+
+
+def test_export_sheets(spark, tmp_path, capsys):
+    table = spark.createDataFrame([("A-1", "p", "casa", 900_000, 1, 1, 1, 1, 1, "b", "u", "medellin", "active", datetime(2024, 1, 1))], STORED)
+    target = str(tmp_path / "sheet")
+    assert orchestrate.export_sheet(table, target, "bogota") == 0 and "No listings found" in capsys.readouterr().out and not (tmp_path / "sheet").exists()
+    assert orchestrate.export_sheet(table, target, "MEDELLIN") == 0 and "Sheet updated" in capsys.readouterr().out
+    assert spark.read.parquet(target).count() == 1
+    assert orchestrate.export_sheet(table, str(tmp_path / "new"), title="May", new=True) == 0 and spark.read.parquet(str(tmp_path / "new" / "May")).count() == 1
+    with pytest.raises(Exception, match="already exists"):
+        orchestrate.export_sheet(table, str(tmp_path / "new"), title="May", new=True)
+
+
+def test_long_pages_keep_their_order(spark):
+    cards = "".join(f'<div data-property-id="{k}" data-property-title="Casa en X">$ 2.000.000</div>' for k in range(3))
+    rows = scrape("metrocasas", spark.createDataFrame([(100_001, cards), (2, cards)], "pos int, html string")).orderBy("seq").select("seq", "id").collect()
+    assert [r.id for r in rows] == ["MTC-0", "MTC-1", "MTC-2"] * 2 and [r.seq >> 32 for r in rows] == [2] * 3 + [100_001] * 3

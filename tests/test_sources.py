@@ -100,3 +100,39 @@ def test_current_page(spark):
     pages = ["<li class='pager current x'><a>12</a></li><b class='current'>3</b>", "<li class='currently'>9</li>", "<span class=\"current\">last</span>", None]
     rows = spark.createDataFrame([(k, p) for k, p in enumerate(pages)], "k int, html string")
     assert [r.n for r in rows.select("k", pagination.current_page(F.col("html")).alias("n")).orderBy("k").collect()] == [12, 1, 1, 1]
+
+
+def test_too_many_requests_wait_longer():
+    waits = []
+    assert fetch.fetch_page("u", Replies((429, ""), (429, ""), (200, "ok")), waits.append) == "ok" and waits == [5, 10]
+    waits.clear()
+    assert fetch.fetch_page("u", Replies(*[(429, "")] * 4), waits.append) is None and waits == [5, 10, 20]
+
+
+def test_batches_wait_while_the_server_is_busy():
+    urls, refused, waits, asked = [f"u{k}" for k in range(60)], {"u3", "u30"}, [], []
+
+    def transport(url):
+        asked.append(url)
+        if url in refused:
+            refused.discard(url)
+            return 429, ""
+        return (404, "") if url == "u7" else (200, f"<{url}>")
+
+    found = list(fetch.fetch_batches(urls, transport, waits.append))
+    assert found == [(u, None if u == "u7" else f"<{u}>") for u in urls]
+    assert waits == [5, 5, 10, 10] and len(asked) == 62 and set(asked[:25]) == set(urls[:25]) and asked[25] == "u3"
+    assert list(fetch.fetch_batches(["a"], lambda u: (429, ""), waits.append)) == [("a", None)]
+    assert list(fetch.fetch_batches([], transport)) == []
+
+
+def test_until_empty_of_many_sources(spark):
+    rows = [("a", 1, 5), ("a", 2, 0), ("a", 3, 5), ("b", 1, 2), (None, 1, 1), (None, 2, 0), ("c", 1, 0)]
+    kept = pagination.until_empty(spark.createDataFrame(rows, "source string, page int, cards int"), ["source"])
+    assert sorted((tuple(r) for r in kept.collect()), key=repr) == sorted([("a", 1, 5), ("b", 1, 2), (None, 1, 1)], key=repr)
+
+
+def test_an_action_that_never_settles_is_told():
+    assert pagination.fixpoint([1, 2, 2].__getitem__) == (2, 2)
+    with pytest.raises(RuntimeError):
+        pagination.fixpoint(lambda k: k, 5)
