@@ -8,7 +8,7 @@ from .. import fixed
 from ..functions import lines, normalize
 from ..functions.text import number_in, strip
 from ..schemas import GRAPHQL_ENVELOPE
-from ..sources import pagination
+from ..sources import fetch, files, pagination, scratch
 from ..sources.dom import visible_text_udf
 from . import dataset as d
 from .registry import Registry
@@ -63,21 +63,31 @@ def page_cap(spark, sf_dir):
 
 @query("SELECT l_suppkey AS pos, coalesce(url, '') AS url, coalesce(html, '') AS html FROM (SELECT DISTINCT l_suppkey FROM lineitem) LEFT JOIN pages ON page_id = l_suppkey * 3")
 def bulk_fetch_order(spark, sf_dir):
-    """Pages by position from a local store in place of the network; those it hasn't are ''."""
+    """Pages by position, fetched in bulk over a transport whose URLs hold their pages; those that aren't found are ''."""
     asked = d.table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("pos")).distinct()
     pages = d.table(spark, sf_dir, "pages")
-    found = asked.join(pages, F.col("page_id") == F.col("pos") * 3, "left")
-    return found.select("pos", F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html")).orderBy("pos")
+    known = asked.join(pages, F.col("page_id") == F.col("pos") * 3, "left").select("pos", F.col("url").alias("name"), F.coalesce(F.concat(F.lit("data:text/html;base64,"), F.base64(F.encode("html", "UTF-8"))), F.lit("https://gone/")).alias("url"))
+    fetched = fetch.bulk_fetch(known, fetch.inline)
+    return fetched.select("pos", "html").join(known.select("pos", F.coalesce("name", F.lit("")).alias("url")), "pos").select("pos", "url", "html").orderBy("pos")
 
 
-@query("SELECT (SELECT count(*) FROM region)::INTEGER * 4 AS cards, (SELECT count(*) FROM region)::INTEGER AS rounds")
+@query("SELECT count(*)::INTEGER AS cards, (1 + greatest(0, ceil(log2(count(*) / 10.0))))::INTEGER AS rounds FROM pages")
 def fixpoint_growth(spark, sf_dir):
-    """A driver's loop by nature: scroll until the count stands; each round shows four cards for one more region, as far as there are any."""
-    regions = d.table(spark, sf_dir, "region").count()
-    cards, rounds = pagination.fixpoint(lambda k: 4 * min(k + 1, regions))
+    """A driver's loop by nature: scroll until the count of cards stands; every round shows twice as many of the pages, as far as there are any."""
+    pages = d.table(spark, sf_dir, "pages").select("page_id")
+    cards, rounds = pagination.fixpoint(lambda k: pages.filter(F.col("page_id") < 10 * 2**k).count())
     return spark.createDataFrame([(cards, rounds)], "cards int, rounds int")
 
 
+@query(f"WITH {d.LST} SELECT id, portal, tipo, precio, 0::INTEGER AS area, habitaciones, banos, 0::INTEGER AS parqueaderos, estrato, CASE WHEN l_linenumber % 2 = 0 THEN '' ELSE barrio END AS barrio, url FROM lst WHERE l_orderkey % 4 = 0")
+def json_lines_load(spark, sf_dir):
+    """Listings out of files of JSON lines, some fields of which are missing or null."""
+    rows = d.listings(spark, sf_dir).filter(F.col("l_orderkey") % 4 == 0)
+    path = scratch.folder(spark, "json")
+    rows.select("id", "portal", "tipo", "precio", "habitaciones", "banos", "estrato", F.when(F.col("l_linenumber") % 2 == 1, F.col("barrio")).alias("barrio"), "url", F.lit(None).cast("int").alias("parqueaderos")).write.json(path)
+    return files.load_json(spark, path, lines=True)
+
+
 @query("SELECT event_id, (props ->> 'k')::INTEGER AS k, CASE WHEN event_id % 5 = 0 THEN 'ARRAY' ELSE 'OBJECT' END AS kind FROM events WHERE event_id % 5 IN (0, 1, 2)")
 def json_load(spark, sf_dir):
     m = F.col("event_id") % 5

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import base64
 import json
 import time
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -84,6 +86,14 @@ def fetch_json(url: str, transport: Transport, sleep: Callable[[float], None] =
     return value if isinstance(value, (dict, list)) else None
 
 
+def inline(url: str) -> tuple[int, str]:
+    """A transport for data: URLs, whose pages are in the URL itself; others are not found."""
+    kind, comma, body = url.partition(",")
+    if not comma or not kind.startswith("data:"):
+        return 404, ""
+    return 200, base64.b64decode(body).decode("utf-8", "replace") if kind.endswith(";base64") else unquote(body)
+
+
 def fetch_graphql(query: str, variables: dict, post: Callable[[str], tuple[int, str]]) -> dict | None:
     """One POST, no retry; 400 and above, and text that isn't JSON: None."""
     status, body = post(json.dumps({"query": query, "variables": variables}))

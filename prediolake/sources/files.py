@@ -11,12 +11,26 @@ from ..functions.validate import sanitized
 from ..schemas import LISTING, MEASURES, STORED, TEXTS
 
 
-def load_json(spark: SparkSession, path: str) -> DataFrame:
-    """Listings of a file whose top level is an array; anything else fails. Missing fields are 0 or ''."""
-    head = spark.read.text(path, wholetext=True).select(F.substring(F.ltrim("value"), 1, 1)).first()
-    if head is None or head[0] != "[":
+def _first_sign(spark: SparkSession, path: str) -> str:
+    """The first sign of a file that isn't white space, of its first 4096 bytes; '' without."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(where)
+    try:
+        head = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(spark.sparkContext._jvm.org.apache.commons.io.input.BoundedInputStream(stream, 4096))
+    finally:
+        stream.close()
+    return bytes(head).decode("utf-8-sig", "replace").lstrip()[:1]
+
+
+def load_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Listings of a file whose top level is an array; anything else fails. Missing and null fields are 0 or ''.
+
+    An array is one value, which one task reads, so it has to fit there. lines: the path is a file, or a folder of files,
+    with an object a line, which tasks read in parts whatever their size; other lines fail.
+    """
+    if not lines and _first_sign(spark, path) != "[":
         raise ValueError(f"{path}: the top level must be an array")
-    rows = spark.read.schema(LISTING).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    rows = spark.read.schema(LISTING).option("multiLine", not lines).option("mode", "FAILFAST").json(path)
     return rows.select(*(F.coalesce(F.col(f.name), F.lit("" if f.name in TEXTS else 0).cast(f.dataType)).alias(f.name) for f in LISTING))
 
 
@@ -38,6 +52,13 @@ def write_csv(listings: DataFrame, folder: str, portal: str, ciudad: str = "mede
     return os.path.abspath(path)
 
 
+def write_csv_parts(listings: DataFrame, path: str) -> None:
+    """The same lines as parts that the executors write under a path of any file system, for results that one file is too large for; ``path-header`` has the header. Names sort as the rows do, so the parts can be joined in that order."""
+    listings.select(csv_line().alias("line")).write.mode("overwrite").option("lineSep", "\r\n").text(path)
+    header = ",".join(f.name for f in LISTING)
+    listings.sparkSession.range(1, numPartitions=1).select(F.lit("\ufeff" + header).alias("line")).write.mode("overwrite").option("lineSep", "\r\n").text(f"{path}-header")
+
+
 def export_values(listings: DataFrame) -> DataFrame:
     """The 14 columns as a sheet takes them: missing texts '', missing numbers 0, the time as text."""
     kinds = {f.name: f.dataType for f in STORED}

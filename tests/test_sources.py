@@ -73,9 +73,17 @@ def test_json_load(spark, tmp_path):
     p = tmp_path / "a.json"
     p.write_text(json.dumps([{"id": "A-1", "precio": 5}, {}]))
     assert [(r.id, r.precio, r.barrio) for r in files.load_json(spark, str(p)).orderBy("id").collect()] == [("", 0, ""), ("A-1", 5, "")]
-    p.write_text("{}")
-    with pytest.raises(ValueError, match="array"):
-        files.load_json(spark, str(p))
+    for text in ("{}", "", " \n", '"["'):
+        p.write_text(text)
+        with pytest.raises(ValueError, match="array"):
+            files.load_json(spark, str(p))
+    p.write_text("\ufeff \n" + json.dumps([{"id": "A-2"}]))
+    assert files.load_json(spark, str(p)).first().id == "A-2"
+    p.write_text('{"id": "A-1", "precio": 5}\n{"id": null}\n')
+    assert sorted((r.id, r.precio) for r in files.load_json(spark, str(p), lines=True).collect()) == [("", 0), ("A-1", 5)]
+    p.write_text('{"id": "A-1"}\nbad\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.load_json(spark, str(p), lines=True).collect()
 
 
 def test_csv(spark, tmp_path):
@@ -87,6 +95,19 @@ def test_csv(spark, tmp_path):
     assert list(csv.reader(open(path, encoding="utf-8-sig")))[1][9] == 'El "Sol", x'
 
 
+def test_csv_parts(spark, tmp_path):
+    rows = [(f"A-{k}", "p", "casa", k, 0, 1, 2, 3, 4, "x", "u") for k in range(50)]
+    table = spark.createDataFrame(rows, LISTING)
+    files.write_csv_parts(table.repartitionByRange(4, "precio").sortWithinPartitions("precio"), str(tmp_path / "parts"))
+    one = open(files.write_csv(table, str(tmp_path), "p"), "rb").read()
+    parts = [f.read_bytes() for folder in ("parts-header", "parts") for f in sorted((tmp_path / folder).glob("part-*"))]
+    assert b"".join(parts) == one and len(parts) > 3
+
+
+def test_inline_pages():
+    assert fetch.inline("data:text/html;base64,w6E8Yj4=") == (200, "á<b>") and fetch.inline("data:,a%20b") == (200, "a b") and fetch.inline("https://x/,y") == (404, "")
+
+
 def test_stream(spark, tmp_path):
     store = ListingStore(spark, str(tmp_path / "t"))
     base = "'p' AS portal, '' AS tipo, 1L AS precio, 0 AS area, 0 AS habitaciones, 0 AS banos, 0 AS parqueaderos, 0 AS estrato, '' AS barrio, '' AS url, 'm' AS ciudad, 'active' AS status, timestamp'2024-01-01' AS scraped_at"
