@@ -65,3 +65,23 @@ def test_mixing_oracle(spark):
     want = c.execute(queries.ORACLES["op2_mixing"]).df().sort_values("doc_id", ignore_index=True)
     got = queries.QUERIES["op2_mixing"](spark, SF).toPandas().sort_values("doc_id", ignore_index=True)[want.columns]
     assert got.equals(want.astype(got.dtypes))
+
+
+def test_stages_over_clashing_columns_ties_and_a_very_long_text(spark):
+    """Columns that bear the names of the stages' own stay as they are; of copies the smallest doc_id stays; a long text goes through whole."""
+    extra = ("score", "component_id", "fp", "node", "root", "topic", "weight", "kept", "repeats", "removed", "probability", "n_tokens", "part", "shard", "row")
+    long = " ".join(f"w{k * 7919 % 100_003}" for k in range(120_000))
+    texts = [(9, "one two three four five six seven"), (4, "one two three four five six seven"), (5, "Another text. With two sentences."), (6, long), (7, long + " more"), (8, "a b c d e f g h i j k l m n o p")]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t), *(f"{c}-{k}" for c in extra)) for k, t in texts], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in extra))
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = save(stage(spark, docs, SF), "t")
+        assert docs.columns == columns
+        rows = {r.doc_id: r for r in docs.collect()}
+        assert all(r[c] == f"{c}-{k}" for k, r in rows.items() for c in extra)
+        if name == "near_copies":
+            assert set(rows) == {4, 5, 6, 8}
+        if name in ("near_copies", "repeats"):
+            assert rows[6].text == long and rows[6].n_chars == len(long)
+    packed = corpus_pipeline.pack(spark, save(spark.createDataFrame([(6, long)], "doc_id long, text string"), "t"), SF).collect()
+    assert sum(r.length for r in packed) > 120_000 and max(r.length for r in packed) == 2048
