@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import tables
 from ..operators import asof, changes, ranges, sketches
 from ..sources import discovery, documents, partitions, scratch
-from ..streaming import windows
+from ..streaming import tracker, windows
 from . import dataset as d
 from . import listings
 from .registry import Registry
@@ -65,6 +65,24 @@ def event_windows(spark, sf_dir):
     return _closed(spark, windows.sliding(_arriving(spark, sf_dir), ["event_type"], "ts", "3 days", "1 day", "1 day", measures))
 
 
+@query("""WITH told AS (SELECT l_partkey, l_shipdate AS scraped_at, floor(l_quantity)::BIGINT AS after, l_orderkey * 10 + l_linenumber AS tie FROM lineitem WHERE l_partkey % 3 = 0),
+  steps AS (SELECT *, lag(after) OVER (PARTITION BY l_partkey ORDER BY scraped_at, tie) AS before FROM told)
+  SELECT l_partkey, scraped_at, before, after FROM steps WHERE before <> after""")
+def value_changes(spark, sf_dir):
+    """Each change of a listing's measure, told by a stream of its observations that comes a year at a time."""
+    told = d.table(spark, sf_dir, "lineitem").filter(F.col("l_partkey") % 3 == 0).select("l_partkey", F.col("l_shipdate").cast("timestamp").alias("scraped_at"), F.floor("l_quantity").alias("after"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("tie"))
+    dealt = told.withColumn("year", F.year("scraped_at"))
+    years = dealt.groupBy("year").agg(F.count(F.lit(1)).alias("n")).orderBy("year").collect()  # a few rows
+    files = max(1, min((r.n for r in years), default=1) // 1_000_000)
+    source = scratch.folder(spark, "observations")
+    for r in years:
+        dealt.filter(F.col("year") == r.year).drop("year").repartition(files).write.mode("append").parquet(source)
+    found = tracker.changes(windows.arrivals(spark, source, told.schema, files), "l_partkey", "scraped_at", "after", "tie")
+    target = scratch.folder(spark, "changes")
+    windows.run(found, target, scratch.folder(spark, "progress"))
+    return spark.read.schema(found.schema).parquet(target).withColumn("scraped_at", F.col("scraped_at").cast("timestamp_ntz"))
+
+
 # --- joins over time: a visit is an order, of the listing with its customer's number ---
 
 _DAY = 86_400

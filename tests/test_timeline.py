@@ -12,7 +12,7 @@ from prediolake.functions import tables
 from prediolake.operators import asof, changes, ranges, sketches
 from prediolake.schemas import GRAPHQL_DOCUMENT, STORED
 from prediolake.sources import discovery, documents, jdbc, partitions
-from prediolake.streaming import windows
+from prediolake.streaming import tracker, windows
 
 START = datetime(2024, 1, 1)
 
@@ -70,6 +70,22 @@ def test_sliding_windows_of_a_stream_equal_those_of_a_table(spark, tmp_path):
     assert order(spark.read.parquet(str(tmp_path / "out")).collect()) == order(r for r in table.collect() if r.ended <= mark)
 
 
+def test_state_outlives_batches_and_restarts(spark, tmp_path):
+    source, target, progress = (str(tmp_path / x) for x in ("in", "out", "progress"))
+    schema = "id string, at timestamp, value int, tie int, key string, micros long"
+    row = lambda k, h, v, tie=0: (k, None if h is None else at(h), v, tie, "k", 1)
+
+    def run(*batches):
+        for rows in batches:
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        windows.run(tracker.changes(windows.arrivals(spark, source, spark.createDataFrame([], schema).schema, 1), "id", "at", "value", "tie"), target, progress)
+        return order(spark.read.parquet(target).collect())
+
+    first = [("a", at(2), 5, 7), ("a", at(3), 7, 5), ("b", at(4), 1, 2)]
+    assert run([row("a", 3, 5), row("a", 1, 5), row("a", 2, 7), row("b", 1, 1), row(None, 1, 1), row("a", None, 9), row("a", 1.5, None)], [row("b", 4, 2, 1), row("b", 4, 1, 0)]) == order(first)
+    assert run([row("a", 1, 99), row("a", 5, 6), row("b", 6, 2), row("b", 6, 2)]) == order([*first, ("a", at(5), 5, 6)])  # 99 is older than what is known
+
+
 # --- as-of join ---
 
 
