@@ -1,12 +1,14 @@
-"""Table functions for SQL: cards out of lines."""
+"""Functions for SQL: cards out of lines as a table function, and a weighted median as an aggregate."""
 
 from __future__ import annotations
 
 import re
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.functions import udtf
+from pyspark.sql.functions import arrow_udf, udtf
 from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult, OrderingColumn, PartitioningColumn
 
 
@@ -52,6 +54,21 @@ class SplitCards:
             yield self.key, self.card, "|".join(self.held)
 
 
+@arrow_udf(T.LongType())
+def weighted_median(values: pa.Array, weights: pa.Array) -> int:
+    """weighted_median(value, n): the smallest of a group's values at which half of its rows are reached, each value standing for n rows.
+
+    A task gets a group's rows together, so group equal values first: then they are as many as there are values. Nulls
+    and values of no rows don't count; a group without others is null.
+    """
+    held = pa.table({"v": values, "n": weights}).drop_null().filter(pc.field("n") > 0).sort_by("v")
+    if not held.num_rows:
+        return None
+    upto = pc.cumulative_sum(held["n"].cast(pa.int64())).to_numpy()
+    return held["v"][int((2 * upto >= upto[-1]).argmax())].as_py()
+
+
 def register(spark: SparkSession) -> None:
-    """Make the table functions known to SQL in this session."""
+    """Make the functions known to SQL in this session."""
     spark.udtf.register("split_cards", SplitCards)
+    spark.udf.register("weighted_median", weighted_median)

@@ -20,16 +20,15 @@ query = Registry()
 # --- a stream of events that arrive in chunks of five days: some a chunk late, some so late that their windows have closed ---
 
 CHUNK_DAYS = 5
-_CHUNK = F.floor(F.datediff("ts", F.lit("2024-01-01")) / CHUNK_DAYS).cast("int")
-_LATE = (F.col("event_id") % 50 == 7) & (F.col("ts") < F.lit("2024-01-11").cast("timestamp"))
-_CENTS = F.round(F.col("value") * 100).cast("long")
+_CHUNK = f"CAST(floor(datediff(ts, '2024-01-01') / {CHUNK_DAYS}) AS INT)"
+_ARRIVAL = f"CASE WHEN event_id % 50 = 7 AND ts < TIMESTAMP '2024-01-11' THEN {_CHUNK} + 3 WHEN event_id % 10 = 1 THEN {_CHUNK} + 1 ELSE {_CHUNK} END"
+_CENTS = "CAST(round(value * 100) AS BIGINT)"
 
 
 def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a stream: one batch for each chunk, in order. Files of a chunk are as many as its rows need."""
     events = d.table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
-    arrival = F.when(_LATE, _CHUNK + 3).when(F.col("event_id") % 10 == 1, _CHUNK + 1).otherwise(_CHUNK)
-    dealt = events.withColumn("arrival", arrival)
+    dealt = events.withColumn("arrival", F.expr(_ARRIVAL))
     chunks = dealt.groupBy("arrival").agg(F.count(F.lit(1)).alias("n")).orderBy("arrival").collect()  # a few rows
     files = max(1, min((r.n for r in chunks), default=1) // 1_000_000)
     source = scratch.folder(spark, "arrivals")
@@ -53,7 +52,7 @@ _ON_TIME = "seen AS (SELECT *, round(value * 100)::BIGINT AS cents FROM events W
   SELECT user_id, min(ts) AS began, max(ts) + INTERVAL 6 HOUR AS ended, count(*) AS events, sum(cents)::BIGINT AS cents FROM named, mark GROUP BY user_id, nth, mark HAVING max(ts) + INTERVAL 6 HOUR <= mark""")
 def event_sessions(spark, sf_dir):
     """Sessions of each user, closed by the watermark, with events that arrive out of order."""
-    measures = (F.count(F.lit(1)).alias("events"), F.sum(_CENTS).alias("cents"))
+    measures = (F.count(F.lit(1)).alias("events"), F.sum(F.expr(_CENTS)).alias("cents"))
     return _closed(spark, windows.sessions(_arriving(spark, sf_dir), "user_id", "ts", "6 hours", "1 day", measures))
 
 
@@ -61,7 +60,7 @@ def event_sessions(spark, sf_dir):
   SELECT event_type, began, began + INTERVAL 3 DAY AS ended, count(*) AS events, sum(cents)::BIGINT AS cents, max(cents) AS most FROM dealt, mark GROUP BY event_type, began, mark HAVING began + INTERVAL 3 DAY <= mark""")
 def event_windows(spark, sf_dir):
     """Three days' totals of each kind of event, every day, closed by the watermark."""
-    measures = (F.count(F.lit(1)).alias("events"), F.sum(_CENTS).alias("cents"), F.max(_CENTS).alias("most"))
+    measures = (F.count(F.lit(1)).alias("events"), F.sum(F.expr(_CENTS)).alias("cents"), F.max(F.expr(_CENTS)).alias("most"))
     return _closed(spark, windows.sliding(_arriving(spark, sf_dir), ["event_type"], "ts", "3 days", "1 day", "1 day", measures))
 
 
@@ -235,4 +234,13 @@ def card_table_function(spark, sf_dir):
     return spark.sql(f"SELECT key, card, text FROM split_cards(TABLE({pages}), '[$] [0-9]')")
 
 
+@query(f"WITH {d.LST} SELECT portal, count(*) AS listings, quantile_disc(precio // 1000, 0.5)::BIGINT AS thousands FROM lst WHERE precio > 0 GROUP BY portal")
+def median_in_sql(spark, sf_dir):
+    """The median price of each portal, in thousands, by an aggregate in Python over counted values: a portal's values are bounded by what prices there are."""
+    tables.register(spark)
+    d.listings(spark, sf_dir).createOrReplaceTempView("listings_with_prices")
+    counted = "SELECT portal, precio DIV 1000 AS thousands, count(*) AS n FROM listings_with_prices WHERE precio > 0 GROUP BY ALL"
+    return spark.sql(f"WITH counted AS ({counted}) SELECT * FROM (SELECT portal, sum(n) AS listings FROM counted GROUP BY portal) JOIN (SELECT portal, weighted_median(thousands, n) AS thousands FROM counted GROUP BY portal) USING (portal)")
+
+
 QUERIES, ORACLES = query.queries, query.oracles

@@ -1,6 +1,8 @@
 """Every query with an oracle gives the oracle's rows on the smallest tables."""
 
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -48,3 +50,9 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<>" in plan
     plan = QUERIES["normalize_tipo"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "l_shipdate" not in plan
+
+
+def test_queries_are_known_without_a_session():
+    code = "import __spark_entry__ as e; assert len(e.queries()) >= len(e.oracle_sql()) > 100"
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    assert subprocess.run([sys.executable, "-c", code], cwd=root, env=os.environ | {"PYTHONPATH": root}).returncode == 0

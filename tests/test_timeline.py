@@ -296,6 +296,14 @@ def test_cards_of_shuffled_lines(spark):
         spark.sql("SELECT * FROM split_cards(TABLE(lines_of_pages), 3)")
 
 
+def test_weighted_median(spark):
+    tables.register(spark)
+    rows = [("a", 5, 1), ("a", 1, 1), ("a", 9, 2), ("b", 4, 3), ("b", 7, 3), ("c", None, 5), ("c", 3, 0), ("d", 2, None), ("d", 8, 1)]
+    spark.createDataFrame(rows, "k string, v long, n long").createOrReplaceTempView("counted_values")
+    found = {r.k: r.m for r in spark.sql("SELECT k, weighted_median(v, n) AS m FROM counted_values GROUP BY k").collect()}
+    assert found == {"a": 5, "b": 4, "c": None, "d": 8}
+
+
 # --- JDBC ---
 
 
