@@ -14,36 +14,42 @@ from .scratch import keep
 FAR = 9999
 
 
-def discover(sources: DataFrame, keys: Sequence[str], answers: Callable[[DataFrame], DataFrame], has_cards: Callable[[Column], Column], far: int = FAR, most_rounds: int = 80) -> DataFrame:
+def discover(sources: DataFrame, keys: Sequence[str], answers: Callable[[DataFrame], DataFrame], has_cards: Callable[[Column], Column], far: int = FAR, fan: int = 8, most_rounds: int = 40) -> DataFrame:
     """(keys, pages, probes): the last page of each source that has cards, and how many requests told so; 0 pages where the first has none.
 
-    answers: gives (keys, page, html) for a table of (keys, page); requests without an answer count as pages without
-    cards. Each source is first asked for page ``far``. One that answers with cards and shows another page as the
-    current one has shown its last page. The others are asked for pages 1, 2, 4 and so on until one has no cards, and
-    then for the middle between the last that had and the first that hadn't: pages are taken to end once. So a source
-    of n pages takes about 2 log2(n) requests, and a round is one join over the sources still open; their states are
-    saved in each round. Sources with equal keys are one; no sources: no rows.
+    answers: gives one (keys, page, html) for each row of a table of (keys, page) that it has an answer to; requests
+    without one count as pages without cards. Each source is first asked for page ``far`` and for pages 1, 2, 4 and so
+    on below it. One that answers page ``far`` with cards and shows another page as the current one has shown its last
+    page. Of the others, pages are taken to end once: a round asks for ``fan`` - 1 pages between the last that had cards
+    and the first that hadn't, or beyond the last where none has lacked them yet. So a source of n pages takes about
+    1 + log(n) / log(fan) rounds; each is one join over the sources still open, whose states are saved. Sources with
+    equal keys are one; no sources: no rows.
     """
-    state = sources.select(*keys).distinct().select(*keys, F.lit(0).alias("low"), F.lit(None).cast("int").alias("high"), F.lit(far).alias("page"), F.lit(0).alias("probes"), F.lit(None).cast("int").alias("pages"))
+    state = sources.select(*keys).distinct().select(*keys, F.lit(0).alias("low"), F.lit(None).cast("int").alias("high"), F.lit(0).alias("probes"), F.lit(None).cast("int").alias("pages"))
     state = keep(state, "discovery")
-    for _ in range(most_rounds):
+    doubling = [2**k for k in range(far.bit_length()) if 2**k < far]
+    for n in range(most_rounds):
         open_ = state.filter("pages IS NULL")
         if open_.isEmpty():
             return state.select(*keys, "pages", "probes")
-        asked = answers(open_.select(*keys, "page")).select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("page").alias("_page"), F.col("html").alias("_html"))
+        if n == 0:
+            asks = F.array(*map(F.lit, [*doubling, far]))
+        else:
+            beyond = F.array(*(F.greatest("low", F.lit(1)) * 2**k for k in range(1, fan)))
+            between = F.array_distinct(F.array(*(F.col("low") + F.ceil((F.col("high") - F.col("low")) * k / fan).cast("int") for k in range(1, fan))))
+            asks = F.filter(F.when(F.col("high").isNull(), beyond).otherwise(between), lambda page: F.col("high").isNull() | (page < F.col("high")))
+        asked = open_.withColumn("page", F.explode(asks))
+        found = answers(asked.select(*keys, "page")).select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("page").alias("_page"), F.col("html").alias("_html"))
         on = F.col("page") == F.col("_page")
         for k in keys:
             on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
         html = F.coalesce("_html", F.lit(""))
-        first, shown = F.col("probes") == 0, current_page(html)
-        hit = F.coalesce(has_cards(html), F.lit(False))
-        clamped = first & hit & (shown < F.col("page"))
-        low = F.when(hit & ~clamped, F.col("page")).otherwise(F.col("low"))
-        high = F.when(~hit, F.col("page")).otherwise(F.col("high"))
-        seen = open_.join(asked, on, "left").select(*keys, low.alias("low"), high.alias("high"), (F.col("probes") + 1).alias("probes"), F.when(clamped, shown).alias("pages"))
-        doubled = F.greatest(F.col("low") * 2, F.lit(1))
-        page = F.when(F.col("high").isNull(), doubled).when((F.col("low") == 0) | (doubled < F.col("high")), F.least(doubled, F.col("high") - 1)).otherwise(F.floor((F.col("low") + F.col("high")) / 2).cast("int"))
-        done = F.coalesce(F.col("pages"), F.when(F.col("high") - F.col("low") <= 1, F.col("low")))
-        moved = seen.select(*keys, "low", "high", page.cast("int").alias("page"), "probes", done.alias("pages"))
-        state = keep(moved.unionByName(state.filter("pages IS NOT NULL")), "discovery")
+        hit, shown = F.coalesce(has_cards(html), F.lit(False)), current_page(html)
+        seen = asked.join(found, on, "left").select(*keys, "low", "high", "probes", "page", hit.alias("hit"), F.when(hit & (F.col("page") == far) & (shown < far) & F.lit(n == 0), shown).alias("clamped"))
+        moved = seen.groupBy(*keys).agg(
+            F.greatest(F.max("low"), F.max(F.when(F.col("hit"), F.col("page")))).alias("low"), F.least(F.max("high"), F.min(F.when(~F.col("hit"), F.col("page")))).alias("high"),
+            (F.max("probes") + F.count(F.lit(1)).cast("int")).alias("probes"), F.max("clamped").alias("clamped"),
+        )
+        done = F.coalesce("clamped", F.when(F.col("high") - F.col("low") <= 1, F.col("low")))
+        state = keep(moved.select(*keys, "low", "high", "probes", done.alias("pages")).unionByName(state.filter("pages IS NOT NULL")), "discovery")
     raise RuntimeError(f"pages of some sources were not found in {most_rounds} rounds")

@@ -175,7 +175,7 @@ def test_discovery_finds_last_pages_in_few_rounds(spark):
     sources = spark.createDataFrame([(s,) for s in [*last, "one"]], "source string")
     found = {r.source: (r.pages, r.probes) for r in discovery.discover(sources, ["source"], answers, lambda h: h.contains("card")).collect()}
     assert {s: n for s, (n, _) in found.items()} == last
-    assert found["shows"][1] == found["shows one"][1] == 1 and found["many"][1] <= 23 and len(rounds) <= 30
+    assert found["shows"][1] == found["shows one"][1] == 15 and found["many"][1] <= 40 and len(rounds) <= 7
     assert discovery.discover(sources.limit(0), ["source"], answers, lambda h: h.contains("card")).collect() == []
 
 
