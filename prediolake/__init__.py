@@ -20,6 +20,13 @@ _PUBLIC = {
     "parser": "plans.orchestrate",
     "main": "plans.orchestrate",
     "scrape": "plans.portals",
+    "collect": "plans.portals",
+    "get_all": "sources.catalog",
+    "create_table": "sources.catalog:create",
+    "insert_listings": "operators.lifecycle:upsert",
+    "deactivate": "operators.lifecycle",
+    "health_check": "plans.orchestrate",
+    "run_all": "plans.orchestrate",
 }
 __all__ = list(_PUBLIC)
 

@@ -48,23 +48,23 @@ def after(rows: Column, at: Column) -> Column:
     return F.get(rows, at + 1)
 
 
-def label_value(rows: Column, label: str) -> Column:
-    """The first value of a label: after its colon, on the next line if the label stands alone, or after a blank."""
-    def value(x: Column, at: Column) -> Column:
+def label_value(rows: Column, *labels: str) -> Column:
+    """The value of the first line that bears one of the labels: after its colon, on the next line if the label stands alone, or after a blank."""
+    def of(label: str, x: Column, at: Column) -> Column:
         low = F.lower(x)
         colon = F.nullif(strip(F.regexp_replace(x, "^[^:]*:", "")), F.lit(""))
         rest = F.nullif(strip(F.substring(x, F.lit(len(label) + 1), F.length(x))), F.lit(""))
         return F.when(low.startswith(label + ":") | low.startswith(label + " :"), colon).when(low == label, after(rows, at)).when(low.startswith(label + " "), rest)
 
-    return first(values(rows, value))
+    return first(values(rows, lambda x, at: F.coalesce(*(of(label, x, at) for label in labels))))
 
 
 def detail_labels(rows: Column) -> Column:
-    """Struct of a detail page's fields; where a field has two labels, the one met first on the page isn't told from the other: the first in the table that is found."""
+    """Struct of a detail page's fields; of a field's labels the first that the page has counts."""
     fields: dict[str, list[str]] = {}
     for label, field in fixed.DETAIL_LABELS.items():
         fields.setdefault(field, []).append(label)
-    return F.struct(*[F.coalesce(*[label_value(rows, name) for name in names], F.lit("")).alias(field) for field, names in fields.items()])
+    return F.struct(*[F.coalesce(label_value(rows, *names), F.lit("")).alias(field) for field, names in fields.items()])
 
 
 def labelled_item(items: Column, *labels: str) -> Column:

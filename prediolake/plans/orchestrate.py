@@ -27,6 +27,8 @@ from .report import box
 #: portal -> (pages, details or None)
 Pages = Callable[[str], tuple[DataFrame, DataFrame | None]]
 LEAST = {p: least for p, _, least, _ in fixed.PORTALS}
+#: Short names of portals.
+ALIASES = {script: p for p, _, _, script in fixed.PORTALS if script}
 
 
 def stored(listings: DataFrame, ciudad: str, at: datetime) -> DataFrame:
@@ -164,7 +166,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--store", required=True, help="folder of the listings table")
     commands = p.add_subparsers(dest="command", required=True)
     one = commands.add_parser("scrape")
-    one.add_argument("portal", choices=sorted(REGISTRY))
+    one.add_argument("portal", type=lambda name: ALIASES.get(name, name), choices=sorted(REGISTRY), help="a portal, or its short name")
     one.add_argument("--pages", required=True, help="Parquet of (pos, url, html)")
     one.add_argument("--details", help="Parquet of (pos, url, html)")
     one.add_argument("--output", choices=("csv", "db", "both"), default="both")
@@ -174,7 +176,7 @@ def parser() -> argparse.ArgumentParser:
     one.add_argument("--verbose", action="store_true")
     every = commands.add_parser("run-all")
     every.add_argument("--pages", required=True, help="folder of PORTAL.parquet and, for details, PORTAL-details.parquet")
-    every.add_argument("--portals", nargs="*", choices=sorted(REGISTRY))
+    every.add_argument("--portals", nargs="*", type=lambda name: ALIASES.get(name, name), choices=sorted(REGISTRY))
     every.add_argument("--ciudad", default="medellin")
     every.add_argument("--workers", type=int, default=4)
     every.add_argument("--skip-health", action="store_true")

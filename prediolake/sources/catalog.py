@@ -27,6 +27,11 @@ def widen(spark: SparkSession, name: str) -> list[str]:
     return [f.name for f in lacking]
 
 
+def get_all(table: DataFrame) -> DataFrame:
+    """All rows, newest first, of one time by id."""
+    return table.orderBy(F.desc("scraped_at"), "id")
+
+
 def count(table: DataFrame, status: str | None = None, portal: str | None = None, ciudad: str | None = None) -> int:
     """Rows of a status, a portal and a city, as far as they are given."""
     for column, value in (("status", status), ("portal", portal), ("ciudad", ciudad)):

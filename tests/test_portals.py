@@ -121,6 +121,14 @@ def test_export_sheets(spark, tmp_path, capsys):
         orchestrate.export_sheet(table, str(tmp_path / "new"), title="May", new=True)
 
 
+def test_short_names_and_public_names():
+    import prediolake
+
+    assert orchestrate.parser().parse_args(["--store", "s", "scrape", "adn", "--pages", "p"]).portal == "arrendamientosdelnorte"
+    assert orchestrate.parser().parse_args(["--store", "s", "run-all", "--pages", "p", "--portals", "asf", "coninsa"]).portals == ["arrendamientossantafe", "coninsa"]
+    assert all(callable(getattr(prediolake, name)) or name == "TIPO" for name in prediolake.__all__)
+
+
 def test_long_pages_keep_their_order(spark):
     cards = "".join(f'<div data-property-id="{k}" data-property-title="Casa en X">$ 2.000.000</div>' for k in range(3))
     rows = scrape("metrocasas", spark.createDataFrame([(100_001, cards), (2, cards)], "pos int, html string")).orderBy("seq").select("seq", "id").collect()
