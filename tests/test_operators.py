@@ -124,7 +124,7 @@ def test_threshold(spark):
 def test_the_first_label_on_the_page_counts(spark):
     from prediolake.functions import lines
 
-    pages = ["Codigo: b1\nCódigo: a1", "Código:\na2\nCodigo: b2", "x\nCODIGO\n\nc3", "nothing", None]
+    pages = ["Codigo: b1\nCódigo: a1", "Código\na2\nCodigo: b2", "x\nCODIGO\n\nc3", "nothing", None]
     rows = spark.createDataFrame([(k, p) for k, p in enumerate(pages)], "k int, page string")
     found = rows.select("k", lines.detail_labels(lines.lines(F.col("page")))["codigo"].alias("c")).orderBy("k").collect()
     assert [r.c for r in found] == ["b1", "a2", "c3", "", ""]
