@@ -806,6 +806,43 @@ def test_differencing_balances():
     assert abs(sum(s if two[k] else -s for k, s in (("a", 8), ("b", 7), ("c", 6), ("d", 5), ("e", 4)))) == 2
 
 
+def plain_differencing(sizes, ways):
+    """Sums of the parts, by looking for the two partial partitions of the largest spread each time."""
+    partial = [[x] + [0] * (ways - 1) for x in sorted(sizes, reverse=True)]
+    while len(partial) > 1:
+        partial.sort(key=lambda p: p[0] - p[-1], reverse=True)
+        first, second, *rest = partial
+        partial = [*rest, sorted((a + b for a, b in zip(first, reversed(second), strict=True)), reverse=True)]
+    return partial[0]
+
+
+@pytest.mark.parametrize("ways", [2, 3, 7])
+def test_differencing_is_the_plain_one(ways):
+    for seed in range(30):
+        r = random.Random(seed)
+        sizes = r.sample(range(1, 10**9), r.randint(1, 40))  # no ties, whose order is free
+        place = sharding.differencing(list(enumerate(sizes)), ways)
+        sums = Counter({part: 0 for part in range(ways)})
+        for key, part in place.items():
+            sums[part] += sizes[key]
+        assert sorted(sums.values(), reverse=True) == plain_differencing(sizes, ways)
+
+
+def test_shards_differ_by_little_and_keep_groups(spark):
+    """One text holds a third of all bytes, and so gets a shard to itself; the others are within one small text of each other."""
+    r = random.Random(8)
+    texts = ["x" * r.randint(1, 400) + str(k) for k in range(3000)] + ["the same words again and again"] * 9000
+    rows = sharding.shard_by_bytes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4), shards=6).collect()
+    sums, hot = Counter(), set()
+    for x in rows:
+        sums[x.shard] += x.size
+        if x.doc_id >= 3000:
+            hot.add(x.shard)
+    assert len(hot) == 1 and len(sums) == 6
+    rest = [n for shard, n in sums.items() if shard not in hot]
+    assert max(rest) - min(rest) <= 420
+
+
 @pytest.mark.parametrize("bundles", [8192, 2])
 def test_shards(docs, empty, bundles):
     rows = sharding.shard_by_bytes(docs, shards=4, bundles=bundles).collect()
