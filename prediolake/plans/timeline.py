@@ -93,11 +93,12 @@ def _visits(spark, sf_dir):
 
 @query("""WITH seen AS (SELECT l_partkey, l_shipdate AS scraped_at, floor(l_extendedprice * 100)::BIGINT AS cents, l_suppkey FROM lineitem
     QUALIFY row_number() OVER (PARTITION BY l_partkey, l_shipdate ORDER BY l_orderkey DESC, l_suppkey DESC, l_linenumber DESC) = 1)
-  SELECT o_orderkey, o_custkey AS l_partkey, o_orderdate AS visited, scraped_at, cents, l_suppkey FROM orders ASOF LEFT JOIN seen ON o_custkey = l_partkey AND o_orderdate >= scraped_at""")
+  SELECT o_orderkey, o_custkey AS l_partkey, o_orderdate AS visited, coalesce(scraped_at, TIMESTAMP '1970-01-01') AS scraped_at, coalesce(cents, 0) AS cents, coalesce(seen.l_suppkey, 0) AS l_suppkey FROM orders ASOF LEFT JOIN seen ON o_custkey = l_partkey AND o_orderdate >= scraped_at""")
 def price_at_visit(spark, sf_dir):
-    """The price that a visitor saw: that of the listing's last observation at or before the visit."""
+    """The price that a visitor saw: that of the listing's last observation at or before the visit; 0, of 1970, where there is none."""
     seen = d.table(spark, sf_dir, "lineitem").select("l_partkey", F.col("l_shipdate").alias("scraped_at"), F.floor(F.col("l_extendedprice") * 100).alias("cents"), "l_suppkey", "l_orderkey", "l_linenumber")
-    return asof.asof(_visits(spark, sf_dir), seen, "l_partkey", "visited", "scraped_at", ["cents", "l_suppkey"], 365 * _DAY, ["l_orderkey", "l_suppkey", "l_linenumber"])
+    found = asof.asof(_visits(spark, sf_dir), seen, "l_partkey", "visited", "scraped_at", ["cents", "l_suppkey"], 365 * _DAY, ["l_orderkey", "l_suppkey", "l_linenumber"])
+    return found.fillna(0, ["cents", "l_suppkey"]).withColumn("scraped_at", F.coalesce("scraped_at", F.lit("1970-01-01").cast("timestamp_ntz")))  # missing values are 0, as elsewhere
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, o_orderkey, (epoch(least(l_shipdate + to_days(l_linenumber * 7), o_orderdate + to_days((o_orderkey % 20)::INTEGER))) - epoch(greatest(l_shipdate, o_orderdate)))::BIGINT AS shared_seconds
@@ -176,7 +177,7 @@ def _documents(spark, sf_dir):
     )
 
 
-@query("""SELECT code, property_type, field_lease_value, field_area, field_bedrooms, field_bathrooms, neighborhood, url FROM (
+@query("""SELECT code, property_type, field_lease_value, field_area, field_bedrooms, coalesce(field_bathrooms, 0) AS field_bathrooms, neighborhood, url FROM (
     SELECT format('D{:09d}', p_partkey) AS code, lower(p_type) AS property_type, p_retailprice AS field_lease_value, p_size::DOUBLE AS field_area, (p_partkey % 5)::INTEGER AS field_bedrooms,
     CASE WHEN p_partkey % 3 = 0 THEN (p_partkey % 4)::INTEGER END AS field_bathrooms, p_name AS neighborhood, '/inmueble/' || p_partkey AS url FROM part)
   WHERE property_type IN ('standard', 'large') AND field_bedrooms = 2 AND field_area > 10 AND contains(url, '1') ORDER BY code LIMIT 50 OFFSET 5""")
@@ -185,7 +186,7 @@ def document_search(spark, sf_dir):
     saved = scratch.folder(spark, "answers")
     documents.save_answers(_documents(spark, sf_dir), saved)
     found = documents.load(spark, saved).filter(F.col("property_type").isin("standard", "large") & (F.col("field_bedrooms") == 2) & (F.col("field_area") > 10) & F.col("url").contains("1"))
-    return documents.page_of(found, 5, 50).select("code", "property_type", "field_lease_value", "field_area", "field_bedrooms", "field_bathrooms", "neighborhood", "url")
+    return documents.page_of(found, 5, 50).select("code", "property_type", "field_lease_value", "field_area", "field_bedrooms", F.coalesce("field_bathrooms", F.lit(0)).alias("field_bathrooms"), "neighborhood", "url")
 
 
 # --- the table in partitions ---

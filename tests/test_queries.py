@@ -5,6 +5,7 @@ import subprocess
 import sys
 
 import duckdb
+import pandas as pd
 import pytest
 
 from prediolake.plans.queries import ORACLES, QUERIES
@@ -23,7 +24,7 @@ def duck():
 
 def rows(df):
     df = df[sorted(df.columns)].astype(object)
-    return sorted((tuple(None if v is None or v != v else str(v) for v in r) for r in df.itertuples(index=False)), key=str)
+    return sorted((tuple(None if pd.isna(v) else str(v) for v in r) for r in df.itertuples(index=False)), key=str)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
