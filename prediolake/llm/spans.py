@@ -220,7 +220,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     if out in docs.columns:
         raise ValueError(f"docs has a column {out} already")
-    gone = covered(docs, id_col, text_col, run, least_words)
+    gone = save(covered(docs, id_col, text_col, run, least_words), "span-gone")  # its shuffles' files go before the texts are shuffled
     key, _, part = _named(docs, id_col, text_col)
     rows = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), key.alias("doc_id"), part.alias("part"))
     joined = rows.join(gone, ["doc_id", "part"], "left").select("row", "positions", "windows", "whole")
