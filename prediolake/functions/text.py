@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,9 +15,18 @@ def text(c: Column | str) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+#: Unicode's white space.
+SPACES = "\t\n\x0b\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: Column) -> Column:
     """Without Unicode white space at either end (trim() takes blanks alone)."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(SPACES))
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """An array of use(value) alone, with the value computed once however often ``use`` takes it. Give it to inline or explode, whose columns filters aren't pushed below, so that it isn't computed for them again."""
+    return F.transform(F.array(value), use)
 
 
 def title(c: Column) -> Column:
@@ -36,12 +45,12 @@ _OTHER_DIGITS = _decimal_digits()
 
 def digits(c: Column) -> Column:
     """The decimal digits of a text, joined; '' if none."""
-    return F.regexp_replace(c, r"[^0-9]", "")
+    return F.regexp_replace(c, r"[^0-9]+", "")
 
 
 def decimal_digits(c: Column) -> Column:
     """The decimal digits of any script, joined, as ASCII; '' if none."""
-    other = c.rlike(r"[^\x00-\x7f]")  # nearly all texts are spared the table
+    other = F.octet_length(c) != F.char_length(c)  # nearly all texts are spared the table
     return digits(F.when(other, F.translate(c, *_OTHER_DIGITS)).otherwise(c))
 
 

@@ -8,24 +8,26 @@ native expression. No portal module touches the network: see sources.fetch for w
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StringType
+from pyspark.sql.types import ArrayType, StringType
 
 from .. import fixed
 from ..functions import lines, normalize, validate
-from ..functions.text import digits, number_in, strip, text, whole
+from ..functions.text import digits, number_in, once, strip, text, whole
 from ..operators import dedupe, merge
 from ..schemas import LISTING, MEASURES
 from ..sources import discovery, dom, pagination
 from .extraction import documents_of, json_cards, rest_items, title_split_of
 
-_RAW = ArrayType(MapType(StringType(), StringType()))
+_CARD = "pos long, card int, c map<string,string>"
+#: Pages whose cards a Python task holds at a time.
+PAGES = 32
 
 
 def _seq(card: Column) -> Column:
@@ -35,11 +37,14 @@ def _seq(card: Column) -> Column:
 
 def _cards(pages: DataFrame, cut: Callable[[dom.Element], list[dict[str, str]]]) -> DataFrame:
     """(seq, c): the raw fields of each card of each page, in order."""
-    @F.pandas_udf(_RAW)
-    def found(html: pd.Series) -> pd.Series:
-        return html.map(lambda x: cut(dom.parse(x)) if x else [])
-
-    rows = pages.select("pos", F.posexplode(found("html")).alias("card", "c"))
+    def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for at in range(0, len(b), PAGES):
+                part = b.iloc[at : at + PAGES]
+                rows = [(pos, card, c) for pos, html in zip(part["pos"], part["html"], strict=True) if html for card, c in enumerate(cut(dom.parse(html)))]
+                yield pd.DataFrame(rows, columns=["pos", "card", "c"])
+
+    rows = pages.select(F.col("pos").cast("long").alias("pos"), "html").mapInPandas(found, _CARD)
     return rows.select(_seq(F.col("card")).alias("seq"), "c")
 
 
@@ -179,9 +184,9 @@ def monserrate(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
     cards = shaped(rows, "arrendamientosmonserrate", "seq")
     if details is None:
         return cards
-    f = lines.detail_labels(lines.lines(lines.html_lines(F.col("html"))))
+    f = once(lines.lines(lines.html_lines(F.col("html"))), lines.detail_labels)
     area = F.regexp_replace(F.lower(F.col("f.area")), "m²|m2| mt|aprox\\.|aproximadamente", "")
-    found = details.withColumn("f", f).select(
+    found = details.select("*", F.explode(f).alias("f")).select(
         "pos", "url", normalize.compose_id("MNS", F.coalesce(F.nullif("f.codigo", F.lit("")), F.regexp_extract("html", r"[^\d](\d{4,5})(?:-\d+)?\.jpe?g", 1))).alias("id"), normalize.tipo(F.col("f.tipo")).alias("tipo"), whole(digits(area)).alias("area"),
         whole(digits(F.col("f.habitaciones"))).alias("habitaciones"), whole(digits(F.col("f.banos"))).alias("banos"), normalize.garaje(F.col("f.parqueaderos")).alias("parqueaderos"), normalize.estrato(F.col("f.estrato")).alias("estrato"), normalize.barrio(F.col("f.barrio")).alias("barrio"),
     )
@@ -193,14 +198,14 @@ def villacruz(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
         cards = root.all(test=lambda e: "estate_itm" in e.attributes.get("class", "") and "estate_itm--" not in e.attributes.get("class", ""))
         return [{"text": c.text("\n")} for c in cards]
 
-    c = _cards(pages, cut).select("seq", lines.stateful_card(lines.lines(_said("text"))).alias("c")).filter("c.codigo <> ''")
-    rows = c.select("seq", normalize.compose_id("AVC", F.col("c.codigo")).alias("id"), "c.*", F.lit("https://www.arrendamientosvillacruz.com").alias("url")).drop("codigo")
+    c = _cards(pages, cut).select("seq", F.inline(once(lines.lines(_said("text")), lines.stateful_card))).filter("codigo <> ''")
+    rows = c.select("seq", normalize.compose_id("AVC", F.col("codigo")).alias("id"), "*", F.lit("https://www.arrendamientosvillacruz.com").alias("url")).drop("codigo")
     return dedupe.first_wins(shaped(rows, "arrendamientosvillacruz", "seq"), ["id"], ["seq"]).select("seq", *LISTING.names)
 
 
 def merinohermanos(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
-    cards = lines.split_cards(lines.lines(lines.html_lines(F.col("html"))), lines.starts_with_price)
-    found = pages.select("pos", F.posexplode(cards).alias("card", "rows")).select(_seq(F.col("card")).alias("seq"), lines.ruled_card(F.col("rows")).alias("c"))
+    cards = once(lines.lines(lines.html_lines(F.col("html"))), lambda rows: lines.split_cards(rows, lines.starts_with_price))
+    found = pages.select("pos", F.explode(cards).alias("cards")).select("pos", F.posexplode("cards").alias("card", "rows")).select(_seq(F.col("card")).alias("seq"), F.explode(once(F.col("rows"), lines.ruled_card)).alias("c"))
     kept = found.filter((F.col("c.precio") > 0) & (lines.structural(F.col("c")) >= 2))
     rows = kept.select("seq", normalize.compose_id("MHR", F.col("c.codigo")).alias("id"), normalize.tipo(F.col("c.tipo")).alias("tipo"), normalize.barrio(F.col("c.barrio")).alias("barrio"), *(F.col(f"c.{f}") for f in ("precio", "area", "habitaciones", "banos")), F.lit("https://merinohermanos.com.co/?b_type=arriendo").alias("url"))
     return shaped(rows, "merinohermanos", "seq")
@@ -232,7 +237,7 @@ def alnago(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
                 out.append({"url": links[0], "text": article.text("\n")})
         return out
 
-    f = _cards(pages, cut).withColumn("f", lines.pairs(lines.lines(_said("text"))))
+    f = _cards(pages, cut).select("seq", "c", F.explode(once(lines.lines(_said("text")), lines.pairs)).alias("f"))
     value = lambda k: text(F.try_element_at("f", F.lit(k)))
     rows = f.select(
         "seq", normalize.compose_id("ALN", value("codigo"), True).alias("id"), normalize.price(value("precio")).alias("precio"), *(whole(digits(value(k))).alias(c) for k, c in (("bedrooms", "habitaciones"), ("bathrooms", "banos"), ("garages", "parqueaderos"))),
@@ -241,8 +246,8 @@ def alnago(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
     cards = shaped(rows, "alnago", "seq")
     if details is None:
         return cards
-    texts = details.withColumn("_text", dom.visible_text_udf("html")).withColumn("_lines", lines.lines(F.col("_text")))
-    found = texts.withColumn("f", lines.detail_by_priority(F.col("_lines"))).select("pos", "url", "f.*")
+    texts = details.withColumn("_text", dom.visible_text_udf("html"))
+    found = texts.select("pos", "url", F.inline(once(lines.lines(F.col("_text")), lines.detail_by_priority)))
     return merge.fill(cards, found, ("tipo", "area", "estrato"))
 
 
@@ -304,11 +309,13 @@ def pages_of(spark: SparkSession, portal: str, answers: Callable[[DataFrame], Da
     comes from the first answer, from that to a page far beyond the last, or, where neither tells, from probes.
     """
     p = REGISTRY[portal]
-    if p.total is None:
-        total = discovery.discover(spark.range(1).select(F.lit(portal).alias("source")), ["source"], lambda asked: asked.join(answers(asked.select("page")), "page").select("source", "page", "html"), p.has_cards).select(F.col("pages").alias("total"))
-    else:
-        probe = discovery.FAR if p.total is pagination.current_page else 1
+    by_far = p.total is pagination.current_page
+    total = None
+    if p.total is not None:
+        probe = discovery.FAR if by_far else 1
         total = answers(spark.range(1).select(F.lit(probe).alias("page"))).select(p.total(text("html")).alias("total"))
+    if total is None or (by_far and not total.filter(F.col("total") >= discovery.FAR).isEmpty()):  # a site of more pages shows the far one itself
+        total = discovery.discover(spark.range(1).select(F.lit(portal).alias("source")), ["source"], lambda asked: asked.join(answers(asked.select("page")), "page").select("source", "page", "html"), p.has_cards).select(F.col("pages").alias("total"))
     asked = pagination.numbered(total, F.col("total"), max_pages).select("page")
     return answers(asked).select((F.col("page") - 1).alias("pos"), "page", "html")
 

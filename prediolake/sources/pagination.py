@@ -24,8 +24,14 @@ def total_in_links(html: Column, pattern: str = r"/page/([0-9]+)/") -> Column:
 
 def current_page(html: Column) -> Column:
     """The number that the first element of class ``current`` shows, which is the last page where a page far beyond it was asked for; 1 without."""
+    return F.coalesce(shown_page(html), F.lit(1))
+
+
+def shown_page(html: Column) -> Column:
+    """As current_page, but null where the page shows no number."""
     shown = F.trim(F.regexp_extract(html, r"""<[a-zA-Z][^>]*\sclass\s*=\s*["'](?:[^"']*\s)?current(?:\s[^"']*)?["'][^>]*>(?:\s|<[^>]*>)*([^<]*)""", 1))
-    return F.coalesce(F.greatest(F.when(shown.rlike("^[0-9]+$"), shown.try_cast("int")), F.lit(1)), F.lit(1))
+    number = F.when(shown.rlike("^[0-9]+$"), shown.try_cast("int"))
+    return F.when(number.isNotNull(), F.greatest(number, F.lit(1)))
 
 
 def numbered(df: DataFrame, total: Column, most: int | None = None) -> DataFrame:

@@ -2,10 +2,12 @@ import json
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
-from prediolake.plans import orchestrate, report
-from prediolake.plans.portals import REGISTRY, scrape
+from prediolake.plans import orchestrate, portals, report
+from prediolake.plans.portals import REGISTRY, pages_of, scrape
 from prediolake.schemas import STORED
+from prediolake.sources import discovery
 from prediolake.sources.dom import visible_text
 from prediolake.sources.store import ListingStore
 
@@ -133,3 +135,25 @@ def test_long_pages_keep_their_order(spark):
     cards = "".join(f'<div data-property-id="{k}" data-property-title="Casa en X">$ 2.000.000</div>' for k in range(3))
     rows = scrape("metrocasas", spark.createDataFrame([(100_001, cards), (2, cards)], "pos int, html string")).orderBy("seq").select("seq", "id").collect()
     assert [r.id for r in rows] == ["MTC-0", "MTC-1", "MTC-2"] * 2 and [r.seq >> 32 for r in rows] == [2] * 3 + [100_001] * 3
+
+
+@pytest.mark.parametrize("portal", ["habitamos", "arrendamientossantafe"])
+def test_sites_of_more_pages_than_the_far_one(spark, portal, monkeypatch):
+    monkeypatch.setattr(discovery, "FAR", 9)
+    monkeypatch.setattr(discovery.discover, "__defaults__", (9, 8, 40))
+    clamps = portal == "arrendamientossantafe"
+
+    def answers(asked):
+        shown = F.least(F.col("page"), F.lit(75)) if clamps else F.col("page")
+        return asked.filter(F.lit(clamps) | (F.col("page") <= 75)).select("page", F.concat(F.lit("<p>card</p>"), F.concat(F.lit('<li class="current">'), shown, F.lit("</li>")) if clamps else F.lit("")).alias("html"))
+
+    assert [r.page for r in pages_of(spark, portal, answers).orderBy("page").collect()] == list(range(1, 76))
+
+
+def test_cards_of_few_pages_are_held_at_a_time(spark):
+    def cut(root):
+        return [{"k": e.text()} for e in root.all("b")]
+
+    rows = portals._cards(spark.range(0, 100, 1, 1).select(F.col("id").alias("pos"), F.concat(F.lit("<b>"), F.col("id"), F.lit("</b><b>x</b>")).alias("html")), cut)
+    assert rows._jdf.queryExecution().analyzed().toString().count("MapInPandas") == 1  # it yields the cards of PAGES pages; a function of whole batches held those of 10,000
+    assert [(r.seq, r.c["k"]) for r in rows.orderBy("seq").collect()] == [(k << 32 | n, str(k) if n == 0 else "x") for k in range(100) for n in range(2)]
