@@ -91,12 +91,14 @@ def loaded(df: DataFrame) -> DataFrame:
     )
 
 
-def sanitized(c: str, numeric: bool) -> Column:
+def sanitized(c: str | Column, numeric: bool) -> Column:
     """A CSV value: null and markers are 0 or ''; numbers are cut to whole ones, texts that aren't whole numbers are 0."""
-    value = F.col(c)
+    value = F.col(c) if isinstance(c, str) else c
     marker = strip(text(value)).isin(*fixed.MARKERS)
     if not numeric:
         return F.when(marker, "").otherwise(text(value))
+    if_whole = F.typeof(value).rlike("^(tinyint|smallint|int|bigint)$")  # known before the query runs, so only one of the two forms is computed
     number = F.when(marker, None).otherwise(strip(text(value)))
     fraction = F.typeof(value).rlike("^(double|float|decimal)")
-    return F.coalesce(F.when(number.rlike(r"^[+-]?[0-9]+$"), number.try_cast("bigint")).when(fraction, number.try_cast("double").try_cast("bigint")), F.lit(0).cast("bigint"))
+    told = F.coalesce(F.when(number.rlike(r"^[+-]?[0-9]+$"), number.try_cast("bigint")).when(fraction, number.try_cast("double").try_cast("bigint")), F.lit(0).cast("bigint"))
+    return F.when(if_whole, F.coalesce(F.nullif(text(value).try_cast("bigint"), F.lit(-1).cast("bigint")), F.lit(0).cast("bigint"))).otherwise(told)  # of the markers only -1 is a whole number

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions import lines, normalize
-from ..functions.text import number_in, strip
+from ..functions.text import number_in, once, strip
 from ..schemas import GRAPHQL_ENVELOPE
 from ..sources import fetch, files, pagination, scratch
 from ..sources.dom import visible_text_udf
@@ -16,8 +16,10 @@ from .registry import Registry
 query = Registry()
 
 
-def _part(spark, sf_dir):
-    return d.table(spark, sf_dir, "part")
+def _part(spark, sf_dir, deal: bool = False):
+    """The parts; dealt to all cores where a row's work is long, as files of few bytes make few tasks."""
+    part = d.table(spark, sf_dir, "part")
+    return part.repartition(max(32, spark.sparkContext.defaultParallelism), "p_partkey") if deal else part
 
 
 def _say(*parts):
@@ -155,8 +157,7 @@ def label_next_line(spark, sf_dir):
     k = F.col("p_partkey")
     first = F.when(k % 3 == 0, _say("Tipo de inmueble: ", F.col("p_name"))).when(k % 3 == 1, _say("TIPO DE INMUEBLE\n\n", F.col("p_brand"))).otherwise(_say("tipo de inmueble ", F.col("p_type")))
     page = _say(first, "\nÁrea:\nÁREA : ", F.col("p_size"), " mts\nÁrea: 1\n", F.when(k % 2 == 0, _say("Código\nc", k)).otherwise(F.lit("Codigo:")))
-    found = lines.detail_labels(lines.lines(page))
-    return _part(spark, sf_dir).select("p_partkey", found["tipo"].alias("tipo"), found["area"].alias("area"), found["codigo"].alias("codigo"))
+    return _part(spark, sf_dir, True).select("p_partkey", F.inline(once(lines.lines(page), lines.detail_labels))).select("p_partkey", "tipo", "area", "codigo")
 
 
 @query(f"SELECT p_partkey, p_partkey::VARCHAR AS codigo, CASE WHEN p_partkey % 2 = 0 THEN 'casa' ELSE 'apartamento' END AS tipo, (p_partkey * 1000)::BIGINT AS precio, p_size AS area, (p_partkey % 5)::INTEGER AS habitaciones, (p_partkey % 3)::INTEGER AS banos, CASE WHEN p_partkey % 4 = 0 THEN 2 ELSE 0 END AS parqueaderos, {d.title_sql('p_name')} AS barrio FROM part WHERE p_partkey % 10 <> 0")
@@ -164,8 +165,8 @@ def card_line_state(spark, sf_dir):
     k = F.col("p_partkey")
     area = F.when(k % 2 == 0, _say(F.col("p_size"), "\nm²")).otherwise(_say("1 m²\n", F.col("p_size"), " m²"))
     page = _say(F.when(k % 10 == 0, "sin").otherwise(_say("COD: ", k, " COD: 7")), "\nEn Arriendo\n", F.when(k % 2 == 0, "House").otherwise("Apto-x"), "\n$ ", k, ".000\n$ 5\n", area, "\n", k % 5, " Alcobas\n", k % 3, " Baños\n", F.when(k % 4 == 0, "2 parq.").otherwise("-"), "\nMEDELLIN - ", F.col("p_name"), "\nA - B")
-    rows = _part(spark, sf_dir).select("p_partkey", lines.stateful_card(lines.lines(page)).alias("c"))
-    return rows.filter("c.codigo <> ''").select("p_partkey", "c.*")
+    rows = _part(spark, sf_dir, True).select("p_partkey", F.inline(once(lines.lines(page), lines.stateful_card)))
+    return rows.filter("codigo <> ''")
 
 
 @query("SELECT p_partkey, card::INTEGER AS card, CASE card WHEN 0 THEN 'menu' ELSE '$ ' || card || '|' || p_name END AS text FROM part, range(0, 3) t(card) WHERE card <= 1 + p_partkey % 2 AND NOT (card = 0 AND p_partkey % 5 = 0)")
@@ -182,7 +183,7 @@ def card_sessionize(spark, sf_dir):
 def card_rule_chain(spark, sf_dir):
     k = F.col("p_partkey")
     page = _say(F.when(k % 7 == 0, "gratis").otherwise(_say("$ ", k, ".000")), "\nCasa\n", F.when(k % 3 == 0, k.cast("string")).otherwise("x y"), "\nArriendo - ", F.col("p_name"), "\n", k % 4, " Alcobas\nunos baños\nArea de ", F.col("p_size"), " m2\nOtra")
-    rows = _part(spark, sf_dir).select("p_partkey", lines.ruled_card(lines.lines(page)).alias("c"))
+    rows = _part(spark, sf_dir, True).select("p_partkey", F.explode(once(lines.lines(page), lines.ruled_card)).alias("c"))
     kept = rows.filter((F.col("c.precio") > 0) & (lines.structural(F.col("c")) >= 2))
     return kept.select("p_partkey", "c.precio", "c.habitaciones", "c.area", "c.barrio", "c.codigo", "c.tipo")
 
@@ -199,8 +200,8 @@ def label_proximity(spark, sf_dir):
 def alternating_pairs(spark, sf_dir):
     k = F.col("p_partkey")
     card = _say("Zona\n", F.col("p_name"), "\nZona\nno\nPrecio\n$ ", F.col("p_size"), "\n", F.when(k % 2 == 0, _say("Cod: ", k)).otherwise(_say("COD\na", k, "\nCod\nb")))
-    found = lines.pairs(lines.lines(card))
-    return _part(spark, sf_dir).select("p_partkey", *(F.try_element_at(found, F.lit(f)).alias(f) for f in ("zona", "precio", "codigo")))
+    rows = _part(spark, sf_dir, True).select("p_partkey", F.explode(once(lines.lines(card), lines.pairs)).alias("found"))
+    return rows.select("p_partkey", *(F.try_element_at("found", F.lit(f)).alias(f) for f in ("zona", "precio", "codigo")))
 
 
 @query("SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'apartamento' WHEN 1 THEN 'casa' ELSE 'villa' END AS tipo, CASE WHEN p_partkey % 2 = 0 THEN p_size WHEN p_partkey % 5 = 0 THEN 0 ELSE 70 END AS area, CASE WHEN p_partkey % 9 = 8 THEN 0 ELSE (p_partkey % 9)::INTEGER END AS estrato FROM part")
@@ -208,7 +209,7 @@ def detail_priority_coalesce(spark, sf_dir):
     k = F.col("p_partkey")
     kind = F.when(k % 3 == 0, "Apartment").when(k % 3 == 1, "DUPLEX").otherwise("Villa")
     page = _say("Inicio\n", kind, " en arriendo en Laureles\nCasa en venta\n", F.when(k % 5 == 0, "x\ny").otherwise("Área terreno\n70 M2"), "\n", F.when(k % 2 == 0, _say("Área privada\n", F.col("p_size"), "M2")).otherwise("-"), "\nBonito, ESTRATO  ", k % 9, ". estrato 3")
-    return _part(spark, sf_dir).select("p_partkey", lines.detail_by_priority(lines.lines(page)).alias("f")).select("p_partkey", "f.*")
+    return _part(spark, sf_dir, True).select("p_partkey", F.inline(once(lines.lines(page), lines.detail_by_priority)))
 
 
 @query("SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN p_size WHEN 1 THEN p_size ELSE 0 END::INTEGER AS m2 FROM part")

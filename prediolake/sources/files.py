@@ -37,8 +37,11 @@ def load_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
 def csv_line() -> Column:
     """A listing's CSV line: sanitized, texts quoted, numbers bare."""
     quote = F.lit('"')
-    cells = [sanitized(f.name, True).cast("string") if f.name in MEASURES else F.concat(quote, F.replace(sanitized(f.name, False), quote, F.lit('""')), quote) for f in LISTING]
-    return F.concat_ws(",", *cells)
+    cells = [sanitized(f.name, True).cast("string") if f.name in MEASURES else F.col(f.name).cast("string") for f in LISTING]
+    bare = [k for k, f in enumerate(LISTING) if f.name in MEASURES]
+    quoted = lambda x: F.concat(quote, F.replace(sanitized(x, False), quote, F.lit('""')), quote)
+    # one function over all cells: eleven copies of it make a method too long for the JVM to compile
+    return F.array_join(F.transform(F.array(*cells), lambda x, k: F.when(k.isin(*bare), x).otherwise(quoted(x))), ",")
 
 
 def write_csv(listings: DataFrame, folder: str, portal: str, ciudad: str = "medellin") -> str:
