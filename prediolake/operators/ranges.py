@@ -26,13 +26,17 @@ def overlapping(left: DataFrame, right: DataFrame, keys: Sequence[str], a: tuple
         size = bin_seconds * 1_000_000
         first, last = F.floor(began / size), F.floor((ended - 1) / size)
         held = df.filter(F.col(period[0]) < F.col(period[1]))
-        return held.withColumn("_first", first).withColumn("_bin", F.explode(F.sequence(first, last))).withColumn("_salt", salt)
+        dealt = held.withColumn("_bin", F.explode(F.sequence(first, last)))
+        return dealt.withColumn("_salt", salt) if salts > 1 else dealt
 
     x = binned(left, a, F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
     y = binned(right, b, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))) if salts > 1 else F.lit(0))
-    y = y.select(*(F.col(c).alias(f"_k{n}") for n, c in enumerate(keys)), F.col("_bin").alias("_bin_y"), F.col("_salt").alias("_salt_y"), F.col("_first").alias("_first_y"), *(c for c in right.columns if c not in keys))
-    on = (x["_bin"] == y["_bin_y"]) & (x["_salt"] == y["_salt_y"])
+    y = y.select(*(F.col(c).alias(f"_k{n}") for n, c in enumerate(keys)), F.col("_bin").alias("_bin_y"), *([F.col("_salt").alias("_salt_y")] if salts > 1 else []), *(c for c in right.columns if c not in keys))
+    on = x["_bin"] == y["_bin_y"]
+    if salts > 1:
+        on = on & (x["_salt"] == y["_salt_y"])
     for n, c in enumerate(keys):
         on = on & (x[c] == y[f"_k{n}"])
-    pairs = x.join(y, on).filter((F.col("_bin") == F.greatest("_first", "_first_y")) & (F.col(a[0]) < F.col(b[1])) & (F.col(b[0]) < F.col(a[1])))
+    begun = F.floor(F.unix_micros(F.greatest(F.col(a[0]).cast("timestamp"), F.col(b[0]).cast("timestamp"))) / (bin_seconds * 1_000_000))  # the later beginning's bin is the first that both touch
+    pairs = x.join(y, on).filter((F.col("_bin") == begun) & (F.col(a[0]) < F.col(b[1])) & (F.col(b[0]) < F.col(a[1])))
     return pairs.select(*left.columns, *(c for c in right.columns if c not in keys))
