@@ -122,7 +122,7 @@ def completeness(spark, sf_dir):
 
 @query(f"WITH {d.LST} SELECT * FROM lst {d.FIRST}")
 def dedupe_first(spark, sf_dir):
-    return d.normalized(dedupe.first_wins(d.observations(spark, sf_dir), ["id"], list(d.ORDER)))
+    return d.earliest(spark, sf_dir)
 
 
 @query(f"WITH {d.LST} SELECT * FROM lst {d.LAST}")
@@ -205,8 +205,7 @@ _ACTIVE = "portal = 'europe' AND ciudad = (SELECT min(ciudad) FROM tbl WHERE por
 
 
 def _active(spark, sf_dir):
-    table = d.stored(spark, sf_dir)
-    europe = table.filter("portal = 'europe'")
+    europe = d.stored(spark, sf_dir, "EUR").filter("portal = 'europe'")  # ids begin with their portal's letters, which are known before the last of an id is picked
     city = europe.agg(F.min("ciudad").alias("_city"))
     return europe.join(F.broadcast(city), F.col("ciudad") == F.col("_city")).filter("status = 'active'")  # the city is one row
 

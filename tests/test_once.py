@@ -23,3 +23,10 @@ def test_strip_is_that_of_the_pattern(spark):
     texts = ["", " ", "a", " a b\n", "\xa0　", "\x1ca\x1c", "​a ", "\u0085x ", *(c + "x" + c for c in SPACES), *(chr(k) + "y" + chr(k) for k in range(0x2000, 0x2070))]
     rows = spark.createDataFrame([(t,) for t in texts], "t string")
     assert rows.filter(~strip(F.col("t")).eqNullSafe(F.regexp_replace("t", r"(?U)^\s+|\s+$", ""))).collect() == []
+
+
+def test_what_is_shuffled_for_picked_rows_has_no_texts(spark):
+    """Six numbers a row; before, some 17 columns with the raw texts, and the order twice."""
+    plan = QUERIES["dedupe_last"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    picked = next(line for line in plan.splitlines() if "Aggregate [" in line)
+    assert "max(struct(" in picked and "max_by" not in plan and "p_name" not in picked and "raw_" not in picked
