@@ -157,3 +157,13 @@ def test_cards_of_few_pages_are_held_at_a_time(spark):
     rows = portals._cards(spark.range(0, 100, 1, 1).select(F.col("id").alias("pos"), F.concat(F.lit("<b>"), F.col("id"), F.lit("</b><b>x</b>")).alias("html")), cut)
     assert rows._jdf.queryExecution().analyzed().toString().count("MapInPandas") == 1  # it yields the cards of PAGES pages; a function of whole batches held those of 10,000
     assert [(r.seq, r.c["k"]) for r in rows.orderBy("seq").collect()] == [(k << 32 | n, str(k) if n == 0 else "x") for k in range(100) for n in range(2)]
+
+
+@pytest.mark.parametrize("portal", ["alnago", "arrendamientosdelnorte", "arrendamientosmonserrate", "arrendamientosvillacruz", "coninsa", "merinohermanos"])
+def test_pages_without_numbers_are_asked_for_to_their_end(spark, portal, monkeypatch):
+    monkeypatch.setattr(discovery.discover, "__defaults__", (9, 8, 40))
+
+    def answers(asked):
+        return asked.filter(F.col("page") <= 20).select("page", F.lit("<p>card</p>").alias("html"))
+
+    assert [r.page for r in pages_of(spark, portal, answers).orderBy("page").collect()] == list(range(1, 21))
