@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..schemas import LISTING
+from ..sources.scratch import keep
 from . import dataset as d
 from .portals import collect
 from .registry import Registry
@@ -43,6 +44,7 @@ def scraped(spark: SparkSession, sf_dir: str, portal: str, site: Site) -> DataFr
     parts = d.table(spark, sf_dir, "part").withColumn("page", (F.floor(F.col("p_partkey") / CARDS) + 1).cast("int"))
     cards = parts.select("page", "p_partkey", F.expr(site.card).alias("card"))
     pages = cards.groupBy("page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "card"))), lambda x: F.nullif(x["card"], F.lit(""))), site.between).alias("cards"))
+    pages = keep(pages, "site")  # every round of probes reads them
     last = pages.agg(F.max("page").alias("pages"))
 
     def answers(asked: DataFrame) -> DataFrame:
@@ -54,7 +56,8 @@ def scraped(spark: SparkSession, sf_dir: str, portal: str, site: Site) -> DataFr
     details = None
     if site.detail:
         url, page = site.detail
-        details = parts.select(F.col("p_partkey").alias("pos"), F.expr(url).alias("url"), F.expr(page).alias("html")).filter("html IS NOT NULL")
+        spread = parts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey")  # their pages are long and parts are short: a file that one task reads is work for many
+        details = spread.select(F.col("p_partkey").alias("pos"), F.expr(url).alias("url"), F.expr(page).alias("html")).filter("html IS NOT NULL")
     return collect(spark, portal, answers, details).select(*LISTING.names)
 
 

@@ -167,3 +167,11 @@ def test_pages_without_numbers_are_asked_for_to_their_end(spark, portal, monkeyp
         return asked.filter(F.col("page") <= 20).select("page", F.lit("<p>card</p>").alias("html"))
 
     assert [r.page for r in pages_of(spark, portal, answers).orderBy("page").collect()] == list(range(1, 21))
+
+
+def test_a_site_is_made_once_and_its_own_pages_by_many_tasks(spark):
+    """Its pages were gathered anew for each round of probes, and all of its detail pages read by as many tasks as the parts' file has pieces: one."""
+    from prediolake.plans.queries import QUERIES
+
+    plan = QUERIES["portal_alnago"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "RepartitionByExpression" in plan
