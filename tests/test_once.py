@@ -30,3 +30,16 @@ def test_what_is_shuffled_for_picked_rows_has_no_texts(spark):
     plan = QUERIES["dedupe_last"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     picked = next(line for line in plan.splitlines() if "Aggregate [" in line)
     assert "max(struct(" in picked and "max_by" not in plan and "p_name" not in picked and "raw_" not in picked
+
+
+@pytest.mark.parametrize("name", ["csv_lines", "dedupe_first", "dedupe_last", "export_filter", "export_values", "extension_top_prices"])
+def test_small_sides_are_broadcast(spark, name):
+    """Suppliers with their nations and regions were taken for the product of the three, and all line items shuffled to meet them."""
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_what_is_sorted_is_made_once(spark):
+    """A sort samples what it sorts: joins, normalizers and rules came before it, and ran twice."""
+    plan = QUERIES["exportable_listings"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort [" in plan and "Join" not in plan and "regexp" not in plan
