@@ -24,12 +24,15 @@ def exportable(df: DataFrame) -> DataFrame:
     return df.filter((F.col("precio") >= fixed.EXPORT_LEAST) & F.lower("tipo").isin(*fixed.EXPORT_TIPOS))
 
 
+def _made(df: DataFrame) -> DataFrame:
+    """The same rows; filters aren't pushed below this, where what they ask for would be made again."""
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 @query(f"WITH {d.LST}, v AS (SELECT * REPLACE (CASE WHEN precio > 0 AND precio < 100000 THEN 0 ELSE precio END::BIGINT AS precio) FROM lst), t AS (SELECT *, 'active' AS status FROM v {d.LAST}) SELECT {_PLAIN} FROM t WHERE {_EXPORT} ORDER BY scraped_at DESC, id")
 def exportable_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalized, validated, the last of each id, exportable, newest first."""
-    rows = d.latest(spark, sf_dir).drop(*KEYS)
-    rows = rows.select(F.inline(F.array(F.struct(*rows.columns))))  # the filter isn't pushed below it, where what it asks for would be made again
-    latest = validate.corrected(rows).withColumn("status", F.lit("active"))  # ids and order don't depend on what is corrected
+    latest = validate.corrected(_made(d.latest(spark, sf_dir).drop(*KEYS))).withColumn("status", F.lit("active"))  # ids and order don't depend on what is corrected
     return keep(exportable(latest).select(*PLAIN), "exportable").orderBy(F.desc("scraped_at"), "id")  # a sort samples what it sorts: all would be made twice
 
 
@@ -40,7 +43,7 @@ def listings_scan(spark, sf_dir):
 
 @query(f"WITH {d.TBL} SELECT {_PLAIN} FROM tbl WHERE {_EXPORT}")
 def export_filter(spark, sf_dir):
-    return exportable(d.stored(spark, sf_dir)).select(*PLAIN)
+    return exportable(_made(d.stored(spark, sf_dir))).select(*PLAIN)
 
 
 @query(f"WITH {d.TBL} SELECT {_PLAIN} FROM tbl WHERE {_EXPORT} AND lower(ciudad) = 'nation_3' AND lower(portal) = lower('ASIA') OR {_EXPORT} AND lower(ciudad) = 'nation_7'")

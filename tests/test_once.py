@@ -43,3 +43,10 @@ def test_what_is_sorted_is_made_once(spark):
     """A sort samples what it sorts: joins, normalizers and rules came before it, and ran twice."""
     plan = QUERIES["exportable_listings"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "Sort [" in plan and "Join" not in plan and "regexp" not in plan
+
+
+def test_what_is_filtered_is_made_once(spark):
+    """The filter of prices and types was pushed below the normalizers, with a copy of them in it."""
+    plan = QUERIES["export_filter"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter " in line]
+    assert filters and not any("regexp_replace" in line for line in filters)
