@@ -6,28 +6,28 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import fixed
-from .text import decimal_digits, digits, look_up, strip, text, title, whole
+from .text import SPACES, ascii_digits, digits, look_up, strip, strip_left, text, title, whole, whole_digits
 
 
 def price(raw: Column) -> Column:
     """Decimal digits, of any script, of the part before the first '/', joined; 0 for null, blank, 'consultar precio' and no digits."""
     s = text(raw)
     hidden = F.lower(s).contains("consultar precio")
-    return F.when(hidden, F.lit(0).cast("bigint")).otherwise(whole(decimal_digits(F.split_part(s, F.lit("/"), F.lit(1))), "bigint"))
+    return F.when(hidden, F.lit(0).cast("bigint")).otherwise(whole_digits(digits(F.substring_index(ascii_digits(s), "/", 1)), "bigint"))
 
 
 def tipo(raw: Column) -> Column:
     """The canonical type of a name, else of the part before its first '-', else that name in lower case."""
     low = F.lower(strip(text(raw)))
-    first = strip(F.split_part(low, F.lit("-"), F.lit(1)))
-    return F.when(low == "", "").otherwise(F.coalesce(look_up(fixed.TIPO, low), F.when(low.contains("-"), look_up(fixed.TIPO, first, first)), low))
+    first = strip(F.substring_index(low, "-", 1))
+    return F.coalesce(look_up(fixed.TIPO, low), F.when(low.contains("-"), look_up(fixed.TIPO, first, first)), low)
 
 
 def estrato(raw: Column) -> Column:
     """Level of a text: roman numerals i to vi, or digits; 8, comercial and anything else: 0."""
     low = F.lower(strip(text(raw)))
-    found = F.coalesce(look_up(fixed.ROMAN, low), F.when(low.rlike("^[0-9]+$"), whole(low)), F.lit(0))
-    return F.when(found == 8, 0).otherwise(found).cast("int")
+    told = whole_digits(F.regexp_extract(low, "^(?!0*8$)[0-9]+$", 0))
+    return F.greatest(look_up(fixed.ROMAN, low), told).cast("int")  # one of both is 0 or null; both are made of a text that is trimmed once
 
 
 def estrato_number(value: Column) -> Column:
@@ -44,15 +44,15 @@ def garaje(raw: Column) -> Column:
 def barrio(raw: Column) -> Column:
     """The last part after ' - ', then after ',', without a leading 'barrio:', in title case."""
     s = strip(text(raw))
-    s = strip(F.regexp_replace(s, r"(?i)^barrio:", ""))
+    s = F.regexp_replace(s, f"(?i)^barrio:[{SPACES}]*", "")
     s = F.substring_index(s, " - ", -1)
-    return strip(title(strip(F.substring_index(s, ",", -1))))
+    return title(strip_left(F.substring_index(s, ",", -1)))  # all parts end as the trimmed text does
 
 
 def url(raw: Column, base: Column | str) -> Column:
     """A path from the root joined to the base with one '/'; other texts trimmed."""
     s, base = strip(text(raw)), F.lit(base) if isinstance(base, str) else base
-    return F.when(s.startswith("/") & (base != ""), F.concat(F.regexp_replace(base, "/+$", ""), F.lit("/"), F.regexp_replace(s, "^/+", ""))).otherwise(s)
+    return F.when(s.startswith("/") & (base != ""), F.concat(F.regexp_replace(base, "/+$", ""), F.lit("/"), F.ltrim(s, F.lit("/")))).otherwise(s)
 
 
 def encode_city(raw: Column) -> Column:

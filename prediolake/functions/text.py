@@ -24,14 +24,23 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(SPACES))
 
 
+def strip_left(c: Column) -> Column:
+    """Without Unicode white space at the beginning, for what has none at the end."""
+    return F.ltrim(c, F.lit(SPACES))
+
+
 def once(value: Column, use: Callable[[Column], Column]) -> Column:
     """An array of use(value) alone, with the value computed once however often ``use`` takes it. Give it to inline or explode, whose columns filters aren't pushed below, so that it isn't computed for them again."""
     return F.transform(F.array(value), use)
 
 
 def title(c: Column) -> Column:
-    """Every run of letters capitalized, the rest lower (initcap() begins words after blanks alone)."""
-    return F.array_join(F.transform(F.regexp_extract_all(F.lower(c), F.lit(r"(\p{L}+|[^\p{L}]+)"), 1), F.initcap), "")
+    """Every run of letters capitalized, the rest lower. initcap() begins words after blanks alone: where a text has other signs, a mark with a blank goes between them and letters, and out again (what looks like the mark is told apart meanwhile)."""
+    low, mark = F.lower(c), "\x01"
+    plain = F.regexp_extract(low, r"\A[\p{L} ]*\z", 0) == low  # nearly all texts; functions over arrays, which aren't compiled, are for the others. Naming it twice here has it computed once
+    parts = F.transform(F.regexp_extract_all(low, F.lit(r"([\p{L} ]+|[^\p{L} ]+)"), 1), lambda x: F.replace(x, F.lit(mark), F.lit(mark + "\x02")))
+    words = F.initcap(F.when(plain, low).otherwise(F.array_join(parts, mark + " ")))
+    return F.replace(F.replace(words, F.lit(mark + " "), F.lit("")), F.lit(mark + "\x02"), F.lit(mark))
 
 
 def _decimal_digits() -> tuple[str, str]:
@@ -48,10 +57,10 @@ def digits(c: Column) -> Column:
     return F.regexp_replace(c, r"[^0-9]+", "")
 
 
-def decimal_digits(c: Column) -> Column:
-    """The decimal digits of any script, joined, as ASCII; '' if none."""
+def ascii_digits(c: Column) -> Column:
+    """The text with the decimal digits of any script as ASCII."""
     other = F.octet_length(c) != F.char_length(c)  # nearly all texts are spared the table
-    return digits(F.when(other, F.translate(c, *_OTHER_DIGITS)).otherwise(c))
+    return F.when(other, F.translate(c, *_OTHER_DIGITS)).otherwise(c)
 
 
 def whole(c: Column, kind: str = "int") -> Column:
@@ -59,6 +68,11 @@ def whole(c: Column, kind: str = "int") -> Column:
     return F.coalesce(F.nullif(c, F.lit("")).try_cast(kind), F.lit(0).cast(kind))
 
 
+def whole_digits(c: Column, kind: str = "int") -> Column:
+    """whole() of what has digits alone, named once, so that it isn't made twice: with a 0 before it, '' is a number too."""
+    return F.coalesce(F.concat(F.lit("0"), c).try_cast(kind), F.lit(0).cast(kind))
+
+
 def number_in(c: Column, pattern: str, kind: str = "int") -> Column:
     """The first group of the pattern's first match, as a number; 0 without."""
     return whole(F.regexp_extract(c, pattern, 1), kind)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from . import normalize
-from .text import any_of, strip, text
+from .text import SPACES, any_of, strip, text
 
 # The least and largest price that isn't remarkable, the loader's largest, and the largest of each measure.
 LEAST, MOST, LOADER_MOST = 100_000, 50_000_000, 500_000_000
@@ -91,14 +91,37 @@ def loaded(df: DataFrame) -> DataFrame:
     )
 
 
+#: A marker with white space about it.
+_MARKER = rf"\A[{SPACES}]*(?:{'|'.join(fixed.MARKERS)})[{SPACES}]*\z"
+
+
+def _is_marker(c: Column) -> Column:
+    """Whether a text is a marker, white space aside. Only texts that begin as markers do, or with white space or what isn't ASCII, are put to the pattern."""
+    may_be = (c < "!") | (c >= "\x7f")
+    for sign in sorted({m[0] for m in fixed.MARKERS}):
+        may_be = may_be | c.startswith(sign)
+    return may_be & c.rlike(_MARKER)
+
+
+def _is_whole(value: Column) -> Column:
+    """Whether it is a column of whole numbers: known before the query runs, so only one of two forms is computed."""
+    return F.typeof(value).rlike("^(tinyint|smallint|int|bigint)$")
+
+
 def sanitized(c: str | Column, numeric: bool) -> Column:
     """A CSV value: null and markers are 0 or ''; numbers are cut to whole ones, texts that aren't whole numbers are 0."""
     value = F.col(c) if isinstance(c, str) else c
-    marker = strip(text(value)).isin(*fixed.MARKERS)
+    marker = _is_marker(text(value))
     if not numeric:
         return F.when(marker, "").otherwise(text(value))
-    if_whole = F.typeof(value).rlike("^(tinyint|smallint|int|bigint)$")  # known before the query runs, so only one of the two forms is computed
     number = F.when(marker, None).otherwise(strip(text(value)))
+    as_whole = value.cast("string").try_cast("bigint")
     fraction = F.typeof(value).rlike("^(double|float|decimal)")
     told = F.coalesce(F.when(number.rlike(r"^[+-]?[0-9]+$"), number.try_cast("bigint")).when(fraction, number.try_cast("double").try_cast("bigint")), F.lit(0).cast("bigint"))
-    return F.when(if_whole, F.coalesce(F.nullif(text(value).try_cast("bigint"), F.lit(-1).cast("bigint")), F.lit(0).cast("bigint"))).otherwise(told)  # of the markers only -1 is a whole number
+    return F.when(_is_whole(value), F.coalesce(as_whole + (as_whole == -1).cast("bigint"), F.lit(0).cast("bigint"))).otherwise(told)  # of the markers only -1 is a whole number; a condition's branches would make it again
+
+
+def sanitized_digits(name: str) -> Column:
+    """A number's CSV value as text; whole numbers are put in words once, not read back."""
+    told = F.col(name).cast("string")
+    return F.when(_is_whole(F.col(name)), F.coalesce(F.nullif(told, F.lit("-1")), F.lit("0"))).otherwise(sanitized(name, True).cast("string"))

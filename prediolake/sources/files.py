@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.validate import sanitized
+from ..functions.validate import sanitized, sanitized_digits
 from ..schemas import LISTING, MEASURES, STORED, TEXTS
 
 
@@ -37,11 +37,12 @@ def load_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
 def csv_line() -> Column:
     """A listing's CSV line: sanitized, texts quoted, numbers bare."""
     quote = F.lit('"')
-    cells = [sanitized(f.name, True).cast("string") if f.name in MEASURES else F.col(f.name).cast("string") for f in LISTING]
-    bare = [k for k, f in enumerate(LISTING) if f.name in MEASURES]
-    quoted = lambda x: F.concat(quote, F.replace(sanitized(x, False), quote, F.lit('""')), quote)
-    # one function over all cells: eleven copies of it make a method too long for the JVM to compile
-    return F.array_join(F.transform(F.array(*cells), lambda x, k: F.when(k.isin(*bare), x).otherwise(quoted(x))), ",")
+    cells = {f.name: sanitized_digits(f.name) if f.name in MEASURES else sanitized(f.name, False) for f in LISTING}
+    texts = [k for k, f in enumerate(LISTING) if f.name in TEXTS]
+    doubled = lambda x, k: F.when(k.isin(*texts), F.concat(quote, F.replace(x, quote, F.lit('""')), quote)).otherwise(x)
+    # functions over arrays aren't compiled, so only lines with a quote in a text take the one that doubles them; the test names each text, for each to be computed once
+    parts = [x for k, (name, cell) in enumerate(cells.items()) for x in ([F.lit(",")] if k else []) + ([quote, cell, quote] if name in TEXTS else [cell])]
+    return F.when(F.concat(*(cells[c] for c in TEXTS)).contains(quote), F.array_join(F.transform(F.array(*cells.values()), doubled), ",")).otherwise(F.concat(*parts))
 
 
 def write_csv(listings: DataFrame, folder: str, portal: str, ciudad: str = "medellin") -> str:
